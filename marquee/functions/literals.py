@@ -1,8 +1,8 @@
 """Nested columns stored as Python-literal text: ``[{'id': 1, 'name': "x"}]``.
 
 Text that follows the flat grammar below means the same to a JSON reader after
-two rewrites (``None`` and ``\\xNN``), so it is parsed inside the JVM.  Anything
-else that is not empty goes, as the only non-null input, to an Arrow UDF around
+two plain replacements (``None`` and ``\\xNN``), so it is parsed inside the JVM.
+Anything else goes, as the only non-null input, to an Arrow UDF around
 ``ast.literal_eval``.  Parsed entries are ``map<string,string>``, which keeps a
 missing key apart from a key whose value is null.
 """
@@ -13,31 +13,49 @@ import ast
 import json
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# All quantifiers are possessive: no backtracking and no recursion on long text.
-_ESCAPE = r"""\\(?:[\\'"nrtbf]|x[0-9a-fA-F]{2}|u[0-9a-fA-F]{4})"""
+# The grammar is tested after ``': None`` has become ``': null``.  A string that may
+# have been changed by that does not match.  All quantifiers are possessive: no
+# backtracking and no recursion on long text.
+_ESCAPE = r"""\\(?:[\\nrtbf]|['"](?!: null)|x[0-9a-fA-F]{2}|u[0-9a-fA-F]{4})"""
 _STRING = (
-    rf"""(?:'[^'\\\x00-\x1f]*+(?:{_ESCAPE}[^'\\\x00-\x1f]*+)*+'"""
-    rf"""|"[^"\\\x00-\x1f]*+(?:{_ESCAPE}[^"\\\x00-\x1f]*+)*+")"""
+    rf"""(?:'[^'\\]*+(?:{_ESCAPE}[^'\\]*+)*+'"""
+    rf"""|"[^"'\\]*+(?:(?:{_ESCAPE}|'(?!: null))[^"'\\]*+)*+")"""
 )
-_VALUE = rf"(?:{_STRING}|None|-?(?:0|[1-9][0-9]{{0,17}}))"
-_PAIR = rf"{_STRING}\s*+:\s*+{_VALUE}"
-_DICT = rf"\{{\s*+(?:{_PAIR}(?:\s*+,\s*+{_PAIR})*+\s*+)?+\}}"
-_FLAT_DICT = rf"^\s*+{_DICT}\s*+$"
-_FLAT_LIST = rf"^\s*+\[\s*+(?:{_DICT}(?:\s*+,\s*+{_DICT})*+\s*+)?+\]\s*+$"
-_BARE_NONE = rf"\G((?:[^'\"N]++|{_STRING})*+)None"
+_VALUE = rf"(?:{_STRING}|null|-?(?:0|[1-9][0-9]{{0,17}}))"
+_PAIR = rf"{_STRING}: {_VALUE}"
+_DICT = rf"\{{(?:{_PAIR}(?:, {_PAIR})*+)?+\}}"
+_FLAT_LIST = rf"^\[(?:{_DICT}(?:, {_DICT})*+)?+\]$"
 _HEX_ESCAPE = r"(?<!\\)((?:\\\\)*+)\\x([0-9a-fA-F]{2})"
 
-_JSON_OPTIONS = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"}
+_JSON_OPTIONS = {
+    "allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true",
+    "allowUnquotedControlChars": "true",
+}
 _ENTRIES = T.ArrayType(T.MapType(T.StringType(), T.StringType()))
 
 
-def _as_json(text: Column) -> Column:
-    nulls = F.regexp_replace(text, _BARE_NONE, "$1null")
-    return F.regexp_replace(nulls, _HEX_ESCAPE, r"$1\\u00$2")
+def _with_nulls(text: Column) -> Column:
+    for quote in "'\"":
+        text = F.replace(text, F.lit(f"{quote}: None"), F.lit(f"{quote}: null"))
+    return text
+
+
+def _is_flat(text: Column, replaced: Column) -> Column:
+    """``text`` is the original, ``replaced`` the one with nulls."""
+    odd = F.lit(False)
+    for piece in ("': null", '": null', "\n", "\r", "\x00"):
+        odd = odd | text.contains(piece)
+    return ~odd & replaced.rlike(_FLAT_LIST)
+
+
+def _as_json(replaced: Column) -> Column:
+    return F.when(
+        replaced.contains("\\x"), F.regexp_replace(replaced, _HEX_ESCAPE, r"$1\\u00$2")
+    ).otherwise(replaced)
 
 
 def _entry_value(key, value):
@@ -74,49 +92,54 @@ def _evaluate_lists(texts: pd.Series) -> pd.Series:
     return texts.map(_evaluate, na_action="ignore")
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _evaluate_objects(parts: pd.Series) -> pd.Series:
+@F.pandas_udf(T.StringType())
+def _evaluate_pieces(pieces: pd.Series) -> pd.Series:
     def one(items):
         if items is None:
             return None
-        return [_evaluate(f"[{item}]") for item in items]
-    return parts.map(one)
-
-
-def literal_entries(raw: Column) -> Column:
-    """List-of-dicts text -> array of maps.  Empty text gives an empty array,
-    unparsable text gives null."""
-    empty = F.coalesce(raw, F.lit("")) == ""
-    flat = raw.rlike(_FLAT_LIST)
-    other = _evaluate_lists(F.when(~empty & ~flat, raw))
-    text = F.when(empty, F.lit("[]")).when(flat, _as_json(raw)).otherwise(other)
-    return F.from_json(text, _ENTRIES, _JSON_OPTIONS)
-
+        good = [text for text in (_evaluate(f"[{item}]") for item in items) if text]
+        return "[" + ", ".join(text[1:-1] for text in good if text != "[]") + "]"
+    return pieces.map(one)
 
-def literal_dict(raw: Column) -> Column:
-    """One dict as text -> map; null for empty text and for any other shape."""
-    present = F.coalesce(raw, F.lit("")) != ""
-    flat = raw.rlike(_FLAT_DICT)
-    wrapped = F.concat(F.lit("["), raw, F.lit("]"))
-    other = _evaluate_lists(F.when(present & ~flat, wrapped))
-    text = F.when(present & flat, _as_json(wrapped)).otherwise(other)
-    entries = F.from_json(text, _ENTRIES, _JSON_OPTIONS)
-    return F.when(F.size(entries) == 1, entries[0])
 
+def with_literals(df: DataFrame, lists=(), dicts=(), objects=()) -> DataFrame:
+    """Adds ``_<name>``, an array of parsed entries, for each named text column.
 
-def literal_objects(raw: Column) -> Column:
-    """Every ``{...}`` piece of ``raw`` parsed on its own; bad pieces are left out.
+    ``lists`` hold a list of dicts: empty text gives an empty array, unparsable
+    text null.  ``dicts`` hold one dict and are read as a list of one.  Of
+    ``objects`` every ``{...}`` piece is parsed on its own and bad pieces are
+    left out; doubled quotes in a piece (``""x""``) are read as ``"x"``.
 
-    Doubled quotes inside a piece (``""x""``) are read as ``"x"``.
+    The steps are separate projections so that Spark computes each text once.
     """
-    found = F.regexp_extract_all(F.coalesce(raw, F.lit("")), F.lit(r"(\{.*?\})"), F.lit(1))
-    parts = F.transform(found, undouble_quotes)
-    odd = F.exists(parts, lambda part: ~part.rlike(_FLAT_DICT))
-    native = F.transform(parts, lambda part: F.concat(F.lit("["), _as_json(part), F.lit("]")))
-    texts = F.when(odd, _evaluate_objects(F.when(odd, parts))).otherwise(native)
-    parsed = F.transform(texts, lambda text: F.from_json(text, _ENTRIES, _JSON_OPTIONS))
-    usable = F.filter(parsed, lambda entries: F.coalesce(F.size(entries) == 1, F.lit(False)))
-    return F.transform(usable, lambda entries: entries[0])
+    names = [*lists, *dicts, *objects]
+    df = df.withColumns({
+        **{f"_t_{c}": F.concat(F.lit("["), F.coalesce(F.col(c), F.lit("")), F.lit("]"))
+           for c in dicts},
+        **{f"_t_{c}": F.when(F.coalesce(F.col(c), F.lit("")) == "", "[]").otherwise(F.col(c))
+           for c in lists},
+        **{f"_p_{c}": F.regexp_extract_all(
+            F.coalesce(F.col(c), F.lit("")), F.lit(r"(\{.*?\})"), F.lit(1)) for c in objects},
+    })
+    df = df.withColumns({
+        f"_t_{c}": F.concat(
+            F.lit("["), undouble_quotes(F.array_join(f"_p_{c}", ", ")), F.lit("]"))
+        for c in objects}) if objects else df
+    df = df.withColumns({f"_n_{c}": _with_nulls(F.col(f"_t_{c}")) for c in names})
+    df = df.withColumns({
+        f"_f_{c}": _is_flat(F.col(f"_t_{c}"), F.col(f"_n_{c}")) for c in names})
+
+    def other(c: str) -> Column:
+        if c in objects:
+            pieces = F.transform(f"_p_{c}", undouble_quotes)
+            return _evaluate_pieces(F.when(~F.col(f"_f_{c}"), pieces))
+        return _evaluate_lists(F.when(~F.col(f"_f_{c}"), F.col(f"_t_{c}")))
+
+    df = df.withColumns({
+        f"_j_{c}": F.when(F.col(f"_f_{c}"), _as_json(F.col(f"_n_{c}"))).otherwise(other(c))
+        for c in names})
+    df = df.withColumns({f"_{c}": F.from_json(f"_j_{c}", _ENTRIES, _JSON_OPTIONS) for c in names})
+    return df.drop(*[f"_{k}_{c}" for k in "tpnfj" for c in names])
 
 
 def undouble_quotes(raw: Column) -> Column:

@@ -143,7 +143,7 @@ def _filtered(test):
 
 def filter_text_contains(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    return docs.filter(filters.mentions(F.col("text"), "TIME")).select("doc_id", "lang", "source")
+    return docs.filter(filters.mentions(F.col("text"), "WITH")).select("doc_id", "lang", "source")
 
 
 def filter_nonzero(spark, sf_dir):
@@ -252,7 +252,7 @@ def rank_spenders(spark, sf_dir):
 
 
 def dedup_messages(spark, sf_dir):
-    return dedup.dedup_messages(views.messages(spark, sf_dir)).select(
+    return dedup.dedup_messages(views.messages(table(spark, sf_dir, "events"))).select(
         "client_id", "queue", "message_id", "value")
 
 

@@ -105,7 +105,7 @@ FROM movies_v"""),
     "filter_year_after": _filtered("released > 2000"),
     "filter_year_range": _filtered("released BETWEEN 2000 AND 2009"),
     "filter_text_contains":
-        "SELECT doc_id, lang, source FROM documents WHERE contains(lower(text), 'time')",
+        "SELECT doc_id, lang, source FROM documents WHERE contains(lower(text), 'with')",
     "filter_nonzero": """
 SELECT l_orderkey, l_linenumber, l_partkey, l_discount, l_tax FROM lineitem
 WHERE l_discount <> 0 AND l_tax <> 0""",
@@ -118,7 +118,7 @@ WITH {_scores('documents', 'doc_id', 'text')}
 SELECT k AS doc_id, {_CLASS} AS sentiment FROM scores WHERE {_CLASS} <> 'neutral'""",
     "score_documents": f"""
 WITH {_scores('documents', 'doc_id', 'text')}
-SELECT DISTINCT doc_id, coalesce(polarity, 0.0) AS polarity
+SELECT DISTINCT doc_id, coalesce(polarity, 0.0) + 0.0 AS polarity
 FROM documents LEFT JOIN scores ON k = doc_id""",
     "join_ratings": _films("""
 SELECT id, original_title, CAST(rating AS DOUBLE) AS rating
@@ -252,4 +252,15 @@ FROM events""",
         for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                   "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
                   "l_shipdate")),
+    "stream_dedup": f"WITH {_MESSAGES} SELECT * FROM messages",
+    "stream_complete": f"""
+SELECT CAST(user_id AS VARCHAR) AS client_id FROM events
+GROUP BY user_id HAVING count(DISTINCT event_type) >= {len(EVENT_TYPES) - 1}""",
+    "stream_partial_restart": """
+SELECT user_id, CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS total, count(*) AS n
+FROM events GROUP BY user_id""",
+    "stream_semi_join": _films(f"""
+SELECT l_orderkey AS id, l_partkey, l_linenumber FROM lineitem
+WHERE l_orderkey IN (SELECT id FROM movies_v WHERE {_IN_HOME})"""),
+    "stream_clean": f"WITH {RATINGS} SELECT movie_id, CAST(rating AS DOUBLE) AS rating FROM ratings_v",
 }

@@ -68,10 +68,7 @@ def movies(spark: SparkSession, sf_dir: str, overview: bool = True, genres: bool
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select(
-        F.col("user_id").alias("userId"),
-        F.expr(f"event_id div {EVENTS_PER_FILM}").alias("movieId"),
-        F.col("value").cast("decimal(12,2)").alias("rating"))
+    return rating_rows(table(spark, sf_dir, "events"))
 
 
 def credits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,11 +82,20 @@ def credits(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_orderkey").alias("id"), members.alias("cast"))
 
 
-def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as queue messages of one client per user, each delivered twice."""
-    sent = table(spark, sf_dir, "events").select(
+def messages(events: DataFrame) -> DataFrame:
+    """Events, batch or stream, as queue messages of one client per user, each
+    delivered twice."""
+    return events.select(
         F.col("user_id").cast("string").alias("client_id"),
         F.col("event_type").alias("queue"),
         F.col("event_id").alias("message_id"),
-        "ts", "value", "props")
-    return sent.unionByName(sent)
+        F.col("ts").cast("timestamp").alias("sent_at"), "value", "props",
+        F.explode(F.array(F.lit(1), F.lit(2))).alias("delivery")).drop("delivery")
+
+
+def rating_rows(events: DataFrame) -> DataFrame:
+    """Events, batch or stream, as ratings."""
+    return events.select(
+        F.col("user_id").alias("userId"),
+        F.expr(f"event_id div {EVENTS_PER_FILM}").alias("movieId"),
+        F.col("value").cast("decimal(12,2)").alias("rating"))

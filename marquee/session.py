@@ -13,7 +13,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     """Session for tests and the bench; on a cluster the job brings its own."""
     session = (
         SparkSession.builder.master(f"local[{cores}]").appName("marquee")
-        .config("spark.ui.enabled", "false")
+        .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))

@@ -40,12 +40,11 @@ def decode_movies(raw: DataFrame, keep_rejects: bool = False) -> DataFrame:
     """All-text film rows -> ``MOVIE`` rows.  Empty text stays empty, not null."""
     text = {name: F.coalesce(F.col(name), F.lit("")) for name in S.MOVIE.names}
 
-    # Literal columns are parsed in one projection so that they share one pass.
-    parsed = raw.select(
-        *[value.alias(name) for name, value in text.items()],
-        literals.literal_dict(text["belongs_to_collection"]).alias("_collection"),
-        *[literals.literal_entries(text[name]).alias(f"_{name}") for name in _LISTS],
-    )
+    parsed = literals.with_literals(
+        raw.select(*[value.alias(name) for name, value in text.items()]),
+        lists=list(_LISTS), dicts=["belongs_to_collection"])
+    collection = F.when(
+        F.size("_belongs_to_collection") == 1, F.col("_belongs_to_collection")[0])
     column = {name: F.col(name) for name in S.MOVIE.names}
     number = {
         name: (casts.to_long if S.MOVIE[name].dataType == S.LONG else casts.to_double)(column[name])
@@ -57,8 +56,8 @@ def decode_movies(raw: DataFrame, keep_rejects: bool = False) -> DataFrame:
         bad = number[name].isNull()
         problems[name] = bad if needed else (column[name] != "") & bad
     problems["belongs_to_collection"] = (column["belongs_to_collection"] != "") & ~F.coalesce(
-        literals.has_keys(F.col("_collection"), S.COLLECTION.names)
-        & casts.to_long(F.col("_collection")["id"]).isNotNull(), F.lit(False))
+        literals.has_keys(collection, S.COLLECTION.names)
+        & casts.to_long(collection["id"]).isNotNull(), F.lit(False))
     for name, entry in _LISTS.items():
         problems[name] = ~F.coalesce(F.forall(F.col(f"_{name}"), _entry_check(entry)), F.lit(False))
 
@@ -70,8 +69,8 @@ def decode_movies(raw: DataFrame, keep_rejects: bool = False) -> DataFrame:
             return F.transform(
                 F.col(f"_{name}"), lambda entry: literals.entry_struct(entry, _LISTS[name]))
         if name == "belongs_to_collection":
-            return F.when(F.col("_collection").isNotNull(),
-                          literals.entry_struct(F.col("_collection"), S.COLLECTION))
+            return F.when(collection.isNotNull(),
+                          literals.entry_struct(collection, S.COLLECTION))
         if field.dataType == S.FLAG:
             return casts.to_flag(column[name])
         return column[name]
@@ -120,20 +119,20 @@ def read_credits(spark: SparkSession, path: str, keep_rejects: bool = False) ->
 
 def decode_credits(lines: DataFrame, keep_rejects: bool = False) -> DataFrame:
     line = F.trim(F.col("value"), F.lit(" \t\r\n\f\v"))
-    part = [F.regexp_extract(line, _CREDIT_LINE, i) for i in (1, 2, 3)]
-    split = lines.filter(line != "").select(
-        literals.literal_objects(part[0]).alias("_cast"),
-        literals.literal_objects(part[1]).alias("_crew"),
-        casts.to_long(part[2]).alias("id"),
-        (~line.rlike(_CREDIT_LINE)).alias("_bad"),
-    )
+    fields = F.split(F.regexp_replace(line, _CREDIT_LINE, "$1\x00$2\x00$3"), "\x00")
+    split = lines.filter(line != "").select(fields.alias("_fields")).select(
+        F.get("_fields", F.lit(0)).alias("cast"), F.get("_fields", F.lit(1)).alias("crew"),
+        F.when(F.size("_fields") == 3, casts.to_long(F.get("_fields", F.lit(2)))).alias("id"))
+    split = split.withColumns({
+        name: F.when(F.col("id").isNotNull(), F.col(name)) for name in ("cast", "crew")})
+    split = literals.with_literals(split, objects=["cast", "crew"])
 
     def members(name: str, schema: T.StructType) -> Column:
         fitting = F.filter(
             F.col(name), lambda entry: literals.has_exact_keys(entry, schema.names))
         return F.transform(fitting, lambda entry: literals.entry_struct(entry, schema))
 
-    bad = F.col("_bad") | F.col("id").isNull()
+    bad = F.col("id").isNull()
     decoded = split.select(
         members("_cast", S.CAST_MEMBER).alias("cast"),
         members("_crew", S.CREW_MEMBER).alias("crew"),
