@@ -44,12 +44,13 @@ _SEEN = T.StructType([
 
 
 def completions(markers: DataFrame, queues: Sequence[str], nodes: int,
-                forget_after_ms: int = 3_600_000) -> DataFrame:
+                forget_after_ms: int | None = None) -> DataFrame:
     """``client_id`` once, when every queue has end markers of ``nodes`` distinct
     nodes.  ``markers`` has ``client_id, queue, node_id``; repeats are ignored.
 
-    The state of a client is its seen markers, at most queues times nodes; it is
-    dropped when nothing more has come for ``forget_after_ms``.
+    The state of a client is its seen markers, at most queues times nodes.  With
+    ``forget_after_ms`` it is dropped when nothing more has come for that long; such
+    a stream has no end, so give it a processing-time trigger, not ``availableNow``.
     """
     wanted = list(queues)
 
@@ -59,18 +60,23 @@ def completions(markers: DataFrame, queues: Sequence[str], nodes: int,
             return
         seen, done = (set(state.get[0]), state.get[1]) if state.exists else (set(), False)
         for chunk in chunks:
-            seen.update(chunk["queue"] + "\x00" + chunk["node_id"])
-        counts = [sum(mark.startswith(f"{queue}\x00") for mark in seen) for queue in wanted]
-        complete = all(count >= nodes for count in counts)
+            marks = chunk[["queue", "node_id"]].drop_duplicates()
+            seen.update(
+                f"{wanted.index(queue)}:{node}" for queue, node in marks.itertuples(index=False))
+        complete = all(
+            sum(mark.startswith(f"{i}:") for mark in seen) >= nodes for i in range(len(wanted)))
         state.update((sorted(seen), done or complete))
-        state.setTimeoutDuration(forget_after_ms)
+        if forget_after_ms:
+            state.setTimeoutDuration(forget_after_ms)
         if complete and not done:
             yield pd.DataFrame({"client_id": [key[0]]})
 
     known = markers.filter(F.col("queue").isin(wanted)).select(
         F.col("client_id").cast("string"), "queue", F.col("node_id").cast("string"))
+    timeout = (
+        GroupStateTimeout.ProcessingTimeTimeout if forget_after_ms else GroupStateTimeout.NoTimeout)
     return known.groupBy("client_id").applyInPandasWithState(
-        track, _DONE, _SEEN, "append", GroupStateTimeout.ProcessingTimeTimeout)
+        track, _DONE, _SEEN, "append", timeout)
 
 
 def complete_clients(markers: DataFrame, queues: Sequence[str], nodes: int) -> DataFrame:
