@@ -8,7 +8,15 @@ from pyspark.sql import types as T
 
 
 def is_json(text: Column) -> Column:
-    return F.try_parse_json(text).isNotNull()
+    """One complete JSON value and nothing after it.
+
+    Spark's parsers stop at the end of the first value, so the text is parsed as
+    a field of an object that ends with a field of our own.
+    """
+    wrapped = F.concat(F.lit('{"_text":'), text, F.lit(',"_end_of_text":0}'))
+    fields = F.array(F.lit("_text"), F.lit("_end_of_text"))
+    whole = F.try_parse_json(wrapped).isNotNull() & (F.json_object_keys(wrapped) == fields)
+    return F.coalesce(whole, F.lit(False))
 
 
 def _count(text: Column, char: str) -> Column:
@@ -57,7 +65,7 @@ def missing_keys(text: Column, required) -> Column:
 
 def canonical_json(value: Column) -> Column:
     """Key-sorted JSON text of JSON text; null if it does not parse."""
-    return F.to_json(F.try_parse_json(value))
+    return F.when(is_json(value), F.to_json(F.try_parse_json(value)))
 
 
 def normalized(value: Column, dtype: T.DataType, digits: int = 4) -> Column:

@@ -22,8 +22,8 @@ from pyspark.sql import types as T
 # backtracking and no recursion on long text.
 _ESCAPE = r"""\\(?:[\\nrtbf]|['"](?!: null)|x[0-9a-fA-F]{2}|u[0-9a-fA-F]{4})"""
 _STRING = (
-    rf"""(?:'[^'\\]*+(?:{_ESCAPE}[^'\\]*+)*+'"""
-    rf"""|"[^"'\\]*+(?:(?:{_ESCAPE}|'(?!: null))[^"'\\]*+)*+")"""
+    rf"""(?:'(?!: null)[^"'\\]*+(?:(?:{_ESCAPE}|"(?!: null))[^"'\\]*+)*+'"""
+    rf"""|"(?!: null)[^"'\\]*+(?:(?:{_ESCAPE}|'(?!: null))[^"'\\]*+)*+")"""
 )
 _VALUE = rf"(?:{_STRING}|null|-?(?:0|[1-9][0-9]{{0,17}}))"
 _PAIR = rf"{_STRING}: {_VALUE}"
