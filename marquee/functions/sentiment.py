@@ -8,8 +8,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.functions.casts import blank
-
 # Thresholds are strict: a polarity of exactly 0.1 or -0.1 is neutral.
 POSITIVE_ABOVE = 0.1
 NEGATIVE_BELOW = -0.1
@@ -38,17 +36,21 @@ def tokens(text: Column) -> Column:
 def polarity(text: Column, lexicon: Mapping[str, float] = DEFAULT_LEXICON) -> Column:
     """Mean polarity of the lexicon words in ``text``, 0 when there is none.
 
-    Needs no shuffle and no key: words are kept by a hashed set test and only
-    the kept ones are looked up.
+    Needs no shuffle and no key.  The words are split once and folded into one
+    sum and count; a hashed set test spares unknown words the table lookup.
     """
     if len(lexicon) > MAX_INLINE_WORDS:
         raise ValueError("lexicon too large to inline: use polarity_by_table")
     words = sorted(lexicon)
     table = F.create_map(*[F.lit(x) for word in words for x in (word, float(lexicon[word]))])
     known = F.filter(tokens(text), lambda token: token.isin(words))
-    total = F.aggregate(known, F.lit(0.0), lambda acc, token: acc + table[token])
-    mean = F.try_divide(total, F.size(known).cast("double"))
-    return F.when(blank(text), F.lit(0.0)).otherwise(F.coalesce(F.round(mean, 6), F.lit(0.0)))
+    start = F.struct(F.lit(0.0).alias("total"), F.lit(0).alias("n"))
+    return F.aggregate(
+        known, start,
+        lambda acc, token: F.struct(
+            (acc["total"] + table[token]).alias("total"), (acc["n"] + 1).alias("n")),
+        lambda acc: F.when(acc["n"] > 0, F.round(acc["total"] / acc["n"], 6)).otherwise(F.lit(0.0)),
+    )
 
 
 def polarity_by_table(texts: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame:
@@ -73,17 +75,26 @@ def polarity_by_table(texts: DataFrame, key: str, text: str, lexicon: DataFrame)
 
 
 def sentiment_class(score: Column) -> Column:
-    return (
-        F.when(score > POSITIVE_ABOVE, "positive")
-        .when(score < NEGATIVE_BELOW, "negative")
-        .otherwise("neutral")
-    )
+    """positive, negative or neutral; a missing score is neutral."""
+    def label(p: Column) -> Column:
+        return (F.when(p > POSITIVE_ABOVE, "positive").when(p < NEGATIVE_BELOW, "negative")
+                .otherwise("neutral"))
+    # As the one item of an array the score is computed once, not once per test.
+    return F.transform(F.array(score), label)[0]
 
 
 def sentiment(text: Column, lexicon: Mapping[str, float] = DEFAULT_LEXICON) -> Column:
+    """Class of a text; blank and missing texts are neutral."""
     return sentiment_class(polarity(text, lexicon))
 
 
+def with_feeling(df: DataFrame, label: Column, column: str = "sentiment") -> DataFrame:
+    """Adds the class and drops neutral rows.  Unfolding a list of at most one
+    class, unlike a filter, keeps Spark from scoring each text twice."""
+    felt = F.filter(F.array(label), lambda name: name != "neutral")
+    return df.withColumn(column, F.explode(felt))
+
+
 def model_scorer(load: Callable[[], Callable[[list[str]], list[str]]]):
     """A row scorer for any batch model: ``load`` runs once per Python worker task
     and returns a function from texts to labels."""

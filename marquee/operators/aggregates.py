@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions import casts, text
-from marquee.functions.sentiment import sentiment
+from marquee.functions.sentiment import sentiment, with_feeling
 
 def budget_by_country(movies: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Budget per country of the first listed name; nameless rows are skipped."""
@@ -74,13 +74,10 @@ def classified_rates(movies: DataFrame, lexicon=None, by: tuple[str, ...] = ())
 
     The budget test comes first, so the text of films it drops is never scored.
     """
-    score = sentiment(F.col("overview"), lexicon) if lexicon else sentiment(F.col("overview"))
-    return (
-        movies.filter("budget > 0")
-        .select(*by, score.alias("sentiment"),
-                casts.ratio(F.col("revenue"), F.col("budget")).alias("rate"))
-        .filter("sentiment <> 'neutral'")
-    )
+    label = sentiment(F.col("overview"), lexicon) if lexicon else sentiment(F.col("overview"))
+    rated = movies.filter("budget > 0").withColumn(
+        "rate", casts.ratio(F.col("revenue"), F.col("budget")))
+    return with_feeling(rated, label).select(*by, "sentiment", "rate")
 
 
 def genres_by_title(movies: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:

@@ -158,8 +158,8 @@ def route_categories(spark, sf_dir):
 
 def route_sentiment(spark, sf_dir):
     label = sentiment.sentiment(F.col("text"), LEXICON)
-    docs = table(spark, sf_dir, "documents").select("doc_id", label.alias("sentiment"))
-    return docs.filter("sentiment <> 'neutral'")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sentiment.with_feeling(docs, label).select("doc_id", "sentiment")
 
 
 def score_documents(spark, sf_dir):

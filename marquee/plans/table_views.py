@@ -25,23 +25,24 @@ def movies(spark: SparkSession, sf_dir: str, overview: bool = True, genres: bool
     out the join that provides them (the column is then empty)."""
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_suppkey", "l_partkey",
-        F.col("l_extendedprice").cast("decimal(18,2)").alias("price"))
-    places = (
-        table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-        .join(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"),
-              F.col("s_nationkey") == F.col("n_nationkey"))
-        .select("s_suppkey", "n_name")
+        F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("cents"))
+    # One dimension at a time: Spark then knows the size of each smaller side.
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    lines = (
+        lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
     )
-    lines = lines.join(places, F.col("l_suppkey") == F.col("s_suppkey"))
+    totals = [
+        F.array_sort(F.collect_set("n_name")).alias("nations"),
+        F.expr("(sum(cents) + 50) div 100").alias("budget")]
     if genres:
         parts = table(spark, sf_dir, "part").select("p_partkey", "p_type")
         lines = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
-    else:
-        lines = lines.withColumn("p_type", F.lit(None).cast("string"))
-    films = lines.groupBy("l_orderkey").agg(
-        F.array_sort(F.collect_set("n_name")).alias("nations"),
-        F.array_sort(F.collect_set("p_type")).alias("types"),
-        F.round(F.sum("price")).cast("bigint").alias("budget"))
+        totals.append(F.array_sort(F.collect_set("p_type")).alias("types"))
+    films = lines.groupBy("l_orderkey").agg(*totals)
+    if not genres:
+        films = films.withColumn("types", F.array().cast("array<string>"))
 
     orders = table(spark, sf_dir, "orders")
     joined = orders.join(films, F.col("o_orderkey") == F.col("l_orderkey"))

@@ -18,6 +18,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        # Sets per key are small here: sort only when a task holds very many keys.
+        .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "20000")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
