@@ -37,9 +37,11 @@ def common_names(expected: DataFrame, obtained: DataFrame) -> DataFrame:
 def missing_queries(answers: DataFrame, query_ids: Sequence[str] = tuple(S.ANSWER)) -> DataFrame:
     """``(client_id, query_id)`` for every expected query a client did not answer.
 
-    The short list of query ids is part of the plan and is unfolded per client.
+    The short list of query ids is part of the plan and is unfolded per client, and
+    only ids on it are gathered.
     """
-    seen = answers.groupBy("client_id").agg(F.collect_set("query_id").alias("seen"))
+    known = F.when(F.col("query_id").isin(list(query_ids)), F.col("query_id"))
+    seen = answers.groupBy("client_id").agg(F.collect_set(known).alias("seen"))
     wanted = F.array(*[F.lit(query) for query in query_ids])
     return seen.select("client_id", F.explode(F.array_except(wanted, "seen")).alias("query_id"))
 

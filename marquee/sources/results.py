@@ -20,6 +20,14 @@ def write_results(results: DataFrame, path: str) -> None:
     documents.write.mode("append").partitionBy("client_id", "query").text(path)
 
 
+def read_results(spark: SparkSession, path: str) -> DataFrame:
+    """What ``write_results`` left: one document per line, so files split freely."""
+    return spark.read.text(path).select(
+        F.col("client_id").cast("string").alias("client_id"),
+        F.get_json_object("value", "$.query_id").alias("query_id"),
+        F.get_json_object("value", "$.results").alias("results"))
+
+
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """``(path, document)``: every JSON object of files that hold several, one
     after another, pretty-printed or not.  A file is one client's few answers."""

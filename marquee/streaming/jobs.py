@@ -71,8 +71,14 @@ def completions(markers: DataFrame, queues: Sequence[str], nodes: int,
         if complete and not done:
             yield pd.DataFrame({"client_id": [key[0]]})
 
+    def drop_repeats(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for chunk in chunks:
+            yield chunk.drop_duplicates()
+
     known = markers.filter(F.col("queue").isin(wanted)).select(
         F.col("client_id").cast("string"), "queue", F.col("node_id").cast("string"))
+    # Repeats go before the shuffle, so a client with very many markers stays light.
+    known = known.mapInPandas(drop_repeats, known.schema)
     timeout = (
         GroupStateTimeout.ProcessingTimeTimeout if forget_after_ms else GroupStateTimeout.NoTimeout)
     return known.groupBy("client_id").applyInPandasWithState(

@@ -61,6 +61,17 @@ def test_notebook_rules(inputs):
     assert sorted(r.name for r in film.q4(recent, credits, rules).collect()) == ["Ana", "Bob", "Zoe"]
 
 
+def test_notebook_cleaning(spark, tmp_path):
+    path = write_movies(tmp_path / "m.csv", [
+        movie(id="1", spoken_languages="[{'iso_639_1': 'es', 'name': 'Spanish'}]"),
+        movie(id="2", overview=""), movie(id="3", title="")])
+    raw = films.read_movies(spark, path)
+    kept = clean.require(
+        clean.empty_to_null(raw, ["title", "overview", "release_date"]), clean.NOTEBOOK_MOVIE_REQUIRED)
+    assert [r.id for r in kept.collect()] == [1]
+    assert kept.columns == list(clean.NOTEBOOK_MOVIE_REQUIRED)
+
+
 def test_tenants_do_not_mix(inputs):
     def two(df):
         return df.withColumn("client_id", F.explode(F.array(F.lit("x"), F.lit("y"))))
@@ -77,7 +88,8 @@ def test_answers_written_and_compared(spark, inputs, tmp_path):
     answers = film.all_queries(*inputs, film.Rules(lexicon=WORDS))
     documents = film.envelopes(answers, "client-1")
     results.write_results(documents, str(tmp_path / "out"))
-    stored = results.read_reference_results(spark, str(tmp_path / "out"))
+    stored = results.read_results(spark, str(tmp_path / "out"))
+    assert {r.client_id for r in stored.collect()} == {"client-1"}
     assert sorted(r.query_id for r in stored.collect()) == ["Q1", "Q2", "Q3", "Q4", "Q5"]
     assert compare.compare_answers(stored, documents).count() == 0
     nothing = film.all_queries(*[df.limit(0) for df in inputs])
