@@ -136,7 +136,7 @@ def test_credits(spark, tmp_path):
     names = {i: [c.name for c in r.cast] for i, r in rows.items()}
     assert names == {5: ["Ricardo Darín", "O'Brien", 'The "Kid"'], 6: [],
                      7: ["Good", "Last"], 8: ["Caf\x81é"]}
-    assert rows[8].crew[0].job == "Boss" and rows[5].cast[0].gender is None
+    assert rows[8].crew[0].name == "Boss" and rows[5].cast[0].gender is None
     rejected = films.read_credits(spark, path, keep_rejects=True).filter(F.size("problems") > 0)
     assert rejected.count() == 3
 
