@@ -30,7 +30,9 @@ MAX_INLINE_WORDS = 5_000
 
 
 def tokens(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit("([a-z]+)"), F.lit(1))
+    """Lower-case words; none for a missing text."""
+    return F.regexp_extract_all(
+        F.lower(F.coalesce(text, F.lit(""))), F.lit("([a-z]+)"), F.lit(1))
 
 
 def polarity(text: Column, lexicon: Mapping[str, float] = DEFAULT_LEXICON) -> Column:
