@@ -4,10 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marquee.llm import langid, simhash
+from marquee.llm import decontaminate, langid, mixing, oracle, simhash
 from marquee.llm.common import table
 
 
+def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    hits = decontaminate.with_hits(docs, table(spark, sf_dir, "benchmark"))
+    return hits.select("doc_id", F.explode("hits").alias("hit")).select("doc_id", "hit.*")
+
+
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
@@ -20,5 +31,6 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", langid.held_out().alias("held_out"), "language.lang_pred", "language.score")
 
 
-QUERIES = {f.__name__: f for f in (op9_simhash_dedup, op10_language_id)}
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (
+    op2_source_mix, op4_benchmark_decontamination, op9_simhash_dedup, op10_language_id)}
+SQL = dict(oracle.SQL)
