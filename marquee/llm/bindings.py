@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marquee.llm import decontaminate, langid, mixing, oracle, simhash
+from marquee.llm import decontaminate, langid, linededup, mixing, oracle, simhash
 from marquee.llm.common import table
 
 
@@ -19,6 +19,12 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return hits.select("doc_id", F.explode("hits").alias("hit")).select("doc_id", "hit.*")
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = linededup.with_lines(docs)
+    return out.select("doc_id", "n_lines", F.size("dropped").cast("long").alias("n_dropped"), "dropped", "text")
+
+
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
@@ -32,5 +38,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_source_mix, op4_benchmark_decontamination, op9_simhash_dedup, op10_language_id)}
+    op2_source_mix, op4_benchmark_decontamination, op6_line_dedup, op9_simhash_dedup, op10_language_id)}
 SQL = dict(oracle.SQL)
