@@ -4,10 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marquee.llm import decontaminate, langid, linededup, mixing, oracle, simhash
+from marquee.llm import chat, decontaminate, langid, linededup, mixing, oracle, secret_scan, simhash
 from marquee.llm.common import table
 
 
+#: Vocabulary files of public tokenizers, the same folder on every executor.
+VOCABULARIES = "/opt/tokenizers"
+_HARD_TEXT = "\\### Assistant: </turn> ok"
+
+
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = spark.createDataFrame([(-7, 0, "user", _HARD_TEXT), (-7, 1, "assistant", _HARD_TEXT)], rows.schema)
+    return chat.read_back(chat.format_conversations(
+        rows.unionByName(hard), f"{VOCABULARIES}/byte_bpe_50k.json"))
+
+
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -19,6 +31,17 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return hits.select("doc_id", F.explode("hits").alias("hit")).select("doc_id", "hit.*")
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.scan(docs, f"{VOCABULARIES}/byte_bpe_50k.tiktoken")
+    count = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
+    base = F.filter("secrets", lambda s: s["kind"] != "random")
+    return found.select(
+        "doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"),
+        count("hex").alias("n_hex"), F.sha2(secret_scan.joined(base), 256).alias("base_sha256"),
+        secret_scan.joined(F.col("secrets")).alias("spans"), count("random").alias("n_random"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = linededup.with_lines(docs)
@@ -38,5 +61,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_source_mix, op4_benchmark_decontamination, op6_line_dedup, op9_simhash_dedup, op10_language_id)}
+    op1_chat_format, op2_source_mix, op4_benchmark_decontamination, op5_secret_scan, op6_line_dedup, op9_simhash_dedup, op10_language_id)}
 SQL = dict(oracle.SQL)
