@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marquee.llm import chat, decontaminate, langid, linededup, mixing, oracle, secret_scan, simhash
+from marquee.llm import chat, decontaminate, imatch, langid, linededup, mixing, oracle, secret_scan, simhash
 from marquee.llm.common import table
 
 
@@ -25,6 +25,10 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     hits = decontaminate.with_hits(docs, table(spark, sf_dir, "benchmark"))
@@ -61,5 +65,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_chat_format, op2_source_mix, op4_benchmark_decontamination, op5_secret_scan, op6_line_dedup, op9_simhash_dedup, op10_language_id)}
+    op1_chat_format, op2_source_mix, op3_fingerprints, op4_benchmark_decontamination, op5_secret_scan, op6_line_dedup, op9_simhash_dedup, op10_language_id)}
 SQL = dict(oracle.SQL)
