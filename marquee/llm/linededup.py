@@ -55,7 +55,8 @@ def repeated_lines(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id",
     line; a null id comes first.  Rows with equal id and text are one document.
     """
     lines = materialize(_lines(docs, id_col, text_col).distinct(), "lines")
-    twice = lines.groupBy("id1", "id2").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Counts are written, so that the joins read plain shuffles, which Spark splits where skewed.
+    twice = materialize(lines.groupBy("id1", "id2").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "twice")
     some = materialize(lines.join(twice.drop("n"), ["id1", "id2"]), "repeated")
     order = numbered(some.select("doc", "h").distinct(),
                      [F.col("doc").asc_nulls_first(), F.col("h")])
@@ -79,8 +80,8 @@ def repeated_lines(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id",
     for more in named[1:]:
         runs = runs.unionByName(more)
     runs = materialize(runs, "runs")
-    first = runs.groupBy("length", "one", "two").agg(F.min("at").alias("first"), F.max("at").alias("last")).where(
-        "first < last")
+    first = materialize(runs.groupBy("length", "one", "two").agg(
+        F.min("at").alias("first"), F.max("at").alias("last")).where("first < last"), "first")
     later = runs.join(first, ["length", "one", "two"]).where("at > first")
     gone = later.select(F.explode(F.sequence("at", F.col("at") + F.col("length") - 1)).alias("at")).distinct()
     return some.join(gone, "at").groupBy("doc", "h").agg(F.collect_set("pos").alias("drop"))
@@ -89,8 +90,8 @@ def repeated_lines(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id",
 def _ranked(pairs: DataFrame) -> DataFrame:
     """(at, rank) of the places whose pair occurs twice or more; rank is the first such place."""
     pairs = materialize(pairs, "pairs")
-    classes = pairs.groupBy("one", "two").agg(
-        F.min("at").alias("rank"), F.max("at").alias("last")).where("rank < last").drop("last")
+    classes = materialize(pairs.groupBy("one", "two").agg(
+        F.min("at").alias("rank"), F.max("at").alias("last")).where("rank < last").drop("last"), "classes")
     return materialize(pairs.join(classes, ["one", "two"]).select("at", "rank"), "ranks")
 
 
