@@ -1,20 +1,25 @@
 """From raw documents to a training mix, stage by stage.
 
-Each stage takes (spark, docs, sf_dir), where docs is all that the stage before
-kept, reread from Parquet; all but the last return the columns of documents.
+Each stage takes (spark, docs, sf_dir), where docs is all that the stage before kept,
+reread from Parquet; all but the last return the columns of documents.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import langid, simhash
+from marquee.llm import decontaminate, langid, linededup, mixing, simhash
 from marquee.session import materialize
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the model knows."""
-    return langid.keep_known(docs)
+    """Documents in a language that the model knows; those without a letter or a clear answer go."""
+    return langid.keep_known(docs, least=0.5)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without later copies of line runs of 50 words or more; texts that were only copies go."""
+    return linededup.drop_repeats(docs, min_words=50)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,9 +27,20 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.drop_near(docs, shingle=4, bits=4)
 
 
-STAGES = [("language", language), ("near_dedup", near_dedup)]
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the mix takes, with ``copies`` (how often) and ``taken`` (words)."""
+    return mixing.mix(docs).where("copies > 0")
+
+
+STAGES = [("language", language), ("line_dedup", line_dedup), ("near_dedup", near_dedup),
+          ("decontamination", decontamination), ("source_mix", source_mix)]
 
-#: SQL has no trained network, no XXH64 and no Hamming index.
+#: SQL has no trained network and no XXH64, so the stages are tested one by one.
 ORACLE_SQL = None
 
 
