@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marquee.llm import chat, decontaminate, imatch, langid, linededup, mixing, oracle, secret_scan, simhash
+from marquee.llm import (
+    chat, decontaminate, html_text, imatch, langid, linededup, mixing, oracle, secret_scan, simhash, toxicity)
 from marquee.llm.common import table
 
 
@@ -52,6 +53,18 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", F.size("dropped").cast("long").alias("n_dropped"), "dropped", "text")
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages).select(
+        "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.rate(docs, model).select("doc_id", "severity", "grade", "toxic")
+
+
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
@@ -65,5 +78,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_chat_format, op2_source_mix, op3_fingerprints, op4_benchmark_decontamination, op5_secret_scan, op6_line_dedup, op9_simhash_dedup, op10_language_id)}
+    op1_chat_format, op2_source_mix, op3_fingerprints, op4_benchmark_decontamination, op5_secret_scan, op6_line_dedup, op7_html_text, op8_toxicity, op9_simhash_dedup, op10_language_id)}
 SQL = dict(oracle.SQL)
