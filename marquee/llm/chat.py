@@ -20,6 +20,7 @@ the turn counts, so the text under the mask is exactly the assistants' text.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -89,6 +90,7 @@ def mask(offsets: np.ndarray, spans: list[tuple[int, int]]) -> tuple[np.ndarray,
 
 @lru_cache(maxsize=2)
 def _tokenizer(path: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
@@ -112,17 +114,18 @@ def format_conversations(rows: DataFrame, vocabulary: str, learned: str = LEARNE
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         tokenizer = _tokenizer(vocabulary)
         for conversations in batches:
-            out = []
-            for at in range(0, len(conversations), 64):
+            for at in range(0, len(conversations), 64):  # small pieces, handed on at once
+                out = []
                 made = [render([(t["role"], t["text"]) for t in c], learned)
                         for c in conversations.iloc[at:at + 64]]
                 codes = tokenizer.encode_batch([m[0] for m in made], add_special_tokens=False)
                 for (formatted, spans), code in zip(made, codes):
                     chosen, pieces = mask(np.array(code.offsets, np.int64).reshape(-1, 2), spans)
                     out.append((formatted, code.ids, chosen, [{"start": a, "stop": b} for a, b in pieces]))
-            yield pd.DataFrame(out, columns=["formatted", "token_ids", "loss_mask", "loss_spans"])
+                yield pd.DataFrame(out, columns=["formatted", "token_ids", "loss_mask", "loss_spans"])
 
-    return turns.withColumn("made", encode("turns")).select("conv_id", "turns", "made.*")
+    # not deterministic: Spark then runs it once for all its fields
+    return turns.withColumn("made", encode.asNondeterministic()("turns")).select("conv_id", "turns", "made.*")
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
@@ -141,7 +144,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
             yield pd.DataFrame(out, columns=["n_turns", "turns_sha256", "loss_chars", "loss_sha256",
                                              "formatted_chars", "n_tokens", "n_loss_tokens"])
 
-    return formatted.select("conv_id", digests("formatted", "loss_spans", "loss_mask").alias("d")).select(
+    return formatted.select("conv_id", digests.asNondeterministic()("formatted", "loss_spans", "loss_mask").alias("d")).select(
         "conv_id", "d.*")
 
 
