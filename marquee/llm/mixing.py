@@ -6,7 +6,7 @@ Efraimidis and Spirakis: a document's key is an exponential variate divided by i
 quality weight, documents are sorted by key within their source, and a prefix of
 that order is taken whose words come nearest to the rest.
 
-The order is never made in one piece.  Keys fall into up to 65,537 bins, whose sizes
+The order is never made in one piece.  Keys fall into up to 4,097 bins, whose sizes
 are summed before they are shuffled; the prefix sum over bins finds the bin in which
 a source's budget ends, and only the documents of that bin are sorted.  What comes
 out is one cut per source, so a source with a third of all rows is no larger than
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from marquee.llm.common import whole_text, word_count
 from marquee.session import materialize
 
-BINS = 65_536
+BINS = 4_096
 SHARES = (5, 2, 1)
 
 
