@@ -234,7 +234,7 @@ def _scan_column(text: Column, rows: tuple) -> Column:
             yield pd.Series([[dict(zip(names, hit)) for hit in hits]
                              for hits in items.scan(list(texts))], dtype=object)
 
-    return scan(text)
+    return scan.asNondeterministic()(text)  # Spark then runs it once, also below an explode
 
 
 def with_hits(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
