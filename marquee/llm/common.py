@@ -25,6 +25,12 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(NOT_SPACE)).cast("long")
 
 
+def as_row(df: DataFrame, **needed: Column) -> DataFrame:
+    """The whole row in column ``row``, beside what is ``needed`` of it, so that no name can clash."""
+    return df.select(F.struct(*[df[c] for c in df.columns]).alias("row"),
+                     *[c.alias(name) for name, c in needed.items()])
+
+
 def numbered(keys: DataFrame, order: list[Column], name: str = "ord") -> DataFrame:
     """``keys`` with 0, 1, 2, ... in the given order, as a written table.
 
@@ -55,12 +61,12 @@ def keep_ids(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id") -> DataFr
 
     Rows that share an id are one document, of which one row stays.
     """
-    kept = kept.select(F.col(id_col).alias("_kept"))
+    kept = kept.select(F.col(id_col).alias("_kept")).distinct()
     again = materialize(
         docs.groupBy(F.col(id_col).alias("_again")).count().where("count > 1").select("_again"), "again")
-    out = docs.join(kept.distinct(), docs[id_col].eqNullSafe(F.col("_kept")), "left_semi")
+    out = docs.join(kept, docs[id_col].eqNullSafe(kept["_kept"]), "left_semi")
     if again.isEmpty():
         return out
-    same = out[id_col].eqNullSafe(F.col("_again"))
+    same = out[id_col].eqNullSafe(again["_again"])
     return out.join(again, same, "left_anti").unionByName(
         out.join(again, same, "left_semi").dropDuplicates([id_col]))

@@ -27,6 +27,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from marquee.llm.common import as_row
 from marquee.llm.simhash import ball
 
 SHINGLE = 5
@@ -259,5 +260,5 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") ->
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
     """Documents in which no benchmark item was found, columns unchanged."""
-    return (with_hits(docs, benchmark, text_col).where(F.size("hits") == 0)
-            .select(*[docs[c] for c in docs.columns if c != "hits"]))
+    rows = as_row(docs, text=F.col(text_col))
+    return with_hits(rows, benchmark).where(F.size("hits") == 0).select("row.*")

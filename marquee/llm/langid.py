@@ -21,6 +21,8 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame, functions as F
 
+from marquee.llm.common import as_row
+
 WIDTHS = (2, 3, 4)
 FILTERS = 16
 WINDOW = 256
@@ -131,17 +133,19 @@ def sample_windows(labelled: DataFrame, id_col: str = "doc_id", text_col: str =
     Documents are chosen by a hash of id and text, so the choice doesn't hang on
     their order; each gives up to WINDOWS_PER_DOC windows from places spread over it.
     """
-    known = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = known.groupBy(F.col(lang_col).alias("_lang")).agg(F.count(F.lit(1)).alias("_n"))
-    place = F.pmod(F.xxhash64(F.lit("sample"), F.col(id_col)), F.lit(1_000_000)) / 1e6
-    chosen = known.join(F.broadcast(counts), F.col(lang_col) == F.col("_lang")).where(
-        place < F.lit(float(per_language)) / F.col("_n"))
-    size = F.char_length(text_col)
+    known = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("of"))
+    known = known.where("of is not null and text is not null")
+    counts = known.groupBy(F.col("of").alias("lang")).agg(F.count(F.lit(1)).alias("n"))
+    place = F.pmod(F.xxhash64(F.lit("sample"), F.col("id")), F.lit(1_000_000)) / 1e6
+    # one row per language
+    chosen = known.join(F.broadcast(counts), F.col("of") == F.col("lang")).where(
+        place < F.lit(float(per_language)) / F.col("n"))
+    size = F.char_length("text")
     starts = F.array(*[(size * k / WINDOWS_PER_DOC).cast("int") for k in range(WINDOWS_PER_DOC)])
-    windows = chosen.select("_lang", F.explode(F.transform(
-        starts, lambda s: F.substring(F.col(text_col), s + 1, F.lit(WINDOW)))).alias("piece"))
+    windows = chosen.select("lang", F.explode(F.transform(
+        starts, lambda s: F.substring(F.col("text"), s + 1, F.lit(WINDOW)))).alias("piece"))
     rows = windows.where(F.length("piece") > 0).distinct().collect()
-    return sorted((r["_lang"], r["piece"].encode("utf-8")[:WINDOW]) for r in rows)
+    return sorted((r["lang"], r["piece"].encode("utf-8")[:WINDOW]) for r in rows)
 
 
 def fit(labelled: DataFrame, **options) -> Model:
@@ -194,7 +198,7 @@ def scorer(model: Model):
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with struct column ``language``: lang_pred and score.
+    """``docs`` with struct column ``language``: lang_pred and score.  It replaces one of that name.
 
     Null texts and texts without a letter get ``und`` with score 0, as does every
     text if the model has learned no language.  Equal texts get equal answers.
@@ -206,7 +210,8 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
             names, values = score([t if isinstance(t, str) else None for t in texts])
             yield pd.DataFrame({"lang_pred": names, "score": values})
 
-    return docs.withColumn("language", answer(F.col(text_col).cast("string")))
+    # not deterministic: Spark then runs it once for all its fields
+    return docs.withColumn("language", answer.asNondeterministic()(F.col(text_col).cast("string")))
 
 
 def held_out(id_col: str = "doc_id"):
@@ -220,6 +225,6 @@ def keep_known(docs: DataFrame, least: float = 0.5, id_col: str = "doc_id",
     model = fit(docs.where(~held_out(id_col)), id_col=id_col, text_col=text_col, lang_col=lang_col)
     if not model.languages:
         return docs.where(F.col(text_col).rlike("\\p{L}"))
-    return (predict(docs, model, text_col)
+    return (predict(as_row(docs, text=F.col(text_col)), model)
             .where((F.col("language.lang_pred") != UNKNOWN) & (F.col("language.score") >= least))
-            .select(*[docs[c] for c in docs.columns]))
+            .select("row.*"))

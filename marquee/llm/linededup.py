@@ -26,7 +26,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from marquee.llm.common import NOT_SPACE, numbered, whole_text
+from marquee.llm.common import NOT_SPACE, as_row, numbered, whole_text
 from marquee.session import materialize
 
 #: Lines per document are numbered in 28 bits, documents in 35.
@@ -136,18 +136,19 @@ def with_lines(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id",
     word.  Repeated rows (equal id and text) are one document and get one answer.
     An empty table stays empty.
     """
-    drops = repeated_lines(docs, min_words, id_col, text_col).select(
-        F.col("doc").alias("_doc"), F.col("h").alias("_h"), F.col("drop").alias("_drop"))
-    joined = docs.join(drops, docs[id_col].eqNullSafe(F.col("_doc"))
-                       & (F.xxhash64(whole_text(text_col)) == F.col("_h")), "left")
-    lines = F.split(F.col(text_col), "\n")
-    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_drop")),
+    drops = repeated_lines(docs, min_words, id_col, text_col)
+    rows = as_row(docs, id=F.col(id_col), key=F.xxhash64(whole_text(text_col)))
+    joined = rows.join(drops, F.col("id").eqNullSafe(F.col("doc")) & (F.col("key") == F.col("h")), "left")
+    old = F.col("row").getField(text_col)
+    lines = F.split(old, "\n")
+    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("drop")),
                        lambda i: F.get(lines, i))
-    text = F.when(F.col("_drop").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
+    text = F.when(F.col("drop").isNull(), old).otherwise(F.array_join(kept, "\n"))
     return joined.select(
-        *[text.alias(c) if c == text_col else docs[c] for c in docs.columns if c not in ("n_lines", "dropped")],
-        F.when(F.col(text_col).isNull(), 0).otherwise(F.size(lines)).alias("n_lines"),
-        F.coalesce(F.sort_array("_drop"), F.array().cast("array<int>")).alias("dropped"))
+        *[(text if c == text_col else F.col("row").getField(c)).alias(c)
+          for c in docs.columns if c not in ("n_lines", "dropped")],
+        F.when(old.isNull(), 0).otherwise(F.size(lines)).alias("n_lines"),
+        F.coalesce(F.sort_array("drop"), F.array().cast("array<int>")).alias("dropped"))
 
 
 def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -155,9 +156,12 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Columns are those of ``docs``; ``n_chars``, if there, follows the text.
     """
-    out = with_lines(docs, id_col=id_col, text_col=text_col, **options)
-    emptied = (F.size("dropped") > 0) & (F.trim(F.col(text_col), F.lit(_BLANK)) == "")
-    length = F.char_length(text_col).cast(dict(docs.dtypes).get("n_chars", "long"))
+    rows = as_row(docs, doc_id=F.col(id_col), text=F.col(text_col))
+    out = with_lines(rows, **options)
+    emptied = (F.size("dropped") > 0) & (F.trim("text", F.lit(_BLANK)) == "")
+    length = F.char_length("text").cast(dict(docs.dtypes).get("n_chars", "long"))
+    new = {text_col: F.col("text")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(F.size("dropped") > 0, length).otherwise(F.col("row").getField("n_chars"))
     return out.where(~F.coalesce(emptied, F.lit(False))).select(*[
-        F.when(F.size("dropped") > 0, length).otherwise(F.col(c)).alias(c) if c == "n_chars" else F.col(c)
-        for c in docs.columns])
+        (new[c] if c in new else F.col("row").getField(c)).alias(c) for c in docs.columns])

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from marquee.llm.common import whole_text, word_count
+from marquee.llm.common import as_row, whole_text, word_count
 from marquee.session import materialize
 
 BINS = 4_096
@@ -93,12 +93,12 @@ def plan(measured: DataFrame, **options) -> DataFrame:
 
 def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             source_col: str = "source", weight: Column | None = None) -> DataFrame:
-    """``docs`` with ``_size`` (words), ``_key`` and ``_bin``."""
+    """The rows of ``docs`` with source, size (words), key and bin."""
     text = whole_text(text_col)
     seed = F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(":"), text)
     key = exponential_key(seed, quality_weight(text) if weight is None else weight)
-    return (docs.withColumn("_size", word_count(text)).withColumn("_key", key)
-            .withColumn("_bin", F.floor((1 - F.exp(-F.col("_key"))) * BINS).cast("int")))
+    rows = as_row(docs, source=F.col(source_col), size=word_count(text), key=key)
+    return rows.withColumn("bin", F.floor((1 - F.exp(-F.col("key"))) * BINS).cast("int"))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -112,15 +112,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """
     added = ("size", "source_size", "target", "copies", "taken")
     measured = measure(docs, id_col, text_col, source_col, weight)
-    slim = materialize(measured.select(F.col(source_col).alias("source"), F.col("_size").alias("size"),
-                                       F.col("_key").alias("key"), F.col("_bin").alias("bin")), "sizes")
-    ends = plan(slim, **options).select(
-        F.col("source").alias("_of"), F.col("source_size").alias("_total"), F.col("target").alias("_target"),
-        "epochs", "cut_bin", "cut_key")
-    more = F.coalesce((F.col("_bin") < F.col("cut_bin"))
-                      | ((F.col("_bin") == F.col("cut_bin")) & (F.col("_key") <= F.col("cut_key"))), F.lit(False))
+    ends = plan(materialize(measured.drop("row"), "sizes"), **options).withColumnRenamed("source", "of")
+    more = F.coalesce((F.col("bin") < F.col("cut_bin"))
+                      | ((F.col("bin") == F.col("cut_bin")) & (F.col("key") <= F.col("cut_key"))), F.lit(False))
     copies = F.col("epochs") + more.cast("int")
-    return measured.join(ends, F.col(source_col).eqNullSafe(F.col("_of"))).select(
-        *[docs[c] for c in docs.columns if c not in added],
-        F.col("_size").alias("size"), F.col("_total").alias("source_size"), F.col("_target").alias("target"),
-        copies.alias("copies"), (copies * F.col("_size")).cast("long").alias("taken"))
+    return measured.join(ends, F.col("source").eqNullSafe(F.col("of"))).select(
+        *[F.col("row").getField(c).alias(c) for c in docs.columns if c not in added],
+        "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).cast("long").alias("taken"))

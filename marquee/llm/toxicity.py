@@ -24,6 +24,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from marquee.llm.common import as_row
 from marquee.session import materialize
 
 SAMPLE = 4000
@@ -109,9 +110,9 @@ def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE, id_col: str =
         for texts in batches:
             yield pd.Series([sorted(features(t)) for t in texts], dtype=object)
 
-    joined = docs.where(F.col(text_col).isNotNull()).join(F.broadcast(chosen), F.col(id_col) == F.col("_id"))
-    return joined.select(F.col("_id").alias("id"), F.col("_toxic").alias("toxic"),
-                         names(F.col(text_col).cast("string")).alias("names"))
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
+    return texts.join(F.broadcast(chosen), F.col("id") == F.col("_id")).select(
+        "id", F.col("_toxic").alias("toxic"), names("text").alias("names"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE, **columns) -> Model:
@@ -161,5 +162,7 @@ def rate(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
             yield pd.DataFrame(out, columns=["severity", "grade", "toxic"])
 
     # not deterministic: Spark then runs it once for all its fields
-    made = docs.withColumn("_rated", rated.asNondeterministic()(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
-    return made.select(*[F.col(c) for c in docs.columns if c not in ("severity", "grade", "toxic")], "_rated.*")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    made = as_row(docs, rated=rated.asNondeterministic()(text))
+    return made.select(*[F.col("row").getField(c).alias(c) for c in docs.columns
+                         if c not in ("severity", "grade", "toxic")], "rated.*")
