@@ -104,7 +104,7 @@ def _neighbours(keyed: DataFrame) -> tuple[DataFrame, int]:
                           F.col("k1").alias("n1"), F.col("k2").alias("n2"))
     behind = placed.select((F.pmod(F.col("ord") + 1, F.lit(max(1, count)))).alias("ord"),
                            F.col("k1").alias("p1"), F.col("k2").alias("p2"), F.col("n").alias("p_chars"))
-    return materialize(placed.join(ahead, "ord").join(behind, "ord").drop("ord", "doc_id"), "neighbours"), count
+    return materialize(placed.join(ahead, "ord").join(behind, "ord").drop("ord"), "neighbours"), count
 
 
 def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, int]:
@@ -115,7 +115,8 @@ def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     keyed = _keyed(docs, id_col, text_col)
     near, count = _neighbours(keyed)
-    placed = keyed.join(near, ["k1", "k2"])
+    # Both uses of ``placed`` need the same columns of the texts, so these are shuffled once.
+    placed = keyed.drop("doc_id").join(near, ["k1", "k2"])
     third = F.floor(F.col("n") / 3).cast("int")
     heads = placed.select(F.col("p1").alias("k1"), F.col("p2").alias("k2"),
                           F.substring("text", F.lit(1), F.floor(F.col("p_chars") / 3).cast("int")).alias("head"))
