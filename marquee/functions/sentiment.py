@@ -8,6 +8,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marquee.functions import casts
+from marquee.session import materialize
+
 # Thresholds are strict: a polarity of exactly 0.1 or -0.1 is neutral.
 POSITIVE_ABOVE = 0.1
 NEGATIVE_BELOW = -0.1
@@ -25,55 +28,57 @@ DEFAULT_LEXICON = {
     "brutal": -0.9, "angry": -0.5, "fear": -0.4, "lost": -0.3, "tragic": -0.75,
 }
 
-# A lexicon written into the plan itself must stay small; bigger ones are tables.
-MAX_INLINE_WORDS = 5_000
+#: A word: letters and digits, with apostrophes inside.
+WORD = "[\\p{L}\\p{N}]+(?:'[\\p{L}\\p{N}]+)*"
 
 
 def tokens(text: Column) -> Column:
-    """Lower-case words; none for a missing text."""
+    """Lower-case words; none for a missing or blank text."""
     return F.regexp_extract_all(
-        F.lower(F.coalesce(text, F.lit(""))), F.lit("([a-z]+)"), F.lit(1))
+        F.lower(F.when(casts.blank(text), "").otherwise(text)), F.lit(WORD), F.lit(0))
 
 
 def polarity(text: Column, lexicon: Mapping[str, float] = DEFAULT_LEXICON) -> Column:
     """Mean polarity of the lexicon words in ``text``, 0 when there is none.
 
-    Needs no shuffle and no key.  The words are split once and folded into one
-    sum and count; a hashed set test spares unknown words the table lookup.
+    Needs no shuffle and no key.  Words are split once, and a hashed set of all words
+    spares unknown ones the rest.  Words of one polarity form one set, whose hits are
+    counted; the sum goes by polarity, so it doesn't hang on the order of the words.
     """
-    if len(lexicon) > MAX_INLINE_WORDS:
-        raise ValueError("lexicon too large to inline: use polarity_by_table")
-    words = sorted(lexicon)
-    table = F.create_map(*[F.lit(x) for word in words for x in (word, float(lexicon[word]))])
-    known = F.filter(tokens(text), lambda token: token.isin(words))
-    start = F.struct(F.lit(0.0).alias("total"), F.lit(0).alias("n"))
-    return F.aggregate(
-        known, start,
-        lambda acc, token: F.struct(
-            (acc["total"] + table[token]).alias("total"), (acc["n"] + 1).alias("n")),
-        lambda acc: F.when(acc["n"] > 0, F.round(acc["total"] / acc["n"], 6)).otherwise(F.lit(0.0)),
-    )
+    by_value: dict[float, list[str]] = {}
+    for word in sorted(lexicon):
+        by_value.setdefault(float(lexicon[word]), []).append(word)
+    if not by_value:
+        return F.lit(0.0)
+    known = F.filter(tokens(text), lambda token: token.isin(sorted(lexicon)))
+
+    def mean(hits: Column) -> Column:
+        total = F.lit(0.0)
+        for value in sorted(by_value):
+            words = by_value[value]
+            total = total + F.lit(value) * F.size(F.filter(hits, lambda token: token.isin(words)))
+        return F.when(F.size(hits) > 0, total / F.size(hits)).otherwise(F.lit(0.0))
+
+    # As the one item of an array the hits are found once, not once per polarity.
+    return F.transform(F.array(known), mean)[0]
 
 
 def polarity_by_table(texts: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame:
     """``(key, polarity)`` for a lexicon of any size, given as ``(word, polarity)``.
 
-    Words are counted per key before the join, so a frequent word is one row per
-    text; Spark broadcasts the lexicon if its size allows and shuffles it if not.
+    The lexicon is written first, so its size is known: Spark sends it to the texts
+    where it is small, and only the hits, summed per task, are shuffled.  The texts
+    are read once; an entry that no lexicon has keeps each text in the result.
     """
-    counts = (
-        texts.select(key, F.explode(tokens(F.col(text))).alias("word"))
-        .groupBy(key, "word").agg(F.count("*").alias("n"))
-    )
-    scored = (
-        counts.join(lexicon.select("word", "polarity"), "word")
-        .groupBy(key)
-        .agg((F.sum(F.col("polarity") * F.col("n")) / F.sum("n")).alias("mean"))
-    )
-    return (
-        texts.select(key).distinct().join(scored, key, "left")
-        .select(key, F.coalesce(F.round("mean", 6), F.lit(0.0)).alias("polarity"))
-    )
+    own = F.concat(F.lit("\0"), F.xxhash64(key).cast("string"))
+    words = F.array_append(tokens(F.col(text)), own)
+    spread = texts.select(key, F.explode(words).alias("word"))
+    known = materialize(lexicon.select("word", "polarity").dropDuplicates(["word"]), "lexicon")
+    # Hits and each text's own entry are all that goes on; other words end here.
+    hits = spread.join(known, "word", "left").filter(
+        F.col("polarity").isNotNull() | F.col("word").startswith("\0"))
+    return hits.groupBy(key).agg(
+        F.coalesce(F.sum("polarity") / F.count("polarity"), F.lit(0.0)).alias("polarity"))
 
 
 def sentiment_class(score: Column) -> Column:

@@ -14,19 +14,20 @@ def require(df: DataFrame, required, keep=None) -> DataFrame:
     return df.na.drop(subset=list(required)).select(*(keep or required))
 
 
-def clean_movies(movies: DataFrame, required=S.MOVIE_REQUIRED) -> DataFrame:
-    return require(movies, required)
+def clean_movies(movies: DataFrame, required=S.MOVIE_REQUIRED, by=()) -> DataFrame:
+    """``by`` names tenant columns to keep in front, here and below."""
+    return require(movies, required, (*by, *required))
 
 
-def clean_ratings(ratings: DataFrame) -> DataFrame:
-    return require(ratings, S.RATING_REQUIRED).select(
-        F.col("movieId").alias("movie_id"), "rating")
+def clean_ratings(ratings: DataFrame, by=()) -> DataFrame:
+    return require(ratings, S.RATING_REQUIRED, (*by, *S.RATING_REQUIRED)).select(
+        *by, F.col("movieId").alias("movie_id"), "rating")
 
 
-def clean_credits(credits: DataFrame) -> DataFrame:
+def clean_credits(credits: DataFrame, by=()) -> DataFrame:
     """Cast members become their names; nameless ones are left out."""
-    return require(credits, S.CREDIT_REQUIRED).select(
-        "id", filled_names(F.col("cast")).alias("cast"))
+    return require(credits, S.CREDIT_REQUIRED, (*by, *S.CREDIT_REQUIRED)).select(
+        *by, "id", filled_names(F.col("cast")).alias("cast"))
 
 
 # Columns the single-machine variant of the analysis asks for.

@@ -13,25 +13,47 @@ from marquee.functions.json_text import canonical_json, normalized
 
 def diff_rows(expected: DataFrame, obtained: DataFrame, keys) -> DataFrame:
     """Keys whose rows differ: ``missing``, ``extra`` or ``changed``, with both
-    versions of the other columns as structs."""
+    versions of the other columns as structs.
+
+    One aggregate per key over both sides, so nothing is joined and a hot key is one
+    row per task.  A key may have several rows; they are compared as a bag, by count
+    and hash sum, and the largest row is shown.  Null keys are equal.
+    """
     values = [c for c in expected.columns if c not in keys]
-    left = expected.select(*keys, F.struct(*values).alias("expected"))
-    right = obtained.select(*keys, F.struct(*values).alias("obtained"))
-    both = left.join(right, list(keys), "full_outer")
+    body = F.struct(*values)
+    both = expected.select(*keys, body.alias("_v"), F.lit(True).alias("_want")).unionByName(
+        obtained.select(*keys, body.alias("_v"), F.lit(False).alias("_want")))
+    digest = F.xxhash64("_v").cast("decimal(38,0)")
+
+    def side(test: Column, name: str) -> list[Column]:
+        return [F.max(F.when(test, F.col("_v"))).alias(name), F.count_if(test).alias(f"_n_{name}"),
+                F.sum(F.when(test, digest)).alias(f"_h_{name}")]
+
+    want = F.col("_want")
+    found = both.groupBy(*keys).agg(*side(want, "expected"), *side(~want, "obtained"))
     status = (
-        F.when(F.col("obtained").isNull(), "missing")
-        .when(F.col("expected").isNull(), "extra")
-        .when(~F.col("expected").eqNullSafe(F.col("obtained")), "changed")
-    )
-    return both.withColumn("status", status).filter("status IS NOT NULL")
+        F.when(F.col("_n_obtained") == 0, "missing").when(F.col("_n_expected") == 0, "extra")
+        .when((F.col("_n_expected") != F.col("_n_obtained")) | (F.col("_h_expected") != F.col("_h_obtained")),
+              "changed"))
+    return found.select(*keys, "expected", "obtained", status.alias("status")).filter("status IS NOT NULL")
+
+
+def _same_row(a: DataFrame, b: DataFrame) -> Column:
+    test = F.lit(True)
+    for x, y in zip(a.columns, b.columns):
+        test = test & a[x].eqNullSafe(b[y])
+    return test
 
 
 def missing_names(expected: DataFrame, obtained: DataFrame) -> DataFrame:
-    return expected.subtract(obtained)
+    """Distinct rows of ``expected`` that ``obtained`` lacks; repeats go before the join."""
+    left, right = expected.distinct(), obtained.toDF(*[f"_{c}" for c in obtained.columns]).distinct()
+    return left.join(right, _same_row(left, right), "left_anti")
 
 
 def common_names(expected: DataFrame, obtained: DataFrame) -> DataFrame:
-    return expected.intersect(obtained)
+    left, right = expected.distinct(), obtained.toDF(*[f"_{c}" for c in obtained.columns]).distinct()
+    return left.join(right, _same_row(left, right), "left_semi")
 
 
 def missing_queries(answers: DataFrame, query_ids: Sequence[str] = tuple(S.ANSWER)) -> DataFrame:

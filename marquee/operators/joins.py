@@ -42,11 +42,14 @@ def join_credits(credits: DataFrame, movies: DataFrame, by: Sequence[str] = ())
     return credits.join(movies.select(*keys), keys, "left_semi")
 
 
-def join_credits_inner(credits: DataFrame, movies: DataFrame) -> DataFrame:
-    """Like ``join_credits`` with the title added; a film listed twice doubles
-    its credits."""
-    return credits.join(movies.select("id", "original_title"), "id", "inner").select(
-        "id", "original_title", "cast")
+def join_credits_inner(credits: DataFrame, movies: DataFrame, by: Sequence[str] = (),
+                       unique: bool = True) -> DataFrame:
+    """Like ``join_credits`` with the title added.  Films are made unique by id
+    first; without ``unique`` a film listed twice doubles its credits."""
+    keys = [*by, "id"]
+    titles = movies.select(*keys, "original_title")
+    titles = unique_by_key(titles, keys) if unique else titles
+    return credits.join(titles, keys, "inner").select(*keys, "original_title", "cast")
 
 
 def range_bucket(key: Column, ranges: Sequence[tuple[int, int, int]], buckets: int) -> Column:

@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from marquee.session import shared_dir
 
 
+# Spark's default for spark.sql.optimizer.windowGroupLimitThreshold.
+_GROUP_LIMIT = 1000
+
+
 def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:
     """The first ``k`` rows: each task keeps its own best ``k`` before the merge.
     ``order`` should end in a unique column."""
@@ -18,8 +22,14 @@ def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:
 
 
 def top_k_by(df: DataFrame, k: int, by: Sequence[str], *order: Column) -> DataFrame:
-    """The first ``k`` rows of each group.  The rank test lets Spark cut every
-    group to ``k`` rows per task before the shuffle."""
+    """The first ``k`` rows of each group.  The rank test lets Spark cut every group
+    to ``k`` rows per task before the shuffle, for ``k`` up to its group limit; beyond
+    that, parts of a group are cut first, so a hot group is not sorted in one task."""
+    if k > _GROUP_LIMIT:
+        part = F.pmod(F.xxhash64(*df.columns), F.lit(64))
+        cut = Window.partitionBy(*by, "_part").orderBy(*order)
+        df = (df.withColumn("_part", part).withColumn("_rank", F.row_number().over(cut))
+              .filter(F.col("_rank") <= k).drop("_rank", "_part"))
     ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
     return ranked.filter(F.col("_rank") <= k).drop("_rank")
 
@@ -43,10 +53,13 @@ def number_rows(df: DataFrame, *order: Column, column: str = "position") -> Data
 
     Runs a job: the rows are range-sorted and checkpointed, which fixes their
     partitions; the rows of each partition are then numbered behind the total
-    of the partitions before it.  No task sees more than its own range.
+    of the partitions before it.  No task sees more than its own range.  Rows with
+    equal keys are told apart by their other columns and, if these agree too, by
+    where they were read, so a key with very many rows spreads over ranges.
     """
     shared_dir(df.sparkSession)
-    fixed = df.orderBy(*order).checkpoint()
+    tied = df.withColumns({"_tie": F.xxhash64(*df.columns), "_read": F.monotonically_increasing_id()})
+    fixed = tied.orderBy(*order, "_tie", "_read").drop("_tie", "_read").checkpoint()
     placed = fixed.withColumns({
         "_part": F.spark_partition_id(),
         "_row": F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1),

@@ -6,6 +6,8 @@ doubles are rounded, so that they can be compared with a second engine.
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +18,7 @@ from marquee.operators import (
 )
 from marquee.plans import film_queries as film
 from marquee.plans import table_views as views
-from marquee.plans.table_views import table
+from marquee.plans.table_views import PRIORITIES, table
 from marquee.sources.films import decode_credits, decode_movies
 
 HOME, PARTNER = "NATION_18", "NATION_3"
@@ -24,6 +26,9 @@ HOME, PARTNER = "NATION_18", "NATION_3"
 # The texts are invented and hold hardly any word of feeling, so common words carry the score.
 LEXICON = {"the": 0.5, "of": -0.6, "is": 0.9, "was": -0.8, "with": 0.3}
 
+#: The tenant columns of the ``..._by_tenant`` questions.
+BY = ("client_id",)
+
 RULES = film.Rules(country=HOME, partner=PARTNER, lexicon=LEXICON)
 
 RANGES = ((0, 586, 1), (587, 1345, 2), (1346, 2611, 3), (2612, 4466, 4), (4467, 20000, 5))
@@ -40,17 +45,16 @@ def _films(spark, sf_dir, overview=False, genres=False) -> DataFrame:
     return views.movies(spark, sf_dir, overview, genres)
 
 
-def _clean(spark, sf_dir, overview=False, genres=False, keep=()) -> DataFrame:
-    films = _films(spark, sf_dir, overview, genres)
-    return clean.require(films, S.MOVIE_REQUIRED, (*S.MOVIE_REQUIRED, *keep))
+def _clean(spark, sf_dir, overview=False, genres=False, by=()) -> DataFrame:
+    return clean.clean_movies(_films(spark, sf_dir, overview, genres), by=by)
 
 
-def _ratings(spark, sf_dir) -> DataFrame:
-    return clean.clean_ratings(views.ratings(spark, sf_dir))
+def _ratings(spark, sf_dir, by=()) -> DataFrame:
+    return clean.clean_ratings(views.ratings(spark, sf_dir), by)
 
 
-def _credits(spark, sf_dir) -> DataFrame:
-    return clean.clean_credits(views.credits(spark, sf_dir))
+def _credits(spark, sf_dir, by=()) -> DataFrame:
+    return clean.clean_credits(views.credits(spark, sf_dir), by)
 
 
 def _shown(films: DataFrame) -> DataFrame:
@@ -165,7 +169,19 @@ def route_sentiment(spark, sf_dir):
 def score_documents(spark, sf_dir):
     """The same polarity with the lexicon as a table of any size."""
     lexicon = spark.createDataFrame(list(LEXICON.items()), "word string, polarity double")
-    return sentiment.polarity_by_table(table(spark, sf_dir, "documents"), "doc_id", "text", lexicon)
+    scores = sentiment.polarity_by_table(table(spark, sf_dir, "documents"), "doc_id", "text", lexicon)
+    return scores.select("doc_id", (F.round("polarity", 6) + 0.0).alias("polarity"))
+
+
+def score_big_lexicon(spark, sf_dir):
+    """A lexicon of many thousand words: the documents' words of even length, with a
+    tenth of the length as polarity."""
+    docs = table(spark, sf_dir, "documents")
+    words = docs.select(F.explode(sentiment.tokens(F.col("text"))).alias("word")).distinct()
+    lexicon = words.filter(F.char_length("word") % 2 == 0).select(
+        "word", (F.char_length("word") / 10.0).cast("double").alias("polarity"))
+    scores = sentiment.polarity_by_table(docs, "doc_id", "text", lexicon)
+    return scores.select("doc_id", (F.round("polarity", 6) + 0.0).alias("polarity"))
 
 
 # --- joins -----------------------------------------------------------------
@@ -277,8 +293,57 @@ def q2_top_solo(spark, sf_dir):
 
 
 def q2_by_tenant(spark, sf_dir):
-    films = _clean(spark, sf_dir, keep=("client_id",))
-    return film.q2(films, RULES, by=("client_id",))
+    return film.q2(_clean(spark, sf_dir, by=BY), RULES, by=BY)
+
+
+def q1_by_tenant(spark, sf_dir):
+    return film.q1(_clean(spark, sf_dir, genres=True, by=BY), RULES, BY).select(
+        *BY, "title", piped(F.col("genres")).alias("genres"))
+
+
+def q3_by_tenant(spark, sf_dir):
+    recent = film.recent_films(_clean(spark, sf_dir, by=BY), RULES, BY)
+    return film.q3(recent, _ratings(spark, sf_dir, BY), BY).withColumn("rating", F.round("rating", 6))
+
+
+def q4_by_tenant(spark, sf_dir):
+    recent = film.recent_films(_clean(spark, sf_dir, by=BY), RULES, BY)
+    return film.q4(recent, _credits(spark, sf_dir, BY), RULES, BY)
+
+
+def q5_by_tenant(spark, sf_dir):
+    rates = film.q5(_clean(spark, sf_dir, overview=True, by=BY), RULES, BY)
+    return rates.select(*BY, *[F.round(c, 6).alias(c) for c in rates.columns if c not in BY])
+
+
+def envelopes_by_tenant(spark, sf_dir):
+    """Answers to Q2 and Q4 as one document per tenant."""
+    films = _clean(spark, sf_dir, by=BY)
+    recent = film.recent_films(films, RULES, BY)
+    answers = {"Q2": film.q2(films, RULES, BY), "Q4": film.q4(recent, _credits(spark, sf_dir, BY), RULES, BY)}
+    return film.envelopes(answers)
+
+
+# The looser variant of the questions: country as a substring, the year itself, zero revenue out.
+LOOSE = dataclasses.replace(film.NOTEBOOK, country="nation_1", partner=PARTNER, lexicon=LEXICON)
+
+
+def notebook_q1(spark, sf_dir):
+    return film.q1(_clean(spark, sf_dir, genres=True), LOOSE).select("title", piped(F.col("genres")).alias("genres"))
+
+
+def notebook_q3(spark, sf_dir):
+    recent = film.recent_films(_clean(spark, sf_dir), LOOSE)
+    return film.q3(recent, _ratings(spark, sf_dir)).withColumn("rating", F.round("rating", 6))
+
+
+def notebook_q4(spark, sf_dir):
+    return film.q4(film.recent_films(_clean(spark, sf_dir), LOOSE), _credits(spark, sf_dir), LOOSE)
+
+
+def notebook_q5(spark, sf_dir):
+    rates = film.q5(_clean(spark, sf_dir, overview=True), LOOSE)
+    return rates.select(*[F.round(c, 6).alias(c) for c in rates.columns])
 
 
 def q3_rating_extremes(spark, sf_dir):
@@ -298,34 +363,32 @@ def q5_sentiment_rates(spark, sf_dir):
 
 # --- comparison and quality ------------------------------------------------
 
-def _orders_per_customer(spark, sf_dir, status: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == status)
+def _orders_per_customer(spark, sf_dir, done: bool) -> DataFrame:
+    """Finished (status F) or all other orders."""
+    finished = F.coalesce(F.col("o_orderstatus") == "F", F.lit(False))
+    orders = table(spark, sf_dir, "orders").filter(finished if done else ~finished)
     return orders.groupBy(F.col("o_custkey").alias("name")).agg(F.count("*").alias("count"))
 
 
 def diff_rows(spark, sf_dir):
-    diff = compare.diff_rows(_orders_per_customer(spark, sf_dir, "F"),
-                             _orders_per_customer(spark, sf_dir, "O"), ["name"])
+    diff = compare.diff_rows(_orders_per_customer(spark, sf_dir, True),
+                             _orders_per_customer(spark, sf_dir, False), ["name"])
     return diff.select("name", F.col("expected.count").alias("expected"),
                        F.col("obtained.count").alias("obtained"), "status")
 
 
-def _customer_names(spark, sf_dir, status: str) -> DataFrame:
-    return _orders_per_customer(spark, sf_dir, status).select("name")
+def _customer_names(spark, sf_dir, done: bool) -> DataFrame:
+    return _orders_per_customer(spark, sf_dir, done).select("name")
 
 
 def set_missing(spark, sf_dir):
     return compare.missing_names(
-        _customer_names(spark, sf_dir, "F"), _customer_names(spark, sf_dir, "O"))
+        _customer_names(spark, sf_dir, True), _customer_names(spark, sf_dir, False))
 
 
 def set_common(spark, sf_dir):
     return compare.common_names(
-        _customer_names(spark, sf_dir, "F"), _customer_names(spark, sf_dir, "O"))
-
-
-# The order priorities, standing in for query ids.
-PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+        _customer_names(spark, sf_dir, True), _customer_names(spark, sf_dir, False))
 
 
 def missing_queries(spark, sf_dir):
@@ -413,6 +476,7 @@ BATCH = {
     "route_categories": route_categories,
     "route_sentiment": route_sentiment,
     "score_documents": score_documents,
+    "score_big_lexicon": score_big_lexicon,
     "join_ratings": join_ratings,
     "join_credits_semi": join_credits_semi,
     "join_credits_inner": join_credits_inner,
@@ -429,7 +493,16 @@ BATCH = {
     "dedup_results": dedup_results,
     "q1_coproduction_genres": q1_coproduction_genres,
     "q2_top_solo": q2_top_solo,
+    "q1_by_tenant": q1_by_tenant,
     "q2_by_tenant": q2_by_tenant,
+    "q3_by_tenant": q3_by_tenant,
+    "q4_by_tenant": q4_by_tenant,
+    "q5_by_tenant": q5_by_tenant,
+    "envelopes_by_tenant": envelopes_by_tenant,
+    "notebook_q1": notebook_q1,
+    "notebook_q3": notebook_q3,
+    "notebook_q4": notebook_q4,
+    "notebook_q5": notebook_q5,
     "q3_rating_extremes": q3_rating_extremes,
     "q4_top_actors": q4_top_actors,
     "q5_sentiment_rates": q5_sentiment_rates,

@@ -105,29 +105,40 @@ def all_queries(movies: DataFrame, ratings: DataFrame, credits: DataFrame,
     }
 
 
-def envelopes(answers: Mapping[str, DataFrame], client_id: str) -> DataFrame:
+def envelopes(answers: Mapping[str, DataFrame], client_id: str | None = None) -> DataFrame:
     """``(client_id, query_id, results)`` documents for ``sources.results``.
 
-    Top-k, extremes and rates are one document each.  Q1 may be long, so it is
-    one document per title and never gathered in one place.
+    The client is ``client_id``, or else the answers' own column of that name, which
+    answers ``by=("client_id",)`` have.  Top-k, extremes and rates are one document
+    per client each.  Q1 may be long, so it is one document per title and never
+    gathered in one place.
     """
     pair = F.array(F.col("country"), F.col("total").cast("string"))
     side = F.struct("title", "rating")
-    bodies = {
-        "Q1": lambda df: df.select(F.to_json(F.create_map("title", "genres"))),
-        "Q2": lambda df: df.agg(F.to_json(F.collect_list(pair))),
-        "Q3": lambda df: df.agg(F.to_json(F.map_from_entries(
-            F.collect_list(F.struct("kind", side))))),
-        "Q4": lambda df: df.agg(F.to_json(F.struct(
-            F.collect_list(F.struct("name", "count")).alias("actors")))),
-        "Q5": lambda df: df.select(F.to_json(F.struct(
-            "average_positive_rate", "average_negative_rate"))),
+    bodies = {  # query: (one document for all rows, content)
+        "Q1": (False, F.to_json(F.create_map("title", "genres"))),
+        # ranked again, as a gathered list keeps no order of its own
+        "Q2": (True, F.to_json(F.transform(
+            F.array_sort(F.collect_list(F.struct((-F.col("total")).alias("k"), "country", pair.alias("v")))),
+            lambda e: e["v"]))),
+        "Q3": (True, F.to_json(F.map_from_entries(F.collect_list(F.struct("kind", side))))),
+        "Q4": (True, F.to_json(F.struct(F.transform(
+            F.array_sort(F.collect_list(F.struct((-F.col("count")).alias("k"), "name", "count"))),
+            lambda e: F.struct(e["name"].alias("name"), e["count"].alias("count"))).alias("actors")))),
+        "Q5": (False, F.to_json(F.struct("average_positive_rate", "average_negative_rate"))),
     }
-    parts = [
-        bodies[query](df).toDF("results").select(
-            F.lit(client_id).alias("client_id"), F.lit(query).alias("query_id"), "results")
-        for query, df in answers.items()
-    ]
+    parts = []
+    for query, answer in answers.items():
+        if client_id is not None:
+            answer = answer.withColumn("client_id", F.lit(client_id))
+        gathered, body = bodies[query]
+        if not gathered:
+            rows = answer.select("client_id", body.alias("results"))
+        elif client_id is None:
+            rows = answer.groupBy("client_id").agg(body.alias("results"))
+        else:  # an answer without rows is an empty document, not none
+            rows = answer.agg(body.alias("results")).withColumn("client_id", F.lit(client_id))
+        parts.append(rows.select("client_id", F.lit(query).alias("query_id"), "results"))
     union = parts[0]
     for part in parts[1:]:
         union = union.unionByName(part)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from marquee.plans.bindings import (
-    BUCKETS, EVENT_TYPES, HEAD_PERCENT, HOME, LEXICON, PARTNER, PRIORITIES, RANGES,
+    BUCKETS, EVENT_TYPES, HEAD_PERCENT, HOME, LEXICON, LOOSE, PARTNER, PRIORITIES, RANGES,
 )
 from marquee.plans.table_views import EVENTS_PER_FILM
 
@@ -22,15 +22,19 @@ movies_v AS (
     JOIN part ON p_partkey = l_partkey
   GROUP BY o_orderkey, o_orderdate, o_totalprice, o_orderpriority)"""
 
+def _tenant(number: str) -> str:
+    return f"list_extract({list(PRIORITIES)}, CAST({number} % {len(PRIORITIES)} AS INTEGER) + 1)"
+
+
 RATINGS = f"""
 ratings_v AS (
   SELECT user_id, event_id // {EVENTS_PER_FILM} AS movie_id,
-         CAST(value AS DECIMAL(12,2)) AS rating
+         CAST(value AS DECIMAL(12,2)) AS rating, {_tenant('user_id')} AS client_id
   FROM events WHERE user_id IS NOT NULL AND event_id IS NOT NULL AND value IS NOT NULL)"""
 
-CREDITS = """
+CREDITS = f"""
 credits_v AS (
-  SELECT l_orderkey AS id,
+  SELECT l_orderkey AS id, {_tenant('l_linenumber')} AS client_id,
          list_filter([p_name, p_brand, CASE WHEN p_size <= 25 THEN p_type ELSE '' END],
                      lambda x: coalesce(x, '') <> '') AS names
   FROM lineitem JOIN part ON p_partkey = l_partkey)"""
@@ -52,12 +56,16 @@ _LEXICON = "lex(word, polarity) AS (VALUES {})".format(
     ", ".join(f"('{w}', CAST({p} AS DOUBLE))" for w, p in LEXICON.items()))
 
 
+WORD = r"[\p{L}\p{N}]+(?:''[\p{L}\p{N}]+)*"
+_TOTAL = " + ".join(f"CAST({v} AS DOUBLE) * count(*) FILTER (polarity = CAST({v} AS DOUBLE))"
+                    for v in sorted(set(LEXICON.values())))
+
+
 def _scores(source: str, key: str, text: str) -> str:
     return f"""{_LEXICON},
-tokens AS (SELECT {key} AS k, unnest(regexp_extract_all(lower({text}), '[a-z]+')) AS word
+tokens AS (SELECT {key} AS k, unnest(regexp_extract_all(lower({text}), '{WORD}')) AS word
            FROM {source}),
-scores AS (SELECT k, round(avg(polarity), 6) AS polarity FROM tokens JOIN lex USING (word)
-           GROUP BY k)"""
+scores AS (SELECT k, ({_TOTAL}) / count(*) AS polarity FROM tokens JOIN lex USING (word) GROUP BY k)"""
 
 
 _CLASS = ("CASE WHEN polarity > 0.1 THEN 'positive' WHEN polarity < -0.1 THEN 'negative' "
@@ -66,14 +74,29 @@ _RECENT = f"recent AS (SELECT * FROM movies_v WHERE {_IN_HOME} AND released > 20
 _MEANS = """means AS (
   SELECT id, original_title, CAST(sum(rating) AS DOUBLE) / count(*) AS rating
   FROM recent JOIN ratings_v ON movie_id = id GROUP BY id, original_title)"""
+_TENANT_MEANS = """tenant_means AS (
+  SELECT r.client_id, id, original_title, CAST(sum(rating) AS DOUBLE) / count(*) AS rating
+  FROM recent r JOIN ratings_v v ON movie_id = id AND v.client_id = r.client_id GROUP BY ALL)"""
+_TENANT_ACTORS = """tenant_actors AS (
+  SELECT client_id, name, "count" FROM (
+    SELECT *, row_number() OVER (PARTITION BY client_id ORDER BY "count" DESC, name) AS rn FROM (
+      SELECT client_id, name, count(*) AS "count" FROM (
+        SELECT c.client_id, unnest(names) AS name
+        FROM credits_v c JOIN recent r ON c.id = r.id AND c.client_id = r.client_id) GROUP BY ALL))
+  WHERE rn <= 10)"""
+_LOOSE_HOME = f"len(list_filter(countries, lambda x: contains(lower(x), '{LOOSE.country.lower()}'))) > 0"
+_LOOSE_PARTNER = f"len(list_filter(countries, lambda x: contains(lower(x), '{LOOSE.partner.lower()}'))) > 0"
+_LOOSE_RECENT = f"recent AS (SELECT * FROM movies_v WHERE {_LOOSE_HOME} AND released >= 2000)"
 _SOLO = """totals AS (
   SELECT countries[1] AS country, CAST(sum(budget) AS BIGINT) AS total
   FROM movies_v WHERE len(countries) = 1 GROUP BY ALL)"""
 
 
-def _per_customer(status: str) -> str:
-    return (f"(SELECT o_custkey AS name, count(*) AS n FROM orders "
-            f"WHERE o_orderstatus = '{status}' GROUP BY o_custkey)")
+_DONE, _OPEN = "o_orderstatus IS NOT DISTINCT FROM 'F'", "o_orderstatus IS DISTINCT FROM 'F'"
+
+
+def _per_customer(test: str) -> str:
+    return f"(SELECT o_custkey AS name, count(*) AS n FROM orders WHERE {test} GROUP BY o_custkey)"
 
 
 _MESSAGES = """messages AS (
@@ -118,8 +141,14 @@ WITH {_scores('documents', 'doc_id', 'text')}
 SELECT k AS doc_id, {_CLASS} AS sentiment FROM scores WHERE {_CLASS} <> 'neutral'""",
     "score_documents": f"""
 WITH {_scores('documents', 'doc_id', 'text')}
-SELECT DISTINCT doc_id, coalesce(polarity, 0.0) + 0.0 AS polarity
+SELECT DISTINCT doc_id, round(coalesce(polarity, 0.0), 6) + 0.0 AS polarity
 FROM documents LEFT JOIN scores ON k = doc_id""",
+    "score_big_lexicon": f"""
+WITH tokens AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{WORD}')) AS word FROM documents),
+scores AS (SELECT doc_id, sum(length(word)) / (10.0 * count(*)) AS polarity FROM tokens
+           WHERE length(word) % 2 = 0 GROUP BY doc_id)
+SELECT DISTINCT doc_id, round(CAST(coalesce(polarity, 0.0) AS DOUBLE), 6) + 0.0 AS polarity
+FROM documents LEFT JOIN scores USING (doc_id)""",
     "join_ratings": _films("""
 SELECT id, original_title, CAST(rating AS DOUBLE) AS rating
 FROM ratings_v JOIN movies_v ON id = movie_id""", RATINGS),
@@ -174,6 +203,58 @@ SELECT original_title AS title, array_to_string(genres, '|') AS genres FROM movi
 WHERE {_IN_BOTH} AND released BETWEEN 2000 AND 2009"""),
     "q2_top_solo": _films("""
 SELECT country, total FROM totals ORDER BY total DESC, country LIMIT 5""", _SOLO),
+    "q1_by_tenant": _films(f"""
+SELECT client_id, original_title AS title, array_to_string(genres, '|') AS genres FROM movies_v
+WHERE {_IN_BOTH} AND released BETWEEN 2000 AND 2009"""),
+    "q3_by_tenant": _films("""
+SELECT client_id, kind, title, round(rating, 6) AS rating FROM (
+  SELECT client_id, 'highest' AS kind, original_title AS title, rating,
+         row_number() OVER (PARTITION BY client_id ORDER BY rating DESC, id) AS rn FROM tenant_means
+  UNION ALL
+  SELECT client_id, 'lowest', original_title, rating,
+         row_number() OVER (PARTITION BY client_id ORDER BY rating, id) FROM tenant_means)
+WHERE rn = 1""", RATINGS, _RECENT, _TENANT_MEANS),
+    "q4_by_tenant": _films("SELECT * FROM tenant_actors", CREDITS, _RECENT, _TENANT_ACTORS),
+    "q5_by_tenant": _films(f"""
+SELECT client_id,
+       round(coalesce(avg(revenue / budget) FILTER ({_CLASS} = 'positive'), 0), 6)
+         AS average_positive_rate,
+       round(coalesce(avg(revenue / budget) FILTER ({_CLASS} = 'negative'), 0), 6)
+         AS average_negative_rate
+FROM movies_v JOIN scores ON k = id WHERE budget > 0 AND {_CLASS} <> 'neutral' GROUP BY client_id""",
+        _scores("movies_v", "id", "overview")),
+    "envelopes_by_tenant": _films("""
+SELECT client_id, 'Q2' AS query_id,
+       '[' || string_agg('["' || country || '","' || total || '"]', ',' ORDER BY total DESC, country) || ']' AS results
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY client_id ORDER BY total DESC, country) AS rn FROM (
+    SELECT client_id, countries[1] AS country, CAST(sum(budget) AS BIGINT) AS total
+    FROM movies_v WHERE len(countries) = 1 GROUP BY ALL))
+WHERE rn <= 5 GROUP BY client_id
+UNION ALL
+SELECT client_id, 'Q4', '{"actors":[' || string_agg('{"name":"' || name || '","count":' || "count" || '}', ','
+         ORDER BY "count" DESC, name) || ']}'
+FROM tenant_actors GROUP BY client_id""", CREDITS, _RECENT, _TENANT_ACTORS),
+    "notebook_q1": _films(f"""
+SELECT original_title AS title, array_to_string(genres, '|') AS genres FROM movies_v
+WHERE {_LOOSE_HOME} AND {_LOOSE_PARTNER} AND released BETWEEN 2000 AND 2009"""),
+    "notebook_q3": _films("""
+(SELECT 'highest' AS kind, original_title AS title, round(rating, 6) AS rating
+ FROM means ORDER BY means.rating DESC, id LIMIT 1)
+UNION ALL
+(SELECT 'lowest', original_title, round(rating, 6)
+ FROM means ORDER BY means.rating, id LIMIT 1)""", RATINGS, _LOOSE_RECENT, _MEANS),
+    "notebook_q4": _films("""
+SELECT name, count(*) AS "count" FROM (
+  SELECT unnest(names) AS name FROM credits_v WHERE id IN (SELECT id FROM recent))
+GROUP BY name ORDER BY "count" DESC, name LIMIT 10""", CREDITS, _LOOSE_RECENT),
+    "notebook_q5": _films(f"""
+SELECT round(coalesce(avg(revenue / budget) FILTER ({_CLASS} = 'positive'), 0), 6)
+         AS average_positive_rate,
+       round(coalesce(avg(revenue / budget) FILTER ({_CLASS} = 'negative'), 0), 6)
+         AS average_negative_rate
+FROM movies_v JOIN scores ON k = id WHERE budget <> 0 AND revenue <> 0 AND budget > 0""",
+        _scores("movies_v", "id", "overview")),
     "q2_by_tenant": _films("""
 SELECT client_id, country, total FROM (
   SELECT *, row_number() OVER (PARTITION BY client_id ORDER BY total DESC, country) AS rn FROM (
@@ -201,14 +282,12 @@ FROM movies_v JOIN scores ON k = id WHERE budget > 0""",
 SELECT coalesce(e.name, o.name) AS name, e.n AS expected, o.n AS obtained,
        CASE WHEN o.name IS NULL THEN 'missing' WHEN e.name IS NULL THEN 'extra'
             ELSE 'changed' END AS status
-FROM {_per_customer('F')} e FULL OUTER JOIN {_per_customer('O')} o ON e.name = o.name
+FROM {_per_customer(_DONE)} e FULL OUTER JOIN {_per_customer(_OPEN)} o ON e.name = o.name
 WHERE e.n IS DISTINCT FROM o.n""",
-    "set_missing": """
-SELECT o_custkey AS name FROM orders WHERE o_orderstatus = 'F'
-EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'O'""",
-    "set_common": """
-SELECT o_custkey AS name FROM orders WHERE o_orderstatus = 'F'
-INTERSECT SELECT o_custkey FROM orders WHERE o_orderstatus = 'O'""",
+    "set_missing": f"""
+SELECT o_custkey AS name FROM orders WHERE {_DONE} EXCEPT SELECT o_custkey FROM orders WHERE {_OPEN}""",
+    "set_common": f"""
+SELECT o_custkey AS name FROM orders WHERE {_DONE} INTERSECT SELECT o_custkey FROM orders WHERE {_OPEN}""",
     "missing_queries": f"""
 SELECT client_id, query_id
 FROM (SELECT DISTINCT o_custkey AS client_id FROM orders),

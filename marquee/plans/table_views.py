@@ -10,11 +10,20 @@ joined, so the wide columns are never multiplied by line items.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 EVENTS_PER_FILM = 4
 
+# The order priorities, standing in for tenants and for query ids.
+PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+
+
+def tenant_of(number: Column) -> Column:
+    """Tenants in turn: a film's ratings and credits come from all of them."""
+    place = F.pmod(number, F.lit(len(PRIORITIES))).cast("int") + 1
+    return F.element_at(F.array(*[F.lit(p) for p in PRIORITIES]), place)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -75,12 +84,12 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def credits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One credits row per line item; its cast is the part's name and brand and,
     for small parts, its type (otherwise a nameless member)."""
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     third = F.when(F.col("p_size") <= 25, F.col("p_type")).otherwise(F.lit(""))
     members = F.array(*[F.struct(c.alias("name")) for c in (F.col("p_name"), F.col("p_brand"), third)])
     return lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
-        F.col("l_orderkey").alias("id"), members.alias("cast"))
+        F.col("l_orderkey").alias("id"), members.alias("cast"), tenant_of(F.col("l_linenumber")).alias("client_id"))
 
 
 def messages(events: DataFrame) -> DataFrame:
@@ -99,4 +108,5 @@ def rating_rows(events: DataFrame) -> DataFrame:
     return events.select(
         F.col("user_id").alias("userId"),
         F.expr(f"event_id div {EVENTS_PER_FILM}").alias("movieId"),
-        F.col("value").cast("decimal(12,2)").alias("rating"))
+        F.col("value").cast("decimal(12,2)").alias("rating"),
+        tenant_of(F.col("user_id")).alias("client_id"))

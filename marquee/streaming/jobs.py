@@ -31,11 +31,14 @@ def open_stream(spark: SparkSession, path: str, schema: T.StructType, kind: str
     return reader.load(path)
 
 
-def dedup_stream(messages: DataFrame, event_time: str, horizon: str = "1 day",
-                 keys: Sequence[str] = MESSAGE_KEYS) -> DataFrame:
-    """One row per message.  A key is remembered until the watermark has passed
-    its time by ``horizon``; redelivery later than that is dropped as late."""
-    return messages.withWatermark(event_time, horizon).dropDuplicatesWithinWatermark(list(keys))
+def dedup_stream(messages: DataFrame, keys: Sequence[str] = MESSAGE_KEYS) -> DataFrame:
+    """One row per message, whatever its time: an unseen key always comes through.
+
+    Every key is remembered (the keys only, not the rows), as a watermark would take
+    a late first delivery for a repeat.  For streams of very many messages keep the
+    state in RocksDB (``spark.sql.streaming.stateStore.providerClass``).
+    """
+    return messages.dropDuplicates(list(keys))
 
 
 _DONE = T.StructType([T.StructField("client_id", T.StringType())])

@@ -110,7 +110,8 @@ def test_join_shapes(spark):
     assert sorted((r.id, r.cast) for r in joins.join_credits(credits, movies).collect()) == [
         (1, ["x"]), (1, ["x"]), (2, [])]
     twice = movies.unionByName(movies)
-    assert joins.join_credits_inner(credits, twice).count() == 6
+    assert joins.join_credits_inner(credits, twice, unique=False).count() == 6
+    assert joins.join_credits_inner(credits, twice).count() == 3
     empty = movies.filter("id < 0")
     assert joins.join_ratings(ratings, empty).count() == joins.join_credits(credits, empty).count() == 0
 
@@ -157,8 +158,18 @@ def test_polarity_forms_agree(spark):
         hits = [sentiment.DEFAULT_LEXICON[w] for w in re.findall("[a-z]+", words.lower())
                 if w in sentiment.DEFAULT_LEXICON]
         assert inline[i] == pytest.approx(sum(hits) / len(hits) if hits else 0.0, abs=1e-6)
-    with pytest.raises(ValueError):
-        sentiment.polarity(F.col("overview"), {str(i): 0.1 for i in range(6000)})
+
+
+def test_lexicon_of_any_size_and_any_letters(spark):
+    lexicon = {f"w{i}": 0.1 for i in range(6000)} | {"naïve": 0.9, "don't": -0.5, "edge": 0.1000004}
+    df = spark.createDataFrame([(1, "Naïve w17"), (2, "DON'T"), (3, "edge"), (4, "w5999"), (5, " \t")], "id int, t string")
+    got = df.select("id", sentiment.polarity(F.col("t"), lexicon).alias("p"),
+                    sentiment.sentiment(F.col("t"), lexicon).alias("c")).collect()
+    assert [r.p for r in got] == pytest.approx([0.5, -0.5, 0.1000004, 0.1, 0.0])
+    assert [r.c for r in got] == ["positive", "negative", "positive", "neutral", "neutral"]
+    table = spark.createDataFrame(list(lexicon.items()), "word string, polarity double")
+    by_table = sentiment.polarity_by_table(df, "id", "t", table).orderBy("id").collect()
+    assert [r.polarity for r in by_table] == pytest.approx([r.p for r in got])
 
 
 def test_model_scorer(spark):

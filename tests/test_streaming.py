@@ -26,12 +26,24 @@ def test_redelivered_messages(spark, tmp_path):
     for _ in range(3):
         write(sent, tmp_path / "in")
     stream = jobs.open_stream(spark, str(tmp_path / "in"), sent.schema, files_per_batch=1)
-    single = run(spark, jobs.dedup_stream(stream, "at", "2 hours"), tmp_path)
+    single = run(spark, jobs.dedup_stream(stream), tmp_path)
     keys = ["client_id", "queue", "message_id"]
     assert sorted(map(tuple, single.select(keys).collect())) == sorted(
         map(tuple, dedup.dedup_messages(sent).select(keys).collect()))
 
 
+def test_late_first_delivery_comes_through(spark, tmp_path):
+    for day, number in ((10, 1), (11, 2), (1, 3), (10, 1), (2, 4)):
+        write(spark.createDataFrame([("c", "q", number, day)], "client_id string, queue string, message_id int, day int")
+              .withColumn("at", F.make_date(F.lit(2024), F.lit(1), F.col("day")).cast("timestamp")), tmp_path / "in")
+    schema = spark.read.parquet(str(tmp_path / "in")).schema
+    stream = jobs.open_stream(spark, str(tmp_path / "in"), schema, files_per_batch=1)
+    single = run(spark, jobs.dedup_stream(stream), tmp_path)
+    assert sorted(r.message_id for r in single.collect()) == [1, 2, 3, 4]
+    split = run(spark, jobs.dedup_stream(stream, ["client_id", "day"]), tmp_path, "split")
+    assert sorted(r.day for r in split.collect()) == [1, 2, 10, 11]
+
+
 MARKERS = "client_id string, queue string, node_id int"
 
 
