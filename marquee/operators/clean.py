@@ -30,7 +30,7 @@ def clean_credits(credits: DataFrame, by=()) -> DataFrame:
         *by, "id", filled_names(F.col("cast")).alias("cast"))
 
 
-# Columns the single-machine variant of the analysis asks for.
+# Columns the single-machine variant of the analysis asks for.
 NOTEBOOK_MOVIE_REQUIRED = (
     "id", "title", "genres", "release_date", "overview",
     "production_countries", "spoken_languages", "budget", "revenue",

@@ -56,7 +56,7 @@ CLEAN_MOVIE = T.StructType([MOVIE[name] for name in MOVIE_REQUIRED])
 CLEAN_RATING = _struct(movie_id=LONG, rating=DOUBLE)
 CLEAN_CREDIT = _struct(id=LONG, cast=T.ArrayType(TEXT))
 
-# Stored message batches: the code says which record type the payload holds.
+# Fixed values.  Stored message batches: the code says which record type the payload holds.
 MESSAGE_CODE = {"movies": 1, "credits": 2, "ratings": 3}
 RECORD = {"movies": MOVIE, "credits": CREDIT, "ratings": RATING}
 BATCH_REQUIRED = ("message_id", "message_code", "client_id", "current_batch", "is_last_batch")

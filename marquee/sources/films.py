@@ -108,7 +108,26 @@ def _finish(decoded: DataFrame, keep_rejects: bool) -> DataFrame:
     return decoded.filter(F.size("problems") == 0).drop("problems")
 
 
-_CREDIT_LINE = r'^(".*?"|\[\]),(".*?"|\[\]),(\d+)$'
+def _credit_fields(line: Column) -> tuple[Column, Column, Column]:
+    """Cast, crew and id of a credits line; all null if it has another form.
+
+    The id is the digits after the last comma.  Before it stand two fields, each
+    ``[]`` or quoted; two quoted fields part at the first ``","``.
+    """
+    digits = F.substring_index(line, ",", -1)
+    head = F.substr(line, F.lit(1), F.char_length(line) - F.char_length(digits) - 1)
+    size = F.char_length(head)
+    cut = (F.when(F.startswith(head, F.lit("[],")), F.lit(3))
+           .when(F.endswith(head, F.lit(",[]")), size - 2)
+           .otherwise(F.locate('","', head, 2) + 1))
+    cast, crew = F.substr(head, F.lit(1), cut - 1), F.substr(head, cut + 1, size - cut)
+
+    def whole(field: Column) -> Column:
+        return (field == "[]") | ((F.char_length(field) > 1) & F.startswith(field, F.lit('"'))
+                                  & F.endswith(field, F.lit('"')))
+
+    fits = whole(cast) & whole(crew) & digits.rlike("^[0-9]+$")
+    return F.when(fits, cast), F.when(fits, crew), F.when(fits, casts.to_long(digits))
 
 
 def read_credits(spark: SparkSession, path: str, keep_rejects: bool = False) -> DataFrame:
@@ -119,10 +138,8 @@ def read_credits(spark: SparkSession, path: str, keep_rejects: bool = False) ->
 
 def decode_credits(lines: DataFrame, keep_rejects: bool = False) -> DataFrame:
     line = F.trim(F.col("value"), F.lit(" \t\r\n\f\v"))
-    fields = F.split(F.regexp_replace(line, _CREDIT_LINE, "$1\x00$2\x00$3"), "\x00")
-    split = lines.filter(line != "").select(fields.alias("_fields")).select(
-        F.get("_fields", F.lit(0)).alias("cast"), F.get("_fields", F.lit(1)).alias("crew"),
-        F.when(F.size("_fields") == 3, casts.to_long(F.get("_fields", F.lit(2)))).alias("id"))
+    cast, crew, film = _credit_fields(line)
+    split = lines.filter(line != "").select(cast.alias("cast"), crew.alias("crew"), film.alias("id"))
     split = split.withColumns({
         name: F.when(F.col("id").isNotNull(), F.col(name)) for name in ("cast", "crew")})
     split = literals.with_literals(split, objects=["cast", "crew"])
