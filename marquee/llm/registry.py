@@ -1,4 +1,4 @@
-"""What the driver contract registers: the ten operators and the corpus pipeline."""
+"""What the driver contract registers: the operators and the corpus pipeline."""
 
 import corpus_pipeline
 from marquee.llm import bindings
