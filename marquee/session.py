@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,4 +64,33 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs run inside send at most so many rows at a time to Python (long texts in small
+    batches); the session's own setting is back afterwards."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete what ``materialize`` wrote for these tables.
+
+    For steps in the middle of a job: whatever was computed from the tables must have
+    been written itself, as nothing can read them any more.  Other frames stay as they are.
+    """
+    for df in tables:
+        path = df.__dict__.pop("_scratch", None)
+        if path:
+            spark = df.sparkSession
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
