@@ -343,3 +343,11 @@ SELECT l_orderkey AS id, l_partkey, l_linenumber FROM lineitem
 WHERE l_orderkey IN (SELECT id FROM movies_v WHERE {_IN_HOME})"""),
     "stream_clean": f"WITH {RATINGS} SELECT movie_id, CAST(rating AS DOUBLE) AS rating FROM ratings_v",
 }
+
+# Streams that answer what a batch query answers; one client's films or credits never end.
+SQL |= {
+    "stream_dedup_ttl": SQL["stream_dedup"],
+    "stream_q2_by_client": f"SELECT * FROM ({SQL['q2_by_tenant']}) WHERE client_id <> '5-LOW'",
+    "stream_q4_by_client": f"SELECT * FROM ({SQL['q4_by_tenant']}) WHERE client_id <> '5-LOW'",
+    "stream_join_barrier": SQL["join_credits_semi"],
+}

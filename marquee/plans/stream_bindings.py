@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from marquee.operators import clean, filters, joins
 from marquee.plans import table_views as views
-from marquee.plans.bindings import EVENT_TYPES, HOME
+from marquee.plans import film_queries as film
+from marquee.plans.bindings import BY, EVENT_TYPES, HOME, RULES, piped
 from marquee.plans.table_views import table
 from marquee.session import materialize, scratch_path
-from marquee.streaming import jobs
+from marquee.streaming import jobs, snapshots, stateful
 
 
 def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,7 +55,7 @@ def stream_complete(spark, sf_dir):
 
 def stream_partial_restart(spark, sf_dir):
     """Running totals per user over two deliveries with a restart in between; the
-    second run goes on from the saved state."""
+    second run goes on from the saved state.  The sink holds the current rows, compacted."""
     events = table(spark, sf_dir, "events").select(
         "user_id", F.col("value").cast("decimal(12,2)").alias("value"), "event_type")
     first = F.coalesce(F.col("event_type").isin("click", "view"), F.lit(False))
@@ -65,8 +66,8 @@ def stream_partial_restart(spark, sf_dir):
         totals = jobs.open_stream(
             spark, inbox, events.select("user_id", "value").schema, files_per_batch=1
         ).groupBy("user_id").agg(F.sum("value").alias("total"), F.count("*").alias("n"))
-        jobs.run_updates(totals, sink, state)
-    return jobs.latest(spark, sink, ["user_id"]).select(
+        snapshots.run_snapshots(totals, sink, state, ["user_id"])
+    return snapshots.current(spark, sink, totals.schema, ["user_id"]).select(
         "user_id", F.col("total").cast("double").alias("total"), "n")
 
 
@@ -86,7 +87,102 @@ def stream_clean(spark, sf_dir):
         spark, ratings.select("movie_id", F.col("rating").cast("double")), "clean")
 
 
+def _deliver(spark, parts, inbox: str):
+    """Tables appended to a folder of files one after the other; gives back after each."""
+    for part in parts:
+        part.write.mode("append").parquet(inbox)
+        yield jobs.open_stream(spark, inbox, part.schema)
+
+
+def stream_dedup_ttl(spark, sf_dir):
+    """The deliveries of ``stream_dedup``, with keys that are forgotten an hour after their
+    last delivery: a late first delivery still comes through, and no repeat does."""
+    messages = views.messages(table(spark, sf_dir, "events"))
+    third = F.coalesce(F.pmod(F.dayofyear("sent_at"), F.lit(3)), F.lit(0))
+    inbox, sink, state = (scratch_path(spark, n) for n in ("messages", "dedup", "dedup-state"))
+    with stateful.rocksdb(spark):
+        for stream in _deliver(spark, (messages.filter(third >= least) for least in (2, 1, 0)), inbox):
+            single = stateful.dedup_within(stream, span_ms=3_600_000)
+            jobs.run_once(single.select("client_id", "queue", "message_id", "value"), sink, state)
+    return spark.read.parquet(sink)
+
+
+#: Nodes that send a client's rows in turn, and the client whose last end marker is lost.
+NODES, UNFINISHED = 3, "5-LOW"
+
+
+def _ends(spark, node: int, clients: DataFrame) -> DataFrame:
+    """The node's end marker for each client, but for one client's last."""
+    marks = clients.select("client_id", F.lit(str(node)).alias("node"))
+    return marks.filter((F.col("client_id") != UNFINISHED) | (F.col("node") != str(NODES - 1)))
+
+
+def _answered(spark, rows: DataFrame, question, most: int) -> DataFrame:
+    """Rows of three nodes, delivered one node at a time, each with a restart and followed by
+    the node's end markers; ``question`` turns the stream into records."""
+    rows = materialize(rows.withColumn("_node", F.pmod("id", F.lit(NODES))), "deliveries")
+    clients = materialize(rows.select("client_id").distinct(), "clients")
+    records, ends, sink, state = (scratch_path(spark, n) for n in ("records", "ends", "answers", "answers-state"))
+    parts = [rows.filter(F.col("_node") == node).drop("_node") for node in range(NODES)]
+    with stateful.rocksdb(spark):
+        for stream, marks in zip(_deliver(spark, parts, records),
+                                 _deliver(spark, [_ends(spark, n, clients) for n in range(NODES)], ends)):
+            totals = stateful.totals_on_completion(question(stream), marks, NODES, most)
+            jobs.run_to_files(totals, sink, state)
+    return stateful.largest(spark.read.schema(totals.schema).parquet(sink), most)
+
+
+def stream_q2_by_client(spark, sf_dir):
+    """Countries that spent most on films of their own, per client, when its films are in."""
+    def question(films: DataFrame) -> DataFrame:
+        return films.filter(filters.in_one_country()).select(
+            "client_id", filters.country_names()[0].alias("item"), F.col("budget").alias("amount"))
+
+    films = clean.clean_movies(views.movies(spark, sf_dir, overview=False, genres=False), by=BY)
+    return _answered(spark, films, question, RULES.countries).select(
+        "client_id", F.col("item").alias("country"), "total")
+
+
+def stream_q4_by_client(spark, sf_dir):
+    """Busiest actors of the country's recent films, per client, when its credits are in."""
+    films = clean.clean_movies(views.movies(spark, sf_dir, overview=False, genres=False), by=BY)
+    recent = materialize(film.recent_films(films, RULES, BY), "recent-films")
+
+    def question(credits: DataFrame) -> DataFrame:
+        cast = joins.join_credits(credits, recent, BY).select("client_id", F.explode("cast").alias("item"))
+        return cast.filter("item <> ''").withColumn("amount", F.lit(1))
+
+    credits = clean.clean_credits(views.credits(spark, sf_dir), by=BY)
+    return _answered(spark, credits, question, RULES.actors).select(
+        "client_id", F.col("item").alias("name"), F.col("n").alias("count"))
+
+
+def stream_join_barrier(spark, sf_dir):
+    """Credits that arrive before the films: they wait until both parts of the films have ended."""
+    credits = materialize(clean.clean_credits(views.credits(spark, sf_dir)), "credits")
+    films = clean.clean_movies(views.movies(spark, sf_dir, overview=False, genres=False))
+    home = materialize(films.filter(filters.in_country(HOME)).select("id"), "home-films")
+    second = F.pmod("id", F.lit(2)) == 1
+    nothing = home.limit(0)
+    marks = spark.createDataFrame([("0",), ("1",)], "node string")
+    parts = [  # credits, films, end markers of each delivery
+        (credits.filter(~second), nothing, marks.limit(0)),
+        (credits.limit(0), home.filter(second), marks.filter("node = '0'")),
+        (credits.filter(second), home.filter(~second), marks.filter("node = '1'"))]
+    boxes = [scratch_path(spark, n) for n in ("probe", "build", "ends")]
+    sink, state = scratch_path(spark, "joined"), scratch_path(spark, "joined-state")
+    with stateful.rocksdb(spark):
+        for probe, build, ends in zip(*[_deliver(spark, [p[k] for p in parts], box) for k, box in enumerate(boxes)]):
+            joined = stateful.join_behind_barrier(probe, build, ends, nodes=2)
+            jobs.run_to_files(joined, sink, state)
+    return spark.read.schema(joined.schema).parquet(sink).select("id", piped(F.col("cast")).alias("cast_names"))
+
+
 STREAMS = {
+    "stream_dedup_ttl": stream_dedup_ttl,
+    "stream_q2_by_client": stream_q2_by_client,
+    "stream_q4_by_client": stream_q4_by_client,
+    "stream_join_barrier": stream_join_barrier,
     "stream_dedup": stream_dedup,
     "stream_complete": stream_complete,
     "stream_partial_restart": stream_partial_restart,

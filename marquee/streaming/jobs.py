@@ -34,9 +34,8 @@ def open_stream(spark: SparkSession, path: str, schema: T.StructType, kind: str
 def dedup_stream(messages: DataFrame, keys: Sequence[str] = MESSAGE_KEYS) -> DataFrame:
     """One row per message, whatever its time: an unseen key always comes through.
 
-    Every key is remembered (the keys only, not the rows), as a watermark would take
-    a late first delivery for a repeat.  For streams of very many messages keep the
-    state in RocksDB (``spark.sql.streaming.stateStore.providerClass``).
+    Every key is remembered for ever (the keys only, not the rows), as a watermark would
+    take a late first delivery for a repeat; ``stateful.dedup_within`` forgets keys.
     """
     return messages.dropDuplicates(list(keys))
 
@@ -112,7 +111,8 @@ def run_to_files(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuer
 
 def run_updates(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Process everything available, keeping each micro-batch's changed rows in a
-    folder of its own.  A replayed batch overwrites its folder."""
+    folder of its own.  A replayed batch overwrites its folder.  All history stays;
+    ``snapshots.run_snapshots`` keeps a compacted table of current rows instead."""
 
     def save(rows: DataFrame, batch_id: int) -> None:
         rows.write.mode("overwrite").parquet(os.path.join(path, f"batch_id={batch_id}"))
@@ -130,3 +130,14 @@ def latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
     """Current row per key of what ``run_updates`` left."""
     updates = spark.read.parquet(path)
     return unique_by_key(updates, keys, order="batch_id").drop("batch_id")
+
+
+def run_once(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Like ``run_to_files`` in one batch, for streams that have no end of their own
+    because they keep time."""
+    query = (
+        stream.writeStream.format("parquet").outputMode("append")
+        .option("checkpointLocation", checkpoint).trigger(once=True).start(path)
+    )
+    query.awaitTermination()
+    return query
