@@ -24,10 +24,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from marquee.session import materialize
+from marquee.session import arrow_rows, discard, materialize
 
 #: Bytes of text counted at a time (a longer text is one slice).
 _SLICE = 4 << 20
+#: Texts sent to Python at a time.
+_ROWS = 1000
 #: Rows (term, source) of a bucket, on average, and numbers of its matrix at a time.
 _BUCKET_ROWS, _CELLS = 100_000, 1 << 21
 #: What a term's letters become; 0 for bytes that part terms.
@@ -185,12 +187,14 @@ def audit(docs: DataFrame, least_docs: int = 30, scale: int = 1_000_000_000, pri
     terms takes part with counts of 0; the only source of a language has no pairs; an
     empty table gives no rows; other columns are not read.
     """
-    counts = materialize(term_counts(docs, lang_col, source_col, text_col), "term-counts")
+    with arrow_rows(docs.sparkSession, _ROWS):
+        counts = materialize(term_counts(docs, lang_col, source_col, text_col), "term-counts")
     kept = materialize(
         counts.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("docs"))
         .where(F.col("docs") >= least_docs).drop("docs"), "kept-terms")
     own = materialize(counts.join(kept, ["lang", "term"]).select("lang", "source", "term", "n", "lang_n"),
                       "own-terms")
+    discard(counts)
     per_lang = kept.groupBy("lang").agg(
         F.count(F.lit(1)).alias("kept"), F.sum("lang_n").alias("lang_total"))
     per_group = own.groupBy("lang", "source").agg(F.sum("n").alias("total"))
