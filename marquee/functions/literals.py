@@ -2,7 +2,7 @@
 
 Text that follows the flat grammar below means the same to a JSON reader after
 two plain replacements (``None`` and ``\\xNN``), so it is parsed inside the JVM.
-Anything else goes, as the only non-null input, to an Arrow UDF around
+Anything else goes, as the only non-null input, to one Arrow UDF around
 ``ast.literal_eval``.  Parsed entries are ``map<string,string>``, which keeps a
 missing key apart from a key whose value is null.
 """
@@ -11,8 +11,10 @@ from __future__ import annotations
 
 import ast
 import json
+from collections.abc import Callable
+from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -87,19 +89,28 @@ def _evaluate(text: str | None) -> str | None:
         return None
 
 
-@F.pandas_udf(T.StringType())
-def _evaluate_lists(texts: pd.Series) -> pd.Series:
-    return texts.map(_evaluate, na_action="ignore")
+def _evaluator(names: list[str], objects) -> Callable[[Column], Column]:
+    """Column function: for each name its texts (null: nothing to do) -> one JSON list.
 
+    A list or dict is one text, and null if it can't be read; ``objects`` are many texts, of
+    which those that can't be read are left out.
+    """
+    lenient = [name in objects for name in names]
 
-@F.pandas_udf(T.StringType())
-def _evaluate_pieces(pieces: pd.Series) -> pd.Series:
-    def one(items):
-        if items is None:
+    def one(texts: list[str] | None, many: bool) -> str | None:
+        if texts is None:
             return None
-        good = [text for text in (_evaluate(f"[{item}]") for item in items) if text]
-        return "[" + ", ".join(text[1:-1] for text in good if text != "[]") + "]"
-    return pieces.map(one)
+        read = [_evaluate(text) for text in texts]
+        if not many:
+            return read[0]
+        return "[" + ", ".join(text[1:-1] for text in read if text and text != "[]") + "]"
+
+    @F.arrow_udf("array<string>")
+    def evaluate(rows: pa.Array) -> pa.Array:
+        return pa.array([None if row is None else [one(*x) for x in zip(row, lenient)]
+                         for row in rows.to_pylist()], pa.list_(pa.string()))
+
+    return evaluate
 
 
 def with_literals(df: DataFrame, lists=(), dicts=(), objects=()) -> DataFrame:
@@ -107,44 +118,35 @@ def with_literals(df: DataFrame, lists=(), dicts=(), objects=()) -> DataFrame:
 
     ``lists`` hold a list of dicts: empty text gives an empty array, unparsable
     text null.  ``dicts`` hold one dict and are read as a list of one.  Of
-    ``objects`` every ``{...}`` piece is parsed on its own and bad pieces are
-    left out; doubled quotes in a piece (``""x""``) are read as ``"x"``.
+    ``objects`` every ``{...}`` piece is parsed on its own and bad pieces are left out.
 
-    The steps are separate projections so that Spark computes each text once.
+    The steps are separate projections so that Spark computes each text once; what the
+    grammar doesn't cover goes to Python in one step for all columns, as null for a row that
+    has nothing of the kind.
     """
     names = [*lists, *dicts, *objects]
+    whole = {c: F.coalesce(F.col(c), F.lit("")) for c in names}
+    texts = {  # what is read one by one
+        **{c: F.array(F.when(whole[c] == "", "[]").otherwise(whole[c])) for c in lists},
+        **{c: F.array(F.concat(F.lit("["), whole[c], F.lit("]"))) for c in dicts},
+        **{c: F.regexp_extract_all(whole[c], F.lit(r"(\{.*?\})"), F.lit(1)) for c in objects},
+    }
+    df = df.withColumns({f"_p_{c}": texts[c] for c in names})
     df = df.withColumns({
-        **{f"_t_{c}": F.concat(F.lit("["), F.coalesce(F.col(c), F.lit("")), F.lit("]"))
-           for c in dicts},
-        **{f"_t_{c}": F.when(F.coalesce(F.col(c), F.lit("")) == "", "[]").otherwise(F.col(c))
-           for c in lists},
-        **{f"_p_{c}": F.regexp_extract_all(
-            F.coalesce(F.col(c), F.lit("")), F.lit(r"(\{.*?\})"), F.lit(1)) for c in objects},
-    })
-    df = df.withColumns({
-        f"_t_{c}": F.concat(
-            F.lit("["), undouble_quotes(F.array_join(f"_p_{c}", ", ")), F.lit("]"))
-        for c in objects}) if objects else df
+        f"_t_{c}": F.concat(F.lit("["), F.array_join(f"_p_{c}", ", "), F.lit("]")) if c in objects
+        else F.col(f"_p_{c}")[0] for c in names})
     df = df.withColumns({f"_n_{c}": _with_nulls(F.col(f"_t_{c}")) for c in names})
+    df = df.withColumns({f"_f_{c}": _is_flat(F.col(f"_t_{c}"), F.col(f"_n_{c}")) for c in names})
+    pieces = F.array(*[F.when(~F.col(f"_f_{c}"), F.transform(
+        f"_p_{c}", lambda p: F.concat(F.lit("["), p, F.lit("]"))) if c in objects else F.col(f"_p_{c}"))
+        for c in names])
+    flat = reduce(lambda a, b: a & b, [F.col(f"_f_{c}") for c in names])
+    df = df.withColumn("_e", _evaluator(names, objects)(F.when(~flat, pieces)))
     df = df.withColumns({
-        f"_f_{c}": _is_flat(F.col(f"_t_{c}"), F.col(f"_n_{c}")) for c in names})
-
-    def other(c: str) -> Column:
-        if c in objects:
-            pieces = F.transform(f"_p_{c}", undouble_quotes)
-            return _evaluate_pieces(F.when(~F.col(f"_f_{c}"), pieces))
-        return _evaluate_lists(F.when(~F.col(f"_f_{c}"), F.col(f"_t_{c}")))
-
-    df = df.withColumns({
-        f"_j_{c}": F.when(F.col(f"_f_{c}"), _as_json(F.col(f"_n_{c}"))).otherwise(other(c))
-        for c in names})
+        f"_j_{c}": F.when(F.col(f"_f_{c}"), _as_json(F.col(f"_n_{c}"))).otherwise(F.col("_e")[k])
+        for k, c in enumerate(names)})
     df = df.withColumns({f"_{c}": F.from_json(f"_j_{c}", _ENTRIES, _JSON_OPTIONS) for c in names})
-    return df.drop(*[f"_{k}_{c}" for k in "tpnfj" for c in names])
-
-
-def undouble_quotes(raw: Column) -> Column:
-    """Of a text between doubled quotes, without quotes or braces inside, the inner pair stays."""
-    return F.regexp_replace(raw, '"("[^{"}]+")"', "$1")
+    return df.drop("_e", *[f"_{k}_{c}" for k in "tpnfj" for c in names])
 
 
 def entry_struct(entry: Column, schema: T.StructType) -> Column:

@@ -102,32 +102,25 @@ def _entry_check(schema: T.StructType):
     return check
 
 
-def _finish(decoded: DataFrame, keep_rejects: bool) -> DataFrame:
-    if keep_rejects:
-        return decoded
-    return decoded.filter(F.size("problems") == 0).drop("problems")
-
+def _finish(decoded: DataFrame, keep_rejects: bool, parsed: bool = True) -> DataFrame:
+    """Without rejects, unless they are asked for.
 
-def _credit_fields(line: Column) -> tuple[Column, Column, Column]:
-    """Cast, crew and id of a credits line; all null if it has another form.
-
-    The id is the digits after the last comma.  Before it stand two fields, each
-    ``[]`` or quoted; two quoted fields part at the first ``","``.
+    Whether a row is good shows only when it has been ``parsed``.  Spark would move the test
+    below that work and do the work twice; a row that comes out of a generator stays whole.
     """
-    digits = F.substring_index(line, ",", -1)
-    head = F.substr(line, F.lit(1), F.char_length(line) - F.char_length(digits) - 1)
-    size = F.char_length(head)
-    cut = (F.when(F.startswith(head, F.lit("[],")), F.lit(3))
-           .when(F.endswith(head, F.lit(",[]")), size - 2)
-           .otherwise(F.locate('","', head, 2) + 1))
-    cast, crew = F.substr(head, F.lit(1), cut - 1), F.substr(head, cut + 1, size - cut)
+    if keep_rejects:
+        return decoded
+    good = F.size("problems") == 0
+    if not parsed:
+        return decoded.filter(good).drop("problems")
+    row = decoded.select(F.explode(F.array(F.struct(*decoded.columns))).alias("row")).select("row.*")
+    return row.filter(good).drop("problems")
 
-    def whole(field: Column) -> Column:
-        return (field == "[]") | ((F.char_length(field) > 1) & F.startswith(field, F.lit('"'))
-                                  & F.endswith(field, F.lit('"')))
 
-    fits = whole(cast) & whole(crew) & digits.rlike("^[0-9]+$")
-    return F.when(fits, cast), F.when(fits, crew), F.when(fits, casts.to_long(digits))
+def _credit_fields(line: Column) -> Column:
+    """Cast, crew and id of a credits line, as text; Spark's CSV rules undo the quoting."""
+    return F.from_csv(line, "cast string, crew string, id string, more string", {
+        "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"})
 
 
 def read_credits(spark: SparkSession, path: str, keep_rejects: bool = False) -> DataFrame:
@@ -138,10 +131,17 @@ def read_credits(spark: SparkSession, path: str, keep_rejects: bool = False) ->
 
 def decode_credits(lines: DataFrame, keep_rejects: bool = False) -> DataFrame:
     line = F.trim(F.col("value"), F.lit(" \t\r\n\f\v"))
-    cast, crew, film = _credit_fields(line)
-    split = lines.filter(line != "").select(cast.alias("cast"), crew.alias("crew"), film.alias("id"))
-    split = split.withColumns({
-        name: F.when(F.col("id").isNotNull(), F.col(name)) for name in ("cast", "crew")})
+    fields = lines.filter(line != "").select(F.explode(F.array(_credit_fields(line))).alias("fields"))
+    text = {name: F.col("fields").getField(name) for name in ("cast", "crew", "id", "more")}
+
+    def listed(field: Column) -> Column:
+        return F.startswith(field, F.lit("[")) & F.endswith(field, F.lit("]"))
+
+    fits = F.coalesce(listed(text["cast"]) & listed(text["crew"]) & text["id"].rlike("^[0-9]+$")
+                      & text["more"].isNull(), F.lit(False))
+    split = fields.select(
+        F.when(fits, casts.to_long(text["id"])).alias("id"),
+        *[F.when(fits, text[name]).alias(name) for name in ("cast", "crew")])
     split = literals.with_literals(split, objects=["cast", "crew"])
 
     def members(name: str, schema: T.StructType) -> Column:
@@ -177,7 +177,7 @@ def read_ratings(spark: SparkSession, path: str, keep_rejects: bool = False,
     decoded = rows.select(
         *S.RATING.names,
         F.array_compact(F.array(F.when(~complete, F.lit("line")))).alias("problems"))
-    return _finish(decoded, keep_rejects)
+    return _finish(decoded, keep_rejects, parsed=False)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

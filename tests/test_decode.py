@@ -141,6 +141,33 @@ def test_credits(spark, tmp_path):
     assert rejected.count() == 3
 
 
+def test_quoted_credits_fields(spark):
+    """Quotes are undone by CSV rules, whatever they enclose."""
+    odd = member('a ""b"" {c')
+    lines = [credits_line([member('He said "no", twice'), odd], [], 1), '"[]","[]", 2 ', "[],[],3,4", "[],[]",
+             "5", "[{'x': 1}],[],6", "[],x,7", "[],[],", "[],[],99999999999999999999", "", "  "]
+    raw = spark.createDataFrame([(line,) for line in lines], "value string")
+    rows = {r.id: [c.name for c in r.cast] for r in films.decode_credits(raw).collect()}
+    assert rows == {1: ['He said "no", twice', 'a ""b"" {c'], 2: [], 6: []}
+    kept = films.decode_credits(raw, keep_rejects=True)
+    assert kept.count() == 9 and kept.filter(F.size("problems") > 0).count() == 6
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_each_text_is_parsed_once(spark):
+    """A list is read once, and Python is met at most once, also where rejects are dropped."""
+    lines = spark.createDataFrame([("[],[],1",)], "value string")
+    raw = spark.createDataFrame([tuple(movie().values())], S.RAW_MOVIE)
+    for df, lists in ((films.decode_credits(lines), 2), (films.decode_movies(raw), 5)):
+        plan = _plan(df)
+        assert plan.count("ArrowEvalPython") == 1
+        assert plan.count("from_json(") == lists and plan.count("RLIKE(") <= 2 * lists + 10
+    assert _plan(films.decode_credits(lines)).count("from_csv(") == 1
+
+
 def test_ratings(spark, tmp_path):
     path = write_lines(tmp_path / "r.csv", "userId,movieId,rating,timestamp", [
         "1,10,4.5,1425941529", "1,10,4.5", "1,10,4.5,1425941529,9", "1,x,4.5,1425941529",
