@@ -83,7 +83,7 @@ def op11_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     vocabulary, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    both = bpe.decode(bpe.encode(docs, vocabulary, pattern), vocabulary, pattern)
+    both = bpe.round_trip(docs, vocabulary, pattern)
     return both.select("doc_id", bpe.n_ids(F.col("ids")).alias("n_tokens"),
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -9,7 +9,7 @@ a hierarchy of bitmaps, each word of which tells which words (or buckets) below
 anything.  Find-first-set from the top leads to the least rank in two steps, whatever
 the length of the piece.  Places are nodes of a linked list; a merge changes
 the pairs on both sides, whose old entries stay in their buckets and are skipped when
-they come up.  A piece of n bytes thus takes time in proportion to n, but for the order
+they come up; the queue is done when no pair is left that could merge.  A piece of n bytes thus takes time in proportion to n, but for the order
 of places within one bucket, so very long pieces (a text without a space) are no trouble.
 
 Ids are kept packed, as unsigned 32-bit integers, least byte first.  Nothing is
@@ -20,62 +20,74 @@ from __future__ import annotations
 
 import base64
 import re
+import sys
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from heapq import heappop, heappush
 from itertools import islice
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from marquee.llm.common import whole_text
 
 #: Pieces that a worker remembers in each of two generations, and their greatest length.
-REMEMBERED, SHORT = 1 << 18, 48
+REMEMBERED, SHORT = 1 << 19, 48
 #: Pieces handled at a time, so that a long text is not held as a list of all of them.
 _AT_ONCE = 1 << 16
+#: Rows of an Arrow batch turned into Python objects at a time.
+_ROWS_AT_ONCE = 256
+
+
+def _compact(numbers) -> array:
+    return array("q", numbers)
 
 
 class RankQueue:
     """Places by rank; ``pop`` gives the least rank and, of its places, the leftmost.
 
-    Two levels of words, wide enough that their square covers all ranks: bit b of word w
-    says that bucket w * width + b holds places, bit w of ``top`` that word w isn't empty.
+    Two levels of words, wide enough (2^shift bits) that their square covers all ranks: bit b
+    of word w says that bucket (w << shift) + b holds places, bit w of ``top`` that word w
+    isn't empty.  Words and buckets exist only while they hold something.
     """
 
-    def __init__(self, ranks: int):
-        self.shift = max(3, -(-ranks.bit_length() // 2))
-        self.rest = (1 << self.shift) - 1
-        self.buckets: list[list[int] | None] = [None] * ranks
-        self.words = [0] * ((ranks >> self.shift) + 1)
+    __slots__ = ("shift", "rest", "buckets", "words", "top")
+
+    def __init__(self, shift: int):
+        self.shift, self.rest = shift, (1 << shift) - 1
+        self.buckets: dict[int, list[int]] = {}
+        self.words: dict[int, int] = {}
         self.top = 0
 
     def push(self, rank: int, place: int) -> None:
-        places = self.buckets[rank]
-        if places:
-            heappush(places, place)
+        if rank in self.buckets:
+            heappush(self.buckets[rank], place)
             return
         self.buckets[rank] = [place]
         word = rank >> self.shift
-        self.words[word] |= 1 << (rank & self.rest)
-        self.top |= 1 << word
+        if word in self.words:
+            self.words[word] |= 1 << (rank & self.rest)
+        else:
+            self.words[word] = 1 << (rank & self.rest)
+            self.top |= 1 << word
 
-    def pop(self) -> tuple[int, int] | None:
+    def pop(self) -> tuple[int, int]:
         top = self.top
-        if not top:
-            return None
         word = (top & -top).bit_length() - 1
         bits = self.words[word]
         rank = (word << self.shift) + (bits & -bits).bit_length() - 1
         places = self.buckets[rank]
         if len(places) > 1:
             return rank, heappop(places)
-        self.buckets[rank] = None
-        self.words[word] = bits = bits & (bits - 1)
-        if not bits:
+        del self.buckets[rank]
+        bits &= bits - 1
+        if bits:
+            self.words[word] = bits
+        else:
+            del self.words[word]
             self.top = top & (top - 1)
         return rank, places[0]
 
@@ -87,7 +99,7 @@ class Codec:
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.longest = max(map(len, ranks), default=0)
-        self.queue = RankQueue(max(ranks.values(), default=0) + 1)
+        self.shift = max(3, -(-max(ranks.values(), default=0).bit_length() // 2))
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.plain, self.exact, self.odd = _splitters(pattern)
@@ -98,35 +110,46 @@ class Codec:
         if piece in ranks:
             return [ranks[piece]]
         rank_of, longest, size = ranks.get, self.longest, len(piece)
-        push, pop = self.queue.push, self.queue.pop
-        after = array("q", range(1, size + 2))
-        before = array("q", range(-1, size))
-        pair = array("q", [-1]) * (size + 1)  # the rank of a node and the next; -1 where they don't merge
-        for at in range(size - 1):
-            rank = rank_of(piece[at:at + 2], -1)
+        queue = RankQueue(self.shift)
+        push, pop = queue.push, queue.pop
+        numbers = list if size <= SHORT else _compact
+        after = numbers(range(1, size + 2))
+        before = numbers(range(-1, size))
+        # The rank of a node and the next; -1 where they don't merge.
+        pair = numbers([rank_of(piece[at:at + 2], -1) for at in range(size - 1)] + [-1, -1])
+        left_over = 0  # pairs that can still merge
+        for at, rank in enumerate(pair):
             if rank >= 0:
-                pair[at] = rank
                 push(rank, at)
-        while found := pop():
-            rank, at = found
+                left_over += 1
+        while left_over:
+            rank, at = pop()
             if pair[at] != rank:  # stale: a neighbour has merged since
                 continue
+            left_over -= 1
             gone = after[at]
             end = after[at] = after[gone]
-            pair[gone] = new = -1
+            new = -1
             if end < size:
                 before[end] = at
+                if pair[gone] >= 0:
+                    left_over -= 1
                 stop = after[end]
                 if stop - at <= longest:
                     new = rank_of(piece[at:stop], -1)
                     if new >= 0:
                         push(new, at)
+                        left_over += 1
+                pair[gone] = -1
             pair[at] = new
             left = before[at]
             if left >= 0:
+                if pair[left] >= 0:
+                    left_over -= 1
                 new = rank_of(piece[left:end], -1) if end - left <= longest else -1
                 if new >= 0:
                     push(new, left)
+                    left_over += 1
                 pair[left] = new
         out, at = [], 0
         while at < size:
@@ -139,7 +162,10 @@ class Codec:
         """The packed ids of a piece; short ones are remembered, the least recently met go first."""
         out = self.older.get(piece)
         if out is None:
-            out = np.array(self.merge(piece.encode("utf-8", "surrogatepass")), "<u4").tobytes()
+            ids = array("I", self.merge(piece.encode("utf-8", "surrogatepass")))
+            if sys.byteorder == "big":
+                ids.byteswap()
+            out = ids.tobytes()
         if len(piece) <= SHORT:
             if len(self.recent) >= REMEMBERED:
                 self.older, self.recent = self.recent, {}
@@ -148,7 +174,7 @@ class Codec:
 
     def encode(self, text: str) -> bytes:
         """Packed ids of a whole text; the empty text has none."""
-        split = self.plain if text.isascii() or not self.odd.search(text) else self.exact
+        split = self.exact if self._is_odd(text) else self.plain
         out = []
         if len(text) <= _AT_ONCE:
             return self._joined(split.findall(text))
@@ -157,6 +183,14 @@ class Codec:
             out.append(self._joined(part))
         return b"".join(out)
 
+    def _is_odd(self, text: str) -> bool:
+        """Whether the text has a character on which the two patterns differ (none is in Latin-1)."""
+        try:
+            text.encode("latin-1")
+            return False
+        except UnicodeEncodeError:
+            return self.odd.search(text) is not None
+
     def _joined(self, pieces: list[str]) -> bytes:
         known = self.recent.get
         return b"".join([known(piece) or self.packed(piece) for piece in pieces])
@@ -202,6 +236,8 @@ def _splitters(pattern: str):
         odd |= {*less, *more}
         known = f"[{name}--[{_class_text(less)}]]" if less else name
         exact = exact.replace(name, f"[{known}||[{_class_text(more)}]]" if more else known)
+    if odd and min(odd) <= 0xFF:
+        raise ValueError("the pattern's classes differ within Latin-1")
     never = "(?!)"
     return (regex.compile(pattern), regex.compile("(?V1)" + exact),
             re.compile(f"[{_class_text(sorted(odd))}]" if odd else never))
@@ -215,6 +251,19 @@ def codec(vocabulary: str, pattern: str) -> Codec:
     return Codec(ranks, pattern)
 
 
+def _column(type_: str, convert) -> Callable[[Column], Column]:
+    """A column function that turns Arrow values one by one, some rows at a time."""
+    @F.arrow_udf(type_)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        one, kind = convert()
+        for batch in batches:
+            parts = [pa.array([one(value) for value in batch.slice(at, _ROWS_AT_ONCE).to_pylist()], kind)
+                     for at in range(0, len(batch), _ROWS_AT_ONCE)]
+            yield pa.concat_arrays(parts) if parts else pa.array([], kind)
+
+    return run
+
+
 def encode(docs: DataFrame, vocabulary: str, pattern: str, text_col: str = "text",
            ids_col: str = "ids") -> DataFrame:
     """``docs`` with ``ids_col``, the packed token ids of each whole text.
@@ -224,25 +273,33 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, text_col: str = "text
     a row; an empty table stays empty; a column of the name ``ids_col`` is replaced and no
     other is touched.  Special tokens in a text are ordinary characters.
     """
-    @F.pandas_udf("binary")
-    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        of = codec(vocabulary, pattern)
-        for texts in batches:
-            yield pd.Series([of.encode(t) for t in texts], dtype=object)
-
-    return docs.withColumn(ids_col, ids(whole_text(text_col)))
+    run = _column("binary", lambda: (codec(vocabulary, pattern).encode, pa.binary()))
+    return docs.withColumn(ids_col, run(whole_text(text_col)))
 
 
 def decode(tokens: DataFrame, vocabulary: str, pattern: str, ids_col: str = "ids",
            bytes_col: str = "decoded") -> DataFrame:
     """``tokens`` with ``bytes_col``, the bytes that packed ids stand for; null ids give none."""
-    @F.pandas_udf("binary")
-    def text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    run = _column("binary", lambda: (codec(vocabulary, pattern).decode, pa.binary()))
+    return tokens.withColumn(bytes_col, run(F.coalesce(F.col(ids_col), F.lit(b""))))
+
+
+def round_trip(docs: DataFrame, vocabulary: str, pattern: str, text_col: str = "text",
+               ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
+    """``encode`` and ``decode`` of its ids, with one transfer of the texts to Python."""
+    def both():
         of = codec(vocabulary, pattern)
-        for packed in batches:
-            yield pd.Series([of.decode(p) for p in packed], dtype=object)
 
-    return tokens.withColumn(bytes_col, text(F.coalesce(F.col(ids_col), F.lit(b""))))
+        def one(text: str) -> dict[str, bytes]:
+            ids = of.encode(text)
+            return {"ids": ids, "decoded": of.decode(ids)}
+
+        return one, pa.struct([("ids", pa.binary()), ("decoded", pa.binary())])
+
+    run = _column("struct<ids:binary,decoded:binary>", both)
+    names = [c for c in docs.columns if c not in (ids_col, bytes_col)]
+    out = docs.select(*[docs[c] for c in names], run(whole_text(text_col)).alias(ids_col))
+    return out.select(*names, F.col(ids_col)["ids"].alias(ids_col), F.col(ids_col)["decoded"].alias(bytes_col))
 
 
 def n_ids(packed: Column) -> Column:
@@ -250,7 +307,11 @@ def n_ids(packed: Column) -> Column:
     return F.floor(F.octet_length(packed) / 4).cast("long")
 
 
-@F.pandas_udf(T.ArrayType(T.LongType()))
-def unpack(packed: pd.Series) -> pd.Series:
-    """Packed ids as numbers; null stays null."""
-    return packed.map(lambda p: np.frombuffer(p, "<u4").astype("int64"), na_action="ignore")
+def unpack(packed: Column) -> Column:
+    """Packed ids as an array of longs; null stays null."""
+    @F.arrow_udf("array<long>")
+    def numbers(batch: pa.Array) -> pa.Array:
+        return pa.array([None if p is None else np.frombuffer(p, "<u4") for p in batch.to_pylist()],
+                        pa.list_(pa.int64()))
+
+    return numbers(packed)
