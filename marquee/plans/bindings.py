@@ -19,7 +19,8 @@ from marquee.operators import (
 from marquee.plans import film_queries as film
 from marquee.plans import table_views as views
 from marquee.plans.table_views import PRIORITIES, table
-from marquee.sources.films import decode_credits, decode_movies
+from marquee.session import scratch_path
+from marquee.sources.films import decode_credits, decode_movies, read_movies, write_csv
 
 HOME, PARTNER = "NATION_18", "NATION_3"
 
@@ -101,6 +102,18 @@ def decode_movies_(spark, sf_dir):
         F.char_length("overview").cast("bigint").alias("overview_chars"))
 
 
+def read_movies_multiline(spark, sf_dir):
+    """Films written to CSV files, whose overviews hold line breaks, quotes and commas, and
+    read from them again."""
+    path = scratch_path(spark, "films-csv")
+    write_csv(raw_movies(spark, sf_dir), path, quote_all=True)
+    return read_movies(spark, path).select(
+        "id", "budget", "revenue", "release_date",
+        piped(text.names_of(F.col("genres"))).alias("genres"),
+        F.regexp_count("overview", F.lit("\n")).cast("bigint").alias("line_breaks"),
+        F.char_length("overview").cast("bigint").alias("overview_chars"))
+
+
 def decode_counts(spark, sf_dir):
     return clean.decode_counts(decode_movies(raw_movies(spark, sf_dir), keep_rejects=True), "movies")
 
@@ -462,6 +475,7 @@ def profile_table(spark, sf_dir):
 BATCH = {
     "decode_movies": decode_movies_,
     "decode_credits": decode_credits_,
+    "read_movies_multiline": read_movies_multiline,
     "decode_counts": decode_counts,
     "clean_movies": clean_movies,
     "clean_ratings": clean_ratings,

@@ -108,6 +108,11 @@ SQL = {
 SELECT id, budget, revenue, release_date, array_to_string(genres, '|') AS genres,
        array_to_string(countries, '|') AS countries, 'Café' AS collection, true AS video,
        CAST(length(overview) AS BIGINT) AS overview_chars
+FROM movies_v WHERE genres[1] <> 'ECONOMY'"""),
+    "read_movies_multiline": _films("""
+SELECT id, budget, revenue, release_date, array_to_string(genres, '|') AS genres,
+       CAST(length(overview) - length(replace(overview, chr(10), '')) AS BIGINT) AS line_breaks,
+       CAST(length(overview) AS BIGINT) AS overview_chars
 FROM movies_v WHERE genres[1] <> 'ECONOMY'"""),
     "decode_counts": _films("""
 SELECT 'movies' AS record, count(*) FILTER (genres[1] <> 'ECONOMY') AS accepted,

@@ -13,26 +13,27 @@ from pyspark.sql import types as T
 
 from marquee import schemas as S
 from marquee.functions import casts, literals
+from marquee.sources import records
 
 _CORRUPT = "_corrupt_record"
 
 
+#: How the films file quotes: a quote within a quoted text is doubled.
+_CSV = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "true"}
+
+
 def read_movies(spark: SparkSession, path: str, keep_rejects: bool = False,
-                keep_multiline: bool = False) -> DataFrame:
-    """Decoded films.
+                keep_multiline: bool = True) -> DataFrame:
+    """Decoded films; the files are split over all tasks, wherever their lines break.
 
-    A record whose quoted text holds a line break is dropped by default: the
-    scan then works line by line and one large file is split over all tasks.
-    ``keep_multiline=True`` keeps such records; each file is then one task, so
-    give it many files.
+    Without ``keep_multiline`` a record whose quoted text holds a line break is dropped,
+    and the scan is Spark's own.
     """
-    raw = (
-        spark.read.schema(S.RAW_MOVIE)
-        .option("header", True).option("multiLine", keep_multiline)
-        .option("quote", '"').option("escape", '"')
-        .option("ignoreLeadingWhiteSpace", True)
-        .csv(path)
-    )
+    if keep_multiline:
+        line = F.from_csv("value", S.RAW_MOVIE.simpleString()[len("struct<"):-1].replace(":", " "), _CSV)
+        raw = records.quoted_records(spark, path).select(F.explode(F.array(line)).alias("row")).select("row.*")
+    else:
+        raw = spark.read.schema(S.RAW_MOVIE).option("header", True).options(**_CSV).csv(path)
     return decode_movies(raw, keep_rejects)
 
 
@@ -120,7 +121,7 @@ def _finish(decoded: DataFrame, keep_rejects: bool, parsed: bool = True) -> Data
 def _credit_fields(line: Column) -> Column:
     """Cast, crew and id of a credits line, as text; Spark's CSV rules undo the quoting."""
     return F.from_csv(line, "cast string, crew string, id string, more string", {
-        "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"})
+        **_CSV, "ignoreTrailingWhiteSpace": "true"})
 
 
 def read_credits(spark: SparkSession, path: str, keep_rejects: bool = False) -> DataFrame:
@@ -180,6 +181,9 @@ def read_ratings(spark: SparkSession, path: str, keep_rejects: bool = False,
     return _finish(decoded, keep_rejects, parsed=False)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """Flat rows as CSV with a header and doubled quotes."""
-    df.write.option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
+def write_csv(df: DataFrame, path: str, quote_all: bool = False) -> None:
+    """Flat rows as CSV with a header and doubled quotes; ``quote_all`` keeps outer blanks."""
+    writer = df.write.option("header", True).option("escape", '"').option("emptyValue", "")
+    if quote_all:
+        writer = writer.options(quoteAll=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    writer.csv(path)

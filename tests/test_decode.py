@@ -69,8 +69,8 @@ def test_empty_money_passes_decode_but_not_cleaning(spark, tmp_path):
 
 def test_line_break_in_text(spark, tmp_path):
     rows = [movie(id="1"), movie(id="2", overview="two\nlines"), movie(id="3")]
-    assert kept_ids(spark, tmp_path, rows) == [1, 3]
-    assert kept_ids(spark, tmp_path, rows, keep_multiline=True) == [1, 2, 3]
+    assert kept_ids(spark, tmp_path, rows, keep_multiline=False) == [1, 3]
+    assert kept_ids(spark, tmp_path, rows) == [1, 2, 3]
 
 
 def test_reject_reasons_and_counts(spark, tmp_path):
