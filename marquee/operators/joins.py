@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions.text import modulo_bucket
+from marquee.session import materialize
 
 
 def unique_by_key(df: DataFrame, keys: Sequence[str] = ("id",), order: str | None = None) -> DataFrame:
@@ -59,3 +60,56 @@ def range_bucket(key: Column, ranges: Sequence[tuple[int, int, int]], buckets: i
     for low, high, bucket in reversed(list(ranges)):
         found = F.when(key.between(low, high), F.lit(bucket).cast("bigint")).otherwise(found)
     return F.coalesce(found, modulo_bucket(key, buckets).cast("bigint"))
+
+
+#: Keys and bounds lie within this distance of 0.
+_REACH = 1 << 61
+
+
+def _cover(ranges: DataFrame, low: str, high: str) -> Column:
+    """The dyadic blocks (level, block) whose union is the range; a block of level l holds the
+    keys with the same bits above the lowest l.  At most two a level."""
+    def blocks(level: Column) -> Column:
+        shift = lambda c: F.call_function("shiftright", c, level)
+        size = F.call_function("shiftleft", F.lit(1).cast("bigint"), level)
+        first, after = shift(F.col(low) + size - 1), shift(F.col(high) + 1)
+        rest = first + F.pmod(first, F.lit(2))
+        odd = lambda c: F.pmod(c, F.lit(2)) == 1
+        return F.array(
+            F.when(odd(first) & (first < after), F.struct(level.alias("level"), first.alias("block"))),
+            F.when(odd(after) & (rest < after), F.struct(level.alias("level"), (after - 1).alias("block"))))
+
+    return F.array_compact(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(62)), blocks)))
+
+
+def range_join(rows: DataFrame, ranges: DataFrame, key: str, value: str = "bucket", low: str = "low",
+               high: str = "high", priority: str = "priority") -> DataFrame:
+    """``rows`` with ``value`` of the range that holds the key, null if none does.
+
+    Of several ranges the one with the smallest ``priority`` counts (ties: low, high, value).
+    Ranges may be any number, of any length, and overlap.  Each is cut into at most two
+    aligned blocks of each power of two, and each distinct key looks up the blocks that hold
+    it, one of each size in use, so the join is on equal values: Spark sends the blocks along
+    if they are few and shuffles both sides otherwise.  Only distinct keys are looked up;
+    the answers are then joined to the rows by key, where Spark splits a hot one.
+
+    Null keys, and ranges with a null bound or none between their bounds, match nothing.
+    Keys and bounds are whole numbers within 2^61 of 0.
+    """
+    held = ranges.where(f"{low} <= {high} AND {low} > -{_REACH} AND {high} < {_REACH}").select(
+        F.col(low).cast("bigint").alias("_low"), F.col(high).cast("bigint").alias("_high"),
+        F.col(priority).alias("_priority"), F.col(value).alias("_value"))
+    blocks = materialize(
+        held.withColumn("_block", F.explode(_cover(held, "_low", "_high")))
+        .groupBy("_block.level", "_block.block")
+        .agg(F.min(F.struct("_priority", "_low", "_high", "_value")).alias("_best")), "blocks")
+    levels = sorted(r["level"] for r in blocks.select("level").distinct().collect())  # 62 at most
+    column = F.col(key).cast("bigint")
+    keys = rows.where(column.isNotNull()).select(column.alias("_key")).distinct()
+    asked = keys.select("_key", F.explode(F.array(*[F.lit(k) for k in levels]).cast("array<int>")).alias("level"))
+    asked = asked.withColumn("block", F.call_function("shiftright", F.col("_key"), F.col("level")))
+    answers = asked.join(blocks, ["level", "block"]).groupBy("_key").agg(
+        F.min("_best").alias("_best")).select("_key", F.col("_best._value").alias("_value"))
+    kept = [c for c in rows.columns if c != value]
+    return rows.join(answers, column == F.col("_key"), "left").select(
+        *[rows[c] for c in kept], F.col("_value").alias(value))

@@ -179,6 +179,16 @@ def route_sentiment(spark, sf_dir):
     return sentiment.with_feeling(docs, label).select("doc_id", "sentiment")
 
 
+#: As with the lexicon, common words stand for modifiers and negations.
+MODIFIERS, NEGATIONS = {"and": 1.5, "to": 0.6, "der": 1.25}, ("in", "la", "a")
+
+
+def polarity_rules(spark, sf_dir):
+    """Polarity with modifiers and negations in front of the words of feeling."""
+    score = sentiment.polarity_with_rules(F.col("text"), LEXICON, MODIFIERS, NEGATIONS)
+    return table(spark, sf_dir, "documents").select("doc_id", score.alias("polarity"))
+
+
 def score_documents(spark, sf_dir):
     """The same polarity with the lexicon as a table of any size."""
     lexicon = spark.createDataFrame(list(LEXICON.items()), "word string, polarity double")
@@ -224,6 +234,18 @@ def dedup_build_side(spark, sf_dir):
     return joins.unique_by_key(rows, ["id"], order="l_linenumber")
 
 
+def range_join(spark, sf_dir):
+    """Line items to the dearest of the orders whose numbers up to 40 on cover theirs, which
+    overlap; every seventh order covers nothing."""
+    orders = table(spark, sf_dir, "orders").where("o_orderkey % 7 <> 0")
+    ranges = orders.select(
+        F.col("o_orderkey").alias("low"), (F.col("o_orderkey") + F.col("o_custkey") % 40).alias("high"),
+        (-F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("priority"),
+        F.col("o_orderkey").alias("covered_by"))
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    return joins.range_join(lines, ranges, "l_orderkey", value="covered_by")
+
+
 def range_bucket(spark, sf_dir):
     bucket = joins.range_bucket(F.col("o_orderkey"), RANGES, BUCKETS)
     return table(spark, sf_dir, "orders").select("o_orderkey", bucket.alias("bucket"))
@@ -489,12 +511,14 @@ BATCH = {
     "filter_nonzero": filter_nonzero,
     "route_categories": route_categories,
     "route_sentiment": route_sentiment,
+    "polarity_rules": polarity_rules,
     "score_documents": score_documents,
     "score_big_lexicon": score_big_lexicon,
     "join_ratings": join_ratings,
     "join_credits_semi": join_credits_semi,
     "join_credits_inner": join_credits_inner,
     "dedup_build_side": dedup_build_side,
+    "range_join": range_join,
     "range_bucket": range_bucket,
     "agg_avg_rating": agg_avg_rating,
     "distinct_counts": distinct_counts,

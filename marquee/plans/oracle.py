@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from marquee.plans.bindings import (
-    BUCKETS, EVENT_TYPES, HEAD_PERCENT, HOME, LEXICON, LOOSE, PARTNER, PRIORITIES, RANGES,
+    BUCKETS, EVENT_TYPES, HEAD_PERCENT, HOME, LEXICON, LOOSE, MODIFIERS, NEGATIONS, PARTNER, PRIORITIES,
+    RANGES,
 )
 from marquee.plans.table_views import EVENTS_PER_FILM
 
@@ -356,3 +357,50 @@ SQL |= {
     "stream_q4_by_client": f"SELECT * FROM ({SQL['q4_by_tenant']}) WHERE client_id <> '5-LOW'",
     "stream_join_barrier": SQL["join_credits_semi"],
 }
+
+# Each scored word looks back to the last word that ends the wait of modifiers and of negations.
+SQL["polarity_rules"] = rf"""
+WITH words AS (
+  SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos
+  FROM (SELECT doc_id, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+(?:''[\p{{L}}\p{{N}}]+)*') AS w
+        FROM documents)),
+lexicon(word, value) AS (VALUES {', '.join(f"('{w}', {v}::DOUBLE)" for w, v in LEXICON.items())}),
+modifiers(word, factor) AS (VALUES {', '.join(f"('{w}', {v}::DOUBLE)" for w, v in MODIFIERS.items())}),
+kinds AS (
+  SELECT doc_id, pos, value, factor, length(replace(word, '''', '')) AS size,
+         CASE WHEN factor IS NOT NULL THEN 'm'
+              WHEN word IN ({', '.join(f"'{w}'" for w in NEGATIONS)}) OR word LIKE '%n''t' THEN 'n'
+              WHEN value IS NOT NULL THEN 's' ELSE 'o' END AS kind
+  FROM words LEFT JOIN lexicon USING (word) LEFT JOIN modifiers USING (word)),
+marked AS (
+  SELECT *, max(pos) FILTER (kind = 'm') OVER earlier AS mod_at,
+         last_value(CASE WHEN kind = 'm' THEN factor END IGNORE NULLS) OVER earlier AS mod,
+         coalesce(max(pos) FILTER (kind = 's' OR kind = 'o' AND size > 2) OVER earlier, 0) AS mod_end,
+         count(*) FILTER (kind = 's' OR kind = 'o' AND size > 1) OVER earlier AS part
+  FROM kinds
+  WINDOW earlier AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+denied AS (
+  SELECT *, min(pos) FILTER (kind = 'n') OVER (PARTITION BY doc_id, part ORDER BY pos
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS denied_at
+  FROM marked),
+scored AS (
+  SELECT doc_id, denied_at,
+         value * CASE WHEN mod_at IS NULL OR mod_at <= mod_end THEN 1.0::DOUBLE
+                      WHEN denied_at < mod_at THEN 1.0::DOUBLE / mod ELSE mod END AS v
+  FROM denied WHERE kind = 's')
+SELECT d.doc_id, coalesce(p, 0.0::DOUBLE) AS polarity
+FROM documents d LEFT JOIN (
+  SELECT doc_id, CAST(sum(CAST(round(greatest(-1.0::DOUBLE, least(1.0::DOUBLE, v))
+           * CASE WHEN denied_at IS NULL THEN 1.0::DOUBLE ELSE -0.5::DOUBLE END * 1000000) AS BIGINT)) AS DOUBLE)
+         / (count(*) * 1000000) AS p
+  FROM scored GROUP BY doc_id) USING (doc_id)"""
+
+SQL["range_join"] = """
+WITH ranges AS (
+  SELECT o_orderkey AS low, o_orderkey + o_custkey % 40 AS high, -CAST(round(o_totalprice * 100) AS BIGINT) AS priority
+  FROM orders WHERE o_orderkey % 7 <> 0),
+found AS (
+  SELECT k, low AS covered_by, row_number() OVER (PARTITION BY k ORDER BY priority, low, high) AS r
+  FROM (SELECT DISTINCT l_orderkey AS k FROM lineitem) JOIN ranges ON k >= low AND k <= high)
+SELECT l_orderkey, l_linenumber, covered_by
+FROM lineitem LEFT JOIN (SELECT * FROM found WHERE r = 1) ON k = l_orderkey"""
