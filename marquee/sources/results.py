@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.functions.json_text import is_json
+from marquee.sources import records
 
 # Fixed value: answer files are called <prefix><client id>.txt.
 FILE_PREFIX = "resultados_"
@@ -30,13 +30,8 @@ def read_results(spark: SparkSession, path: str) -> DataFrame:
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """``(path, document)``: every JSON object of files that hold several, one
-    after another, pretty-printed or not.  A file is one client's few answers."""
-    files = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
-    pieces = F.split(F.col("value"), r"(?<=\})\s*(?=\{)")
-    found = files.select(
-        F.col("_metadata.file_path").alias("path"), F.explode(pieces).alias("document"))
-    return found.select("path", F.trim("document", F.lit(" \t\r\n")).alias("document")).filter(
-        is_json(F.col("document")))
+    after another, pretty-printed or not; files are split over all tasks."""
+    return records.json_objects(spark, path)
 
 
 def read_reference_results(spark: SparkSession, path: str) -> DataFrame:

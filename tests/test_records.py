@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import io
+import json
 import random
 
 import pytest
@@ -67,3 +68,53 @@ def test_films_with_line_breaks(spark, tmp_path, small_splits):
     assert got == {int(r["id"]): r["overview"] for r in rows if r["popularity"]}
     every = films.read_movies(spark, path, keep_rejects=True)
     assert every.count() == 59 and every.filter(F.size("problems") > 0).count() == 8
+
+
+# --- JSON objects -------------------------------------------------------------------------
+
+def _documents(spark, path):
+    return sorted((r["path"].rsplit("/", 1)[1], json.loads(r["document"]))
+                  for r in records.json_objects(spark, str(path)).collect())
+
+
+def _value(rng, depth):
+    kind = rng.randrange(7 if depth else 4)
+    if kind == 0:
+        return rng.choice([None, True, 1.5, -3])
+    if kind < 4:
+        return "".join(rng.choice(['}', '{', '}{', '"', "\\", "\n", "é", "a", "word ", '\\"', "[]"])
+                       for _ in range(rng.choice([0, 3, 9, 60])))
+    if kind == 4:
+        return [_value(rng, depth - 1) for _ in range(rng.randrange(3))]
+    return {f"k{i}": _value(rng, depth - 1) for i in range(rng.randrange(4))}
+
+
+@pytest.mark.parametrize("indent, between", [(None, ""), (None, "\n"), (2, "\n"), (1, " , [ \n")])
+def test_objects_across_many_splits(spark, tmp_path, small_splits, indent, between):
+    rng, want = random.Random(indent or 9), []
+    for k in range(3):
+        found = [{"n": i, "v": _value(rng, 3)} for i in range(60)]
+        (tmp_path / f"f{k}.json").write_text(
+            between.join(json.dumps(d, indent=indent, ensure_ascii=False) for d in found) + rng.choice(["", "\n"]),
+            encoding="utf-8")
+        want += [(f"f{k}.json", d) for d in found]
+    order = lambda x: (x[0], x[1]["n"])
+    got = [(r["path"].rsplit("/", 1)[1], json.loads(r["document"]))
+           for r in records.json_objects(spark, str(tmp_path)).collect()]
+    assert sorted(got, key=order) == sorted(want, key=order)
+
+
+def test_objects_in_odd_files(spark, tmp_path, small_splits):
+    texts = {
+        "empty": "", "blank": " \n", "list": '[{"a": 1}, {"b": {}}]', "cut": '{"a": 1}{"b": {"c": 2}',
+        "cut-string": '{"a": 1}\n{"b": "}', "words": 'first: {"a": {}} then {} end', "none": "[1, 2]",
+        "bad": '{"a": }{"b": 1}', "open": '{"a": 1',
+        "deep": '{"a": ' * 40 + "1" + "}" * 40}
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text, encoding="utf-8")
+    got: dict = {}
+    for r in records.json_objects(spark, str(tmp_path)).collect():
+        got.setdefault(r["path"].rsplit("/", 1)[1], []).append(r["document"])
+    assert {k: sorted(v) for k, v in got.items()} == {
+        "list": ['{"a": 1}', '{"b": {}}'], "cut": ['{"a": 1}'], "cut-string": ['{"a": 1}'],
+        "words": ['{"a": {}}', "{}"], "bad": ['{"b": 1}'], "deep": [texts["deep"]]}
