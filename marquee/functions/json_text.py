@@ -71,7 +71,8 @@ def canonical_json(value: Column) -> Column:
 def normalized(value: Column, dtype: T.DataType, digits: int = 4) -> Column:
     """Order-insensitive form of a nested value, built from its schema: texts
     trimmed, floats rounded, lists ordered by their JSON text, maps and struct
-    fields ordered by key."""
+    fields ordered by key.  Of map keys that are equal in this form one stays, with
+    the smallest value."""
     if isinstance(dtype, T.StringType):
         return F.trim(value, F.lit(" \t\r\n\f\v"))
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
@@ -85,7 +86,12 @@ def normalized(value: Column, dtype: T.DataType, digits: int = 4) -> Column:
         entries = F.transform(F.map_entries(value), lambda e: F.struct(
             normalized(e["key"], dtype.keyType, digits).alias("k"),
             normalized(e["value"], dtype.valueType, digits).alias("v")))
-        return F.map_from_entries(F.array_sort(entries))
+
+        def unlike(pairs: Column) -> Column:
+            return F.filter(pairs, lambda e, i: (i == 0) | (e["k"] != F.get(pairs, i - 1)["k"]))
+
+        # As the one item of an array the entries are ordered once.
+        return F.transform(F.array(F.array_sort(entries)), lambda pairs: F.map_from_entries(unlike(pairs)))[0]
     if isinstance(dtype, T.StructType):
         fields = sorted(dtype.fields, key=lambda field: field.name)
         built = F.struct(*[

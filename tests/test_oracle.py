@@ -3,11 +3,11 @@
 import pytest
 
 import __spark_entry__ as contract
-from marquee.plans import bindings, oracle, stream_bindings
+from marquee.plans import bindings, file_bindings, oracle, stream_bindings
 from oracle_check import connect, differences
 
 
-QUERIES = {**bindings.BATCH, **stream_bindings.STREAMS}
+QUERIES = {**bindings.BATCH, **file_bindings.FILES, **stream_bindings.STREAMS}
 
 
 def test_every_query_has_a_twin():

@@ -134,3 +134,33 @@ def test_normalize(spark):
     row = compare.normalize(df).collect()[0]
     assert (row.s, row.l, row.m) == ("a", [1.0, 3.0], {"k": ["a", "b"]})
     assert row.r.asDict() == {"a": "x", "z": 2.5}
+
+
+def test_keys_that_become_equal(spark):
+    """Titles that differ in outer blanks only are one title, not a failed job."""
+    df = spark.createDataFrame([({"A": 2.0, " A": 1.00004, "b": None},)], "m map<string,double>")
+    assert compare.normalize(df).first().m == {"A": 1.0, "b": None}
+    answer = [("Q1", '{"A": ["x"], " A": ["x"]}')]
+    expected = spark.createDataFrame(answer, "query_id string, results string")
+    obtained = expected.select(F.lit("c").alias("client_id"), "query_id", "results")
+    assert compare.compare_answers(expected, obtained, ["Q1"]).count() == 0
+
+
+def test_numbers_within_the_tolerance(spark):
+    """Close numbers are equal wherever they lie, also across an edge of rounding."""
+    want = [("Q5", '{"average_positive_rate": 1.00005, "average_negative_rate": 2.0}'),
+            ("Q3", '{"highest": {"title": "T", "rating": 4.00005}, "lowest": {"title": " U", "rating": 1.0}}'),
+            ("Q2", '[["AR", "10"], ["ES", "9"]]'), ("Q4", '{"actors": [{"name": "N", "count": 3}]}')]
+    expected = spark.createDataFrame(want, "query_id string, results string")
+
+    def judged(*changes):
+        rows = expected.withColumn("results", F.col("results"))
+        for old, new in changes:
+            rows = rows.withColumn("results", F.replace("results", F.lit(old), F.lit(new)))
+        found = compare.compare_answers(expected, rows.withColumn("client_id", F.lit("c")), ["Q2", "Q3", "Q4", "Q5"])
+        return sorted((r.query_id, r.status) for r in found.collect())
+
+    assert judged(("1.00005", "1.000049"), ("4.00005", "4.000051"), ('" U"', '"U"'), ('"10"', '"10.0"')) == []
+    assert judged(("1.00005", "1.0002"), ('"9"', '"8"')) == [("Q2", "anomalous"), ("Q5", "anomalous")]
+    assert judged(('"T"', '"t"'), ('"count": 3', '"count": null')) == [("Q3", "anomalous"), ("Q4", "anomalous")]
+    assert judged(('"AR"', '"BR"'), ("2.0", "null")) == [("Q2", "anomalous"), ("Q5", "anomalous")]
