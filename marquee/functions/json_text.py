@@ -42,19 +42,6 @@ def json_kind(text: Column) -> Column:
     return F.when(is_json(text), kind)
 
 
-def json_structure(text: Column, sample: int = 5) -> Column:
-    """Kind, keys, length, kinds of the first items and the nested schema."""
-    kind = json_kind(text)
-    items = F.when(kind == "array", F.from_json(text, T.ArrayType(T.VariantType())))
-    return F.struct(
-        kind.alias("kind"),
-        F.when(kind == "object", F.json_object_keys(text)).alias("keys"),
-        F.when(kind == "array", F.json_array_length(text)).alias("length"),
-        F.transform(F.slice(items, 1, sample), F.schema_of_variant).alias("item_types"),
-        F.schema_of_variant(F.try_parse_json(text)).alias("schema"),
-    )
-
-
 def missing_keys(text: Column, required) -> Column:
     """Required top-level keys that the JSON object lacks; all of them when the
     text is not an object."""

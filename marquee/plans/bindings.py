@@ -487,7 +487,9 @@ def inspect_json(spark, sf_dir):
     return report.select(
         "event_id", F.col("bytes").cast("bigint").alias("bytes"), "readable", "valid_json",
         "repaired", F.col("structure.kind").alias("kind"),
-        piped(F.col("structure.keys")).alias("keys"), F.size("issues").cast("bigint").alias("issues"))
+        piped(F.col("structure.keys")).alias("keys"), F.size("issues").cast("bigint").alias("issues"),
+        F.col("structure.schema").alias("schema"), F.col("fault.position").alias("fault_at"),
+        F.col("fault.line").alias("fault_line"))
 
 
 def profile_table(spark, sf_dir):

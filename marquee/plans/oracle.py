@@ -330,7 +330,11 @@ SELECT event_id,
        event_type IN ('error', 'view') AS repaired,
        CASE WHEN event_type <> 'click' THEN 'object' END AS kind,
        CASE WHEN event_type <> 'click' THEN 'k' END AS keys,
-       CASE WHEN event_type <> 'click' THEN CAST(5 AS BIGINT) END AS issues
+       CASE WHEN event_type <> 'click' THEN CAST(5 AS BIGINT) END AS issues,
+       CASE WHEN event_type <> 'click' THEN 'OBJECT<k: BIGINT>' END AS schema,
+       CAST(CASE event_type WHEN 'error' THEN length(props) - 1 WHEN 'view' THEN length(props) - 1
+            WHEN 'click' THEN 1 END AS BIGINT) AS fault_at,
+       CAST(CASE WHEN event_type IN ('error', 'view', 'click') THEN 1 END AS BIGINT) AS fault_line
 FROM events""",
     "profile_table": "\nUNION ALL ".join(
         f"SELECT '{c}' AS field, count(*) AS rows, count({c}) AS non_null FROM lineitem"

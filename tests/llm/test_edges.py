@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from marquee.llm import (
-    chat, decontaminate, html_text, imatch, langid, linededup, mixing, secret_scan, simhash, toxicity)
+    chat, common, decontaminate, html_text, imatch, langid, linededup, mixing, secret_scan, simhash, toxicity)
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 LONG = " ".join(f"wort{i % 997}" for i in range(60_000))
@@ -53,6 +53,30 @@ def test_simhash(odd, none):
     assert simhash.drop_near(none).count() == 0
 
 
+def test_near_dedup_keeps_unlike_texts(spark):
+    """A row goes only for a near copy that stays, whatever ids rows share."""
+    texts = {k: " ".join(f"{k}{i * i % 97}" for i in range(300)) for k in "abcdef"}
+    near = texts["a"].replace("a0 ", "a0 more ", 1)
+    rows = [(None, texts["a"]), (None, texts["b"]), (None, texts["c"]), (3, texts["d"]), (5, texts["d"] + " x"),
+            (5, texts["e"]), (None, texts["e"]), (9, near), (9, near), (9, texts["f"]), (9, texts["f"])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("key", F.lit(1))
+    kept = sorted(((r["doc_id"] or 0, r["text"]) for r in simhash.drop_near(docs).collect()))
+    assert kept == sorted([(9, near), (0, texts["b"]), (0, texts["c"]), (3, texts["d"]), (5, texts["e"]),
+                           (9, texts["f"])])
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 22])
+def test_keep_decided_by_a_full_or_an_empty_filter(spark, monkeypatch, bits):
+    monkeypatch.setattr(common, "_FILTER_BITS", bits)
+    rows = spark.range(500).select(F.col("id").alias("key"), F.lit("x").alias("row"))
+    rows = rows.unionByName(rows.where("key % 5 = 0"))
+    decided = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).withColumn("keep", F.col("key") % 3 == 0)
+    got = sorted(r["key"] for r in common.keep_decided(rows, "key", decided).collect())
+    assert got == [k for k in range(500) if k % 3 == 0]
+    assert common.keep_decided(rows, "key", decided.withColumn("keep", F.lit(True))).count() == 500
+
+
+
 def test_language(odd, none):
     model = langid.fit(odd.where(~langid.held_out()))
     rows = {r["doc_id"]: r["language"] for r in langid.predict(odd, model).collect()}

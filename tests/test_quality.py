@@ -164,3 +164,26 @@ def test_numbers_within_the_tolerance(spark):
     assert judged(("1.00005", "1.0002"), ('"9"', '"8"')) == [("Q2", "anomalous"), ("Q5", "anomalous")]
     assert judged(('"T"', '"t"'), ('"count": 3', '"count": null')) == [("Q3", "anomalous"), ("Q4", "anomalous")]
     assert judged(('"AR"', '"BR"'), ("2.0", "null")) == [("Q2", "anomalous"), ("Q5", "anomalous")]
+
+
+def test_faults_and_structure(spark):
+    texts = ['{"a": 1}', '{"a": \n 1,}', "[1, \"x\", {\"b\": null}]", "{", "", "7 8", '"text"', "null", "true", "1.5",
+             '{"a": 1} x', None, '{"a": 1, "a": 2}', "[" * 3 + "]" * 3]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, raw string")
+    rows = {texts[r.i]: r for r in quality.inspect(df).collect()}
+    kinds = {t: rows[t].structure.kind for t in texts if rows[t].valid_json}
+    assert kinds == {texts[0]: "object", texts[1]: "object", texts[2]: "array", "{": "object", '"text"': "string",
+                     "null": "null", "true": "boolean", "1.5": "number", "[[[]]]": "array"}
+    assert rows[texts[2]].structure.length == 3 and rows[texts[0]].structure["keys"] == ["a"]
+    assert rows[texts[2]].structure.item_types == ["BIGINT", "STRING", "OBJECT<b: VOID>"]
+    assert rows[texts[0]].fault is None and rows[None].fault is None and not rows[None].readable
+    assert (rows[texts[1]].fault.position, rows[texts[1]].fault.line, rows[texts[1]].repaired) == (9, 2, True)
+    assert rows["7 8"].fault.error == "Extra data" and rows["7 8"].fault.position == 2
+    assert rows[""].fault.position == 0 and not rows["7 8"].valid_json and rows['{"a": 1} x'].fault.column == 10
+    assert rows['{"a": 1, "a": 2}'].fault.error == "not JSON by the stricter reader"
+
+
+def test_inspection_parses_once(spark):
+    df = spark.createDataFrame([("{}",)], "raw string")
+    plan = quality.inspect(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_parse_json") <= 2 and plan.count("ArrowEvalPython") == 1
