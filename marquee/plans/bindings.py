@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee import schemas as S
-from marquee.functions import json_text, sentiment, text
+from marquee.functions import casts, json_text, sentiment, text
 from marquee.operators import (
     aggregates, clean, compare, dedup, filters, joins, quality, ranking,
 )
@@ -20,7 +20,7 @@ from marquee.plans import film_queries as film
 from marquee.plans import table_views as views
 from marquee.plans.table_views import PRIORITIES, table
 from marquee.session import scratch_path
-from marquee.sources.films import decode_credits, decode_movies, read_movies, write_csv
+from marquee.sources.films import decode_credits, decode_movies, read_movies, read_ratings, write_csv
 
 HOME, PARTNER = "NATION_18", "NATION_3"
 
@@ -137,6 +137,32 @@ def decode_credits_(spark, sf_dir):
         F.size("crew").cast("bigint").alias("crew_size"))
 
 
+def decode_counts_by_file(spark, sf_dir):
+    """Accepted and rejected rows of credits, of which some lack the id, and of ratings, of
+    which some are no number."""
+    lines = table(spark, sf_dir, "lineitem")
+    credits = lines.select(F.when(F.col("l_orderkey") % 9 == 0, "[],[],").otherwise(
+        F.concat(F.lit("[],[],"), F.col("l_orderkey").cast("string"))).alias("value"))
+    path = scratch_path(spark, "ratings-csv")
+    write_csv(table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("userId"), F.col("event_id").alias("movieId"),
+        F.when(F.col("event_id") % 9 == 0, "bad").otherwise(F.col("value").cast("string")).alias("rating"),
+        F.lit("1425941529").alias("timestamp")), path)
+    return clean.decode_counts(decode_credits(credits, keep_rejects=True), "credits").unionByName(
+        clean.decode_counts(read_ratings(spark, path, keep_rejects=True), "ratings"))
+
+
+def display_forms(spark, sf_dir):
+    """Previews, defaults, joined names, money, message keys and times, of parts."""
+    parts, key = table(spark, sf_dir, "part"), F.col("p_partkey")
+    return parts.select(
+        "p_partkey", text.preview(F.repeat(F.concat("p_name", F.lit(" ")), F.col("p_size") % 9), 40).alias("preview"),
+        text.or_default(F.when(F.col("p_size") > 25, F.col("p_type")), "none").alias("kind"),
+        text.joined(F.split("p_name", " "), "; ").alias("names"), text.money(key * 1234).alias("price"),
+        text.message_key(key, F.col("p_size"), F.lit(3)).alias("message"),
+        F.date_format(casts.epoch_timestamp(key * 1000), "yyyy-MM-dd HH:mm:ss").alias("at"))
+
+
 def clean_movies(spark, sf_dir):
     return clean.clean_movies(_films(spark, sf_dir, overview=True, genres=True)).select(
         "id", "original_title", "release_date", "budget", "revenue",
@@ -501,6 +527,8 @@ BATCH = {
     "decode_credits": decode_credits_,
     "read_movies_multiline": read_movies_multiline,
     "decode_counts": decode_counts,
+    "decode_counts_by_file": decode_counts_by_file,
+    "display_forms": display_forms,
     "clean_movies": clean_movies,
     "clean_ratings": clean_ratings,
     "clean_credits": clean_credits,

@@ -442,3 +442,18 @@ SQL["read_documents"] = """
 SELECT doc_id, lang, CAST(length('{"x" }' || coalesce(text, '')) AS BIGINT) AS n_chars,
        md5('{"x" }' || coalesce(text, '')) AS digest
 FROM documents"""
+
+SQL["decode_counts_by_file"] = """
+SELECT 'credits' AS record, count(*) FILTER (l_orderkey % 9 <> 0) AS accepted,
+       count(*) FILTER (l_orderkey % 9 = 0) AS rejected FROM lineitem
+UNION ALL
+SELECT 'ratings', count(*) FILTER (event_id % 9 <> 0), count(*) FILTER (event_id % 9 = 0) FROM events"""
+
+SQL["display_forms"] = """
+WITH p AS (SELECT *, repeat(p_name || ' ', p_size % 9) AS long FROM part)
+SELECT p_partkey, CASE WHEN length(long) > 40 THEN substr(long, 1, 40) || '...' ELSE long END AS preview,
+       CASE WHEN p_size > 25 AND p_type <> '' THEN p_type ELSE 'none' END AS kind,
+       replace(p_name, ' ', '; ') AS names, '$ ' || replace(format('{:,}', p_partkey * 1234), ',', '.') AS price,
+       p_partkey || ':' || p_size || '/3' AS message,
+       strftime(to_timestamp(p_partkey * 1000) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS at
+FROM p"""
