@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -322,3 +323,68 @@ def test_likeness_is_symmetric(spark):
     a, b = F.col("a"), F.col("b")
     got = row.select(imatch.likeness(a, b), imatch.likeness(b, a), imatch.likeness(b, b)).first()
     assert tuple(got) == (0.0, 0.0, 1.0)
+
+
+# --- pages: labelled by hand --------------------------------------------------------------
+
+_PROSE = ("The river had risen for three days, and the people of the valley went up to the old fort, where "
+          "they kept their grain and waited for the water to fall again.")
+_LABELLED = {
+    # wrappers that say what a page has or lacks, and forms around everything, are no noise
+    "wrappers": [f'<div class="layout has-sidebar"><article><h1>+T</h1><p>+{_PROSE}</p></article></div>',
+                 f'<div class="page no-comments with-footer"><main><p>+{_PROSE}</p></main></div>',
+                 f'<form id=page><div><article><p>+{_PROSE}</p><p>+Yes.</p></article><input></div></form>',
+                 f'<form><div><p>+{_PROSE}</p><p>+Yes.</p><p>+{_PROSE}</p></div></form>',
+                 f'<div class="widget"><article><p>+{_PROSE}</p></article></div>'],
+    # parts of an article
+    "article": [f'<article><div class="entry-header"><h1>+T</h1></div><p>+{_PROSE}</p><footer>by one</footer></article>',
+                f'<article><header><h1>+T</h1><p>+by one</p></header><p>+{_PROSE} <select><option>o</option></select>'
+                '<math><mi>x</mi></math> <object>obj</object></p></article>',
+                f'<article><p>+{_PROSE}</p><p><a href="x">+a link of its own</a></p><p>+{_PROSE}</p>'
+                f'<aside><p>{_PROSE}</p></aside><form><p>sign up for more</p></form></article>'],
+    "talk": [f'<article><p>+{_PROSE}</p></article><section id="comments"><article><p>{_PROSE}</p></article></section>',
+             f'<article><p>+{_PROSE}</p></article><div><h3>3 Comments</h3><div><p>{_PROSE}</p></div><p>{_PROSE}</p></div>',
+             f'<article><p>+{_PROSE}</p><h2>+Comments on the flood</h2><p>+{_PROSE}</p></article>'],
+    # nothing is labelled: only the cut can tell headings, short paragraphs and links
+    "plain": [f'<div><a href=x>home</a> <a href=y>about</a></div><div><h2>+Intro</h2><p>+{_PROSE}</p><p>+Yes</p>'
+              f'<p><a href=z>+a link of its own</a></p><p>+{_PROSE}</p></div><ul><li><a href=q>one</a></li>'
+              '<li><a href=r>two</a></li></ul>',
+              f'<table><tr><td><a href=1>a</a></td><td><a href=2>b</a></td></tr></table><div><p>+{_PROSE}</p><p>+So.</p>'
+              f'<p>+No</p><p>+{_PROSE}</p></div><div><a href=3>next</a></div>',
+              '<ul><li><a href=1>one</a></li><li>Read this now, it is good.</li><li><a href=2>two</a></li>'
+              f'<li><a href=3>three</a></li></ul><div><p>+{_PROSE}</p></div>'],
+}
+
+
+def _wanted(marked: str) -> str:
+    """Blocks whose text starts with a plus sign; the blocks of a page don't hang on the labels."""
+    return "\n\n".join(b.text[1:] for b in html_text.blocks(marked) if b.text.startswith("+"))
+
+
+@pytest.mark.parametrize("kind", sorted(_LABELLED))
+def test_pages_labelled_by_hand(kind):
+    for marked in _LABELLED[kind]:
+        assert html_text.main_text(marked.replace("+", "")) == _wanted(marked), marked
+
+
+def test_the_cut_corrects_the_classifier():
+    """Some blocks' own scores are wrong, and the edges put them right."""
+    wrong = right = 0
+    for marked in [page for pages in _LABELLED.values() for page in pages]:
+        want = [b.text.startswith("+") for b in html_text.blocks(marked)]
+        scores, edges = html_text._graph(html_text.blocks(marked.replace("+", "")))
+        own = [s >= 0 for s in scores]
+        cut = html_text.minimum_cut(scores, edges)
+        wrong += sum(o != w for o, w in zip(own, want))
+        right += sum(o != w and c == w for o, c, w in zip(own, cut, want))
+        assert cut == want
+    assert right == wrong >= 5
+
+
+@pytest.mark.parametrize("part", [
+    f"<p>{_PROSE}</p><div class=ad>buy now</div>", "<p>word word</p><p>A bit of text for these.</p>", "<a ", "<a '",
+    "<!x ", "<div>x", '<a href="x" ', "<h3>3 comments</h3><div>y", "<p><a href=x>l</a></p><p>Words, words.</p>"])
+def test_pages_take_time_in_proportion(part):
+    start = time.perf_counter()
+    html_text.main_text(part * 50_000)
+    assert time.perf_counter() - start < 20
