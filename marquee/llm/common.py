@@ -56,17 +56,44 @@ def _by_part():
     return Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def keep_ids(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Rows of ``docs`` whose id is in ``kept``; a null id matches a null id.
+#: Bits of a filter over keys, and so the most rows (of 64 bits each) it is broadcast as.
+_FILTER_BITS = 1 << 22
 
-    Rows that share an id are one document, of which one row stays.
+
+def marked(rows: DataFrame, name: str, key_hash: Column, keys: DataFrame, hashed: Column) -> DataFrame:
+    """``rows`` with boolean ``name``: false only if the row's key isn't among ``keys``.
+
+    A Bloom filter of one hash: each key sets the bit that its 64-bit hash points to.  The
+    filter has a fixed size, whatever the number of keys, so it can be broadcast; with very
+    many keys it tells less, and more rows take whatever way the marked ones take.
+    """
+    def word(h: Column) -> Column:
+        return F.shiftrightunsigned(h, 6).bitwiseAND(_FILTER_BITS // 64 - 1)
+
+    def bit(h: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(63).cast("int"))
+
+    filled = keys.groupBy(word(hashed).alias("_word")).agg(F.bit_or(bit(hashed)).alias("_bits"))
+    return (rows.withColumn("_at", key_hash)
+            .join(F.broadcast(filled), word(F.col("_at")) == F.col("_word"), "left")
+            .withColumn(name, F.coalesce(F.col("_bits").bitwiseAND(bit(F.col("_at"))) != 0, F.lit(False)))
+            .drop("_at", "_word", "_bits"))
+
+
+def keep_decided(rows: DataFrame, key: str, decided: DataFrame) -> DataFrame:
+    """``rows`` (with a column ``key``) of which ``decided`` (key, keep, n) says to keep the key.
+
+    Of ``n`` rows with one key one stays.  Whole rows are shuffled only where they have to be:
+    a row that a filter over the unwanted keys lets pass is kept as it stands; one that
+    doesn't pass, and isn't found in a filter over those wanted keys that don't pass either,
+    goes; only the few rows in both filters are joined to the decisions.
     """
-    kept = kept.select(F.col(id_col).alias("_kept")).distinct()
-    again = materialize(
-        docs.groupBy(F.col(id_col).alias("_again")).count().where("count > 1").select("_again"), "again")
-    out = docs.join(kept, docs[id_col].eqNullSafe(kept["_kept"]), "left_semi")
-    if again.isEmpty():
-        return out
-    same = out[id_col].eqNullSafe(again["_again"])
-    return out.join(again, same, "left_anti").unionByName(
-        out.join(again, same, "left_semi").dropDuplicates([id_col]))
+    hashed = F.xxhash64(key)
+    unwanted = decided.where(~F.col("keep") | (F.col("n") > 1)).select(key)
+    unsure = marked(decided.where("keep"), "_hit", hashed, unwanted, hashed).where("_hit").select(key)
+    unsure = materialize(unsure, "unsure")
+    rows = marked(marked(rows, "_out", hashed, unwanted, hashed), "_in", hashed, unsure, hashed)
+    wanted = decided.where("keep").select(F.col(key).alias("_key"))
+    few = rows.where("_out AND _in")
+    few = few.join(wanted, few[key] == wanted["_key"], "left_semi").dropDuplicates([key])
+    return rows.where("NOT _out").unionByName(few).drop("_out", "_in")

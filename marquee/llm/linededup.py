@@ -26,8 +26,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from marquee.llm.common import NOT_SPACE, as_row, numbered, whole_text
-from marquee.session import materialize
+from marquee.llm.common import NOT_SPACE, as_row, marked, numbered, whole_text
+from marquee.session import discard, materialize
 
 #: Lines per document are numbered in 28 bits, documents in 35.
 _LINE_BITS = 28
@@ -58,12 +58,15 @@ def repeated_lines(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id",
     # Counts are written, so that the joins read plain shuffles, which Spark splits where skewed.
     twice = materialize(lines.groupBy("id1", "id2").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "twice")
     some = materialize(lines.join(twice.drop("n"), ["id1", "id2"]), "repeated")
+    discard(lines, twice)
     order = numbered(some.select("doc", "h").distinct(),
                      [F.col("doc").asc_nulls_first(), F.col("h")])
     order = order.select(F.col("doc").alias("_doc"), F.col("h").alias("_h"), "ord")
+    whole = some
     some = (some.join(order, F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("h") == F.col("_h")))
             .withColumn("at", F.shiftleft("ord", _LINE_BITS) + F.col("idx")))
     some = materialize(some.select("doc", "h", "pos", "ord", "at", "words", "id1", "id2"), "placed")
+    discard(whole)
 
     windows = materialize(_windows(some, min_words), "windows")
     longest = windows.agg(F.max("length")).first()[0] or 0
@@ -80,11 +83,14 @@ def repeated_lines(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id",
     for more in named[1:]:
         runs = runs.unionByName(more)
     runs = materialize(runs, "runs")
+    discard(windows, *levels)
     first = materialize(runs.groupBy("length", "one", "two").agg(
         F.min("at").alias("first"), F.max("at").alias("last")).where("first < last"), "first")
     later = runs.join(first, ["length", "one", "two"]).where("at > first")
     gone = later.select(F.explode(F.sequence("at", F.col("at") + F.col("length") - 1)).alias("at")).distinct()
-    return some.join(gone, "at").groupBy("doc", "h").agg(F.collect_set("pos").alias("drop"))
+    drops = materialize(some.join(gone, "at").groupBy("doc", "h").agg(F.collect_set("pos").alias("drop")), "drops")
+    discard(runs, first, some)
+    return drops
 
 
 def _ranked(pairs: DataFrame) -> DataFrame:
@@ -92,7 +98,9 @@ def _ranked(pairs: DataFrame) -> DataFrame:
     pairs = materialize(pairs, "pairs")
     classes = materialize(pairs.groupBy("one", "two").agg(
         F.min("at").alias("rank"), F.max("at").alias("last")).where("rank < last").drop("last"), "classes")
-    return materialize(pairs.join(classes, ["one", "two"]).select("at", "rank"), "ranks")
+    ranks = materialize(pairs.join(classes, ["one", "two"]).select("at", "rank"), "ranks")
+    discard(pairs, classes)
+    return ranks
 
 
 def _windows(some: DataFrame, min_words: int) -> DataFrame:
@@ -138,7 +146,11 @@ def with_lines(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id",
     """
     drops = repeated_lines(docs, min_words, id_col, text_col)
     rows = as_row(docs, id=F.col(id_col), key=F.xxhash64(whole_text(text_col)))
-    joined = rows.join(drops, F.col("id").eqNullSafe(F.col("doc")) & (F.col("key") == F.col("h")), "left")
+    # Only rows that may have a line to drop are shuffled to the places of these lines.
+    rows = marked(rows, "hit", F.xxhash64("id", "key"), drops, F.xxhash64("doc", "h"))
+    hits = rows.where("hit").join(drops, F.col("id").eqNullSafe(F.col("doc")) & (F.col("key") == F.col("h")), "left")
+    joined = hits.select("row", "drop").unionByName(
+        rows.where("NOT hit").select("row", F.lit(None).cast("array<int>").alias("drop")))
     old = F.col("row").getField(text_col)
     lines = F.split(old, "\n")
     kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("drop")),

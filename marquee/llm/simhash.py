@@ -24,7 +24,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from marquee.llm.common import keep_ids, whole_text
+from marquee.llm.common import as_row, keep_decided, whole_text
 from marquee.session import materialize
 
 SEED = 42
@@ -169,15 +169,23 @@ def near_groups(docs: DataFrame, shingle: int = 4, bits: int = 4, segments: int
     return prints.join(named, "fp").select(id_col, "fp", "root", "component_id")
 
 
-def drop_near(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """``docs`` with the smallest id of each near-duplicate group, columns unchanged.
+def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of each near-duplicate group, columns unchanged.
 
-    Rows with one id are one document; of groups without any id, nothing is dropped
-    but repeats.
+    That is the row with the smallest id, of equal ids the smallest hash of the text, then
+    of the whole row; a row without an id stays only in a group that has none with one.  So
+    a row goes only for a near copy that stays, whatever ids it shares with other rows, and
+    of repeated rows one stays.  Texts are not shuffled, but for those that
+    ``common.keep_decided`` is unsure about.
     """
-    groups = near_groups(docs, id_col=id_col, **options)
-    kept = groups.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(id_col)
-    return keep_ids(docs, materialize(kept.distinct(), "kept"), id_col)
+    key = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"),
+                   F.xxhash64(whole_text(text_col)).alias("text"), F.xxhash64(*docs.columns).alias("row"))
+    groups = near_groups(docs.select(key.alias("key"), F.col(text_col).alias("text")), id_col="key", **options)
+    decided = materialize(groups.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.min("component_id").alias("first")), "decided")
+    rows = as_row(docs, key=key)
+    kept = keep_decided(rows, "key", decided.select("key", "n", (F.col("key") == F.col("first")).alias("keep")))
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def hex_digits(fp: Column) -> Column:
