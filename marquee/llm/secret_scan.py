@@ -1,11 +1,15 @@
 r"""Secrets in texts: known shapes, and strings that a tokenizer finds hard.
 
 Three shapes are matched everywhere: assignments to password-like names, access
-keys, and long hexadecimal strings.  Beside them, strings of the base64 alphabet are
-tested for token efficiency: ordinary words and names cost few tokens for their
-length, random strings many.  A string with few characters per token under a
+keys, and long hexadecimal strings.  Beside them, strings of the base64 alphabet (also in
+its form for URLs) are tested for token efficiency: ordinary words and names cost few tokens
+for their length, random strings many.  A string with few characters per token under a
 byte-pair vocabulary is reported, unless it is a known digest or identifier
 (hexadecimal of a digest's length, UUID, number, date) or lies within a shape match.
+
+The ratio decides for all of them.  Letters of one case and no digit also make words, foreign
+and invented ones among them, so they have to be longer and the ratio lower.  Not tested are
+shorter strings and other symbols, at which a string ends.
 """
 
 from __future__ import annotations
@@ -20,15 +24,17 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 
 KINDS = ("assign", "access", "hex", "random")
-#: Least length and most characters per token of a random string.
-LEAST_CHARS, MOST_CHARS_PER_TOKEN = 16, 2.2
+#: Least length and most characters per token of a random string; the same for letters of
+#: one case (a first capital apart) without a digit.
+LEAST_CHARS, MOST_CHARS_PER_TOKEN = 12, 2.2
+LEAST_LETTERS, MOST_LETTERS_PER_TOKEN = 16, 1.9
 #: How the vocabulary splits text before byte pairs are merged (fixed by the vocabulary).
 SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
                      re.ASCII)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_STRING = regex.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{%d,}={0,2}(?![A-Za-z0-9+/_-])" % LEAST_CHARS)
+_STRING = regex.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}={0,2}(?![A-Za-z0-9+/_-])" % LEAST_CHARS)
 #: MD5 and SHA digests in either case, UUIDs, and numbers with separators.
 _KNOWN = re.compile(
     r"(?i:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128}"
@@ -44,12 +50,15 @@ def _encoder(path: str):
     return tiktoken.Encoding("vocabulary", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
 
 
-def _mixed(string: str) -> bool:
-    """Letters with digits, or small and capital letters other than a first capital."""
-    letters = [c for c in string if c.isalpha()]
-    digits = any(c.isdigit() for c in string)
-    rest = "".join(letters[1:])
-    return bool(letters) and (digits or not (rest.islower() or rest.isupper()))
+_ONE_CASE = re.compile(r"[^A-Za-z0-9]*(?:[A-Za-z](?:[^A-Za-z0-9]*[a-z])*|[A-Z](?:[^A-Za-z0-9]*[A-Z])*)[^A-Za-z0-9]*")
+
+
+def _is_random(string: str, encoder) -> bool:
+    """Whether the string has few characters per token for its kind."""
+    least, most = LEAST_CHARS, MOST_CHARS_PER_TOKEN
+    if _ONE_CASE.fullmatch(string):
+        least, most = LEAST_LETTERS, MOST_LETTERS_PER_TOKEN
+    return len(string) >= least and len(string) <= most * len(encoder.encode_ordinary(string))
 
 
 def _base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -67,11 +76,9 @@ def _random_spans(text: str, base: list[tuple[int, int, int]], encoder) -> list[
     found = []
     for m in _STRING.finditer(text):
         string = m[0]
-        if _KNOWN.fullmatch(string) or not _mixed(string):
-            continue
-        if any(a < m.end() and m.start() < b for _, a, b in base):
+        if _KNOWN.fullmatch(string) or any(a < m.end() and m.start() < b for _, a, b in base):
             continue
-        if len(string) <= MOST_CHARS_PER_TOKEN * len(encoder.encode_ordinary(string)):
+        if _is_random(string, encoder):
             found.append((3, m.start(), m.end()))
     return found
 

@@ -388,3 +388,41 @@ def test_pages_take_time_in_proportion(part):
     start = time.perf_counter()
     html_text.main_text(part * 50_000)
     assert time.perf_counter() - start < 20
+
+
+# --- secrets: random strings --------------------------------------------------------------
+
+_ENCODER = secret_scan._encoder("/opt/tokenizers/byte_bpe_50k.tiktoken")
+_FORMS = ["PRIVATE_KEY={}", "pwd={}", "https://x.y/?sig={}&x=1", "a={}", '"{}"', "auth: {}", "say {} now", "--key={}"]
+
+
+def _found(text: str) -> list[str]:
+    return [text[a:b] for _, a, b in secret_scan._random_spans(text, secret_scan._base_spans(text), _ENCODER)]
+
+
+@pytest.mark.parametrize("form", _FORMS)
+@pytest.mark.parametrize("alphabet, size, least", [
+    ("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 20, 0.98),
+    ("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 13, 0.98),
+    ("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/", 40, 0.98),
+    ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 16, 0.95), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", 18, 0.9),
+    ("abcdefghijklmnopqrstuvwxyz", 18, 0.85), ("abcdefghijklmnopqrstuvwxyz", 32, 0.93)])
+def test_random_strings_are_found(form, alphabet, size, least):
+    rng, hits = random.Random(size), 0
+    for _ in range(200):
+        secret = "".join(rng.choice(alphabet) for _ in range(size))
+        hits += any(secret in s for s in _found(form.format(secret)))
+    assert hits >= least * 200
+
+
+def test_names_digests_and_words_are_no_secrets():
+    for text in ("the quick brown foxes, internationalisation and antidisestablishmentarianism",
+                 "AWS_SECRET_ACCESS_KEY=", "d41d8cd98f00b204e9800998ecf8427e D41D8CD98F00B204E9800998ECF8427E",
+                 "123e4567-e89b-12d3-a456-426614174000 2024-01-02/2025-03-04 1234567890123456789",
+                 "getElementsByClassName HTMLInputElement some_long_function_name_here /usr/local/share/python"):
+        assert _found(text) == [], text
+
+
+def test_prose_holds_hardly_any_random_string(spark, small):
+    texts = [r["text"] or "" for r in spark.read.parquet(f"{small}/documents.parquet").select("text").collect()]
+    assert sum(len(_found(t)) for t in texts) <= sum(len(t.split()) for t in texts) / 100_000
