@@ -22,12 +22,14 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 
 from marquee.llm.common import as_row
+from marquee.operators import ranking
+from marquee.session import materialize
 
 WIDTHS = (2, 3, 4)
 FILTERS = 16
 WINDOW = 256
 UNKNOWN = "und"
-#: Labelled documents used per language, at most about twice that, and windows of each.
+#: Labelled documents used per language at most, and windows of each.
 DOCS_PER_LANGUAGE = 600
 WINDOWS_PER_DOC = 3
 _LETTER = regex.compile(r"\p{L}")
@@ -128,22 +130,28 @@ def train(windows: np.ndarray, labels: np.ndarray, languages: list[str], epochs:
 
 def sample_windows(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    lang_col: str = "lang", per_language: int = DOCS_PER_LANGUAGE) -> list:
-    """(lang, window bytes) of about ``per_language`` documents of each language.
+    """(lang, window bytes) of at most ``per_language`` documents of each language.
 
-    Documents are chosen by a hash of id and text, so the choice doesn't hang on
-    their order; each gives up to WINDOWS_PER_DOC windows from places spread over it.
+    Documents are ordered by a hash of id and text and the first are taken, so the choice
+    doesn't hang on their order, nor on how many share an id, have none, or are repeated:
+    equal documents count once.  Each gives up to WINDOWS_PER_DOC windows from places
+    spread over it.
     """
-    known = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("of"))
-    known = known.where("of is not null and text is not null")
-    counts = known.groupBy(F.col("of").alias("lang")).agg(F.count(F.lit(1)).alias("n"))
-    place = F.pmod(F.xxhash64(F.lit("sample"), F.col("id")), F.lit(1_000_000)) / 1e6
-    # one row per language
-    chosen = known.join(F.broadcast(counts), F.col("of") == F.col("lang")).where(
-        place < F.lit(float(per_language)) / F.col("n"))
+    known = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"),
+                            F.xxhash64(F.lit("sample"), id_col, text_col).alias("h"))
+    known = known.where("lang is not null and text is not null")
+    # Most rows are left out by what the first can be expected to lie below; one row per language.
+    counts = materialize(known.groupBy(F.col("lang").alias("of")).agg(
+        F.approx_count_distinct("h").alias("n")), "languages")
+    share = F.pmod(F.col("h"), F.lit(1_000_000)) / 1e6
+    likely = known.join(counts, F.col("of") == F.col("lang")).where(
+        share < F.lit(4.0 * per_language) / F.col("n")).withColumn("share", share)
     size = F.char_length("text")
     starts = F.array(*[(size * k / WINDOWS_PER_DOC).cast("int") for k in range(WINDOWS_PER_DOC)])
-    windows = chosen.select("lang", F.explode(F.transform(
-        starts, lambda s: F.substring(F.col("text"), s + 1, F.lit(WINDOW)))).alias("piece"))
+    pieces = F.transform(starts, lambda s: F.substring(F.col("text"), s + 1, F.lit(WINDOW)))
+    likely = likely.groupBy("lang", "share", "h").agg(F.first(pieces).alias("pieces"))
+    chosen = ranking.top_k_by(likely, per_language, ["lang"], F.asc("share"), F.asc("h"))
+    windows = chosen.select("lang", F.explode("pieces").alias("piece"))
     rows = windows.where(F.length("piece") > 0).distinct().collect()
     return sorted((r["lang"], r["piece"].encode("utf-8")[:WINDOW]) for r in rows)
 

@@ -25,6 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from marquee.llm.common import as_row
+from marquee.operators import ranking
 from marquee.session import materialize
 
 SAMPLE = 4000
@@ -93,9 +94,11 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE, id_col: str = "doc_id",
            text_col: str = "text", label_col: str = "toxic") -> DataFrame:
-    """(toxic, names) of about ``size`` documents of either label, at most twice that.
+    """(toxic, names) of at most ``size`` documents of either label.
 
-    A document with several labels is toxic if one says so; null labels don't count.
+    A document with several labels is toxic if one says so; null labels and ids don't count.
+    Documents that share an id have its label; they are ordered by a hash of id and text and
+    the first are taken, equal ones once.
     """
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(
         F.col(id_col).alias("_id")).agg((F.max(label_col) > 0).alias("_toxic"))
@@ -111,8 +114,10 @@ def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE, id_col: str =
             yield pd.Series([sorted(features(t)) for t in texts], dtype=object)
 
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
-    return texts.join(F.broadcast(chosen), F.col("id") == F.col("_id")).select(
-        "id", F.col("_toxic").alias("toxic"), names("text").alias("names"))
+    found = texts.join(F.broadcast(chosen), F.col("id") == F.col("_id")).select(
+        "id", F.col("_toxic").alias("toxic"), names("text").alias("names"),
+        F.xxhash64(F.lit("toxicity"), "id", "text").alias("_h")).dropDuplicates(["id", "_h"])
+    return ranking.top_k_by(found, size, ["toxic"], F.asc("_h"), F.asc("id")).drop("_h")
 
 
 def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE, **columns) -> Model:
@@ -146,7 +151,8 @@ def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE, **columns) -> Mo
 
 
 def rate(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``severity`` (expected grade, 0 to 2), ``grade`` (the likeliest) and ``toxic`` (P(grade > 0) >= 0.5).
+    """``docs`` with ``severity`` (expected grade, 0 to 2), ``grade`` (the likeliest, of
+    equal chances the lowest) and ``toxic`` (P(grade > 0) >= 0.5).
 
     Null and empty texts are rated like a text without any known word; equal texts
     get equal rates; columns of these names are replaced.

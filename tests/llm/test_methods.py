@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import time
@@ -15,7 +16,7 @@ from hypothesis import given, settings, strategies as st
 
 import corpus_pipeline
 from marquee.llm import (
-    bindings, chat, decontaminate, html_text, imatch, linededup, registry, secret_scan, simhash, toxicity)
+    bindings, chat, decontaminate, html_text, imatch, langid, linededup, registry, secret_scan, simhash, toxicity)
 from oracle_check import connect, differences
 
 
@@ -426,3 +427,74 @@ def test_names_digests_and_words_are_no_secrets():
 def test_prose_holds_hardly_any_random_string(spark, small):
     texts = [r["text"] or "" for r in spark.read.parquet(f"{small}/documents.parquet").select("text").collect()]
     assert sum(len(_found(t)) for t in texts) <= sum(len(t.split()) for t in texts) / 100_000
+
+
+# --- bounded samples, and models computed the plain way -------------------------------------
+
+def _rows(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+
+
+@pytest.mark.parametrize("doc_id", [5, 17, None])
+def test_language_sample_is_bounded(spark, doc_id):
+    """Rows that share an id, or have none, are neither all taken nor all left out."""
+    rows = [(doc_id, f"the words number {k} of a text that goes on", "en", None, 0) for k in range(20_000)]
+    rows += [(k, f"der Satz mit der Nummer {k} im Buch", "de", None, 0) for k in range(50)]
+    rows += [(9, "toujours la phrase", "fr", None, 0)] * 5000
+    sample = langid.sample_windows(_rows(spark, rows), per_language=100)
+    taken = Counter(lang for lang, _ in sample)
+    assert 100 <= taken["en"] <= 100 * langid.WINDOWS_PER_DOC
+    assert 50 <= taken["de"] <= 50 * langid.WINDOWS_PER_DOC and 1 <= taken["fr"] <= langid.WINDOWS_PER_DOC
+    again = langid.sample_windows(_rows(spark, rows).repartition(7), per_language=100)
+    assert again == sample
+
+
+def test_toxicity_sample_is_bounded(spark):
+    rows = [(5, f"text {k}", "en", None, 0) for k in range(6000)] + [(6, "bad", "en", None, 0)] * 50 + [
+        (k, f"good {k}", "en", None, 0) for k in range(100, 200)] + [(None, "no id", "en", None, 0)]
+    labels = spark.createDataFrame([(5, 0), (6, 1), *[(k, 0) for k in range(100, 200)], (None, 1)], "doc_id long, toxic int")
+    taken = Counter(r["toxic"] for r in toxicity.sample(_rows(spark, rows), labels, size=300).collect())
+    assert taken == {False: 300, True: 1}
+
+
+def test_language_by_a_plain_network():
+    """The batched tables give what filters slid over one-hot bytes give."""
+    rng = np.random.default_rng(3)
+    size = langid.FILTERS * len(langid.WIDTHS)
+    model = langid.Model(["a", "b", "c"], {w: rng.normal(0, 1, (w, 256, langid.FILTERS)).astype(np.float32) for w in langid.WIDTHS},
+                         rng.normal(0, 1, size).astype(np.float32), rng.normal(0, 1, (size, 3)).astype(np.float32),
+                         rng.normal(0, 1, 3).astype(np.float32))
+    texts = ["", "é", "word " * 3, "ein langer Text " * 60, "x" * langid.WINDOW, "y" * (langid.WINDOW + 1), "12 34", None]
+    names, values = langid.scorer(model)(texts)
+    for text, name, value in zip(texts, names, values):
+        if not text or not any(c.isalpha() for c in text):
+            assert (name, value) == ("und", 0.0)
+            continue
+        data, logs = text.encode(), []
+        for at in range(0, len(data), langid.WINDOW):
+            window = data[at:at + langid.WINDOW].ljust(langid.WINDOW, b"\0")
+            best = [max(sum(float(model.filters[w][j][window[i + j]][f]) for j in range(w))
+                        for i in range(langid.WINDOW - w + 1)) for w in langid.WIDTHS for f in range(langid.FILTERS)]
+            hidden = [max(0.0, b + float(c)) for b, c in zip(best, model.bias)]
+            scores = [sum(h * float(model.weights[k][c]) for k, h in enumerate(hidden)) + float(model.offset[c]) for c in range(3)]
+            top = max(scores)
+            logs.append([s - top - math.log(sum(math.exp(x - top) for x in scores)) for s in scores])
+        mean = [sum(column) / len(logs) for column in zip(*logs)]
+        total = sum(math.exp(m) for m in mean)
+        chances = [math.exp(m) / total for m in mean]
+        assert name == "abc"[chances.index(max(chances))] and value == pytest.approx(max(chances), abs=1e-3)
+
+
+def test_severity_by_the_plain_formula(spark):
+    model = toxicity.Model({"bad": 2.0, "terr-": 1.5, "terri-": 0.25, "nice": -1.0}, [0.5, 2.5])
+    texts = ["", "bad", "Bad, terrible!", "nice terrible words", "terr", None, "a bad\nnice 7bad_ x"]
+    names = [set(), {"bad"}, {"bad", "terr-", "terri-"}, {"nice", "terr-", "terri-"}, set(), set(), {"bad", "nice"}]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    for r in toxicity.rate(df, model).orderBy("i").collect():
+        total = sum(model.weights[n] for n in names[r["i"]])
+        above = [1 / (1 + math.exp(t - total)) for t in model.thresholds]
+        chances = [1 - above[0], above[0] - above[1], above[1]]
+        assert r["severity"] == pytest.approx(sum(k * c for k, c in enumerate(chances)))
+        assert r["grade"] == chances.index(max(chances)) and r["toxic"] == (above[0] >= 0.5)
+    tie = toxicity.rate(df.limit(1), toxicity.Model({}, [0.0, 50.0])).first()
+    assert (tie["grade"], tie["toxic"]) == (0, True)  # of equal chances the lower grade
