@@ -55,10 +55,6 @@ def mentions_country(wanted: str) -> Column:
         F.exists(country_names(), lambda name: mentions(name, wanted)), F.lit(False))
 
 
-def positive(column: str) -> Column:
-    return F.coalesce(F.col(column) > 0, F.lit(False))
-
-
 def non_zero(*columns: str) -> Column:
     test = F.lit(True)
     for name in columns:

@@ -333,6 +333,14 @@ def dedup_messages(spark, sf_dir):
         "client_id", "queue", "message_id", "value")
 
 
+def distinct_markers(spark, sf_dir):
+    """Each event as an end marker of its type's node for its user; most come many times."""
+    markers = table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("client_id"), F.lit("events").alias("queue"), F.col("event_type").alias("node_id"),
+        "event_id")
+    return dedup.distinct_markers(markers)
+
+
 def dedup_results(spark, sf_dir):
     """Answers sent twice, the second time with other white space."""
     sent = table(spark, sf_dir, "events").select(
@@ -438,6 +446,18 @@ def diff_rows(spark, sf_dir):
                        F.col("obtained.count").alias("obtained"), "status")
 
 
+def diff_actors(spark, sf_dir):
+    """The busiest actors as two answers have them: over all credits, and over those of
+    every other line of an order."""
+    recent = film.recent_films(_clean(spark, sf_dir), RULES)
+    credits = views.credits(spark, sf_dir)
+    some = credits.where(F.col("client_id").isin("1-URGENT", "3-MEDIUM", "5-LOW"))
+    sides = [film.envelopes({"Q4": film.q4(recent, clean.clean_credits(c), RULES)}, "any") for c in (credits, some)]
+    want, got = (compare.actor_rows(side.drop("client_id")) for side in sides)
+    return compare.diff_rows(want, got, ["name"]).select(
+        "name", F.col("expected.count").alias("expected"), F.col("obtained.count").alias("obtained"), "status")
+
+
 def _customer_names(spark, sf_dir, done: bool) -> DataFrame:
     return _orders_per_customer(spark, sf_dir, done).select("name")
 
@@ -559,6 +579,8 @@ BATCH = {
     "rank_spenders": rank_spenders,
     "dedup_messages": dedup_messages,
     "dedup_results": dedup_results,
+    "distinct_markers": distinct_markers,
+    "diff_actors": diff_actors,
     "q1_coproduction_genres": q1_coproduction_genres,
     "q2_top_solo": q2_top_solo,
     "q1_by_tenant": q1_by_tenant,

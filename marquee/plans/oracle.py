@@ -457,3 +457,16 @@ SELECT p_partkey, CASE WHEN length(long) > 40 THEN substr(long, 1, 40) || '...'
        p_partkey || ':' || p_size || '/3' AS message,
        strftime(to_timestamp(p_partkey * 1000) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS at
 FROM p"""
+
+SQL["distinct_markers"] = """
+SELECT DISTINCT user_id AS client_id, 'events' AS queue, event_type AS node_id FROM events"""
+
+_BUSIEST = """SELECT name, count(*) AS "count" FROM (
+    SELECT unnest(names) AS name FROM credits_v WHERE id IN (SELECT id FROM recent) AND {test})
+  GROUP BY name ORDER BY "count" DESC, name LIMIT 10"""
+SQL["diff_actors"] = _films(f"""
+SELECT coalesce(a.name, b.name) AS name, a."count" AS expected, b."count" AS obtained,
+       CASE WHEN b.name IS NULL THEN 'missing' WHEN a.name IS NULL THEN 'extra' ELSE 'changed' END AS status
+FROM ({_BUSIEST.format(test='true')}) a
+FULL JOIN ({_BUSIEST.format(test="client_id IN ('1-URGENT', '3-MEDIUM', '5-LOW')")}) b ON a.name = b.name
+WHERE a."count" IS DISTINCT FROM b."count" """, CREDITS, _RECENT)
