@@ -19,7 +19,7 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hard = spark.createDataFrame([(-7, 0, "user", _HARD_TEXT), (-7, 1, "assistant", _HARD_TEXT)], rows.schema)
     return chat.read_back(chat.format_conversations(
-        rows.unionByName(hard), f"{VOCABULARIES}/byte_bpe_50k.json"))
+        rows.unionByName(hard), f"{VOCABULARIES}/byte_bpe_50k.tiktoken"))
 
 
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,6 +19,7 @@ the turn counts, so the text under the mask is exactly the assistants' text.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import os
 import re
@@ -29,6 +30,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from marquee.llm.secret_scan import SPLIT
+
 LEARNED_ROLE = "assistant"
 _CONTROL = re.compile(r"\\|#(?=##)|</turn>")
 _ROLE_CONTROL = re.compile(r"\\|#(?=##)|</turn>|[:\n]")
@@ -76,15 +79,12 @@ def mask(offsets: np.ndarray, spans: list[tuple[int, int]]) -> tuple[np.ndarray,
         high = int(np.searchsorted(starts, b, "left"))
         if a < b and low < high:
             chosen[low:high] = True
-            covered = a
-            for s, t in offsets[low:high].tolist():
-                s, t = max(s, covered), min(t, b)
-                if s < t:
-                    if pieces and pieces[-1][1] == s and s > a:
-                        pieces[-1] = (pieces[-1][0], t)
-                    else:
-                        pieces.append((s, t))
-                    covered = t
+            # where a token begins behind all before it, a part ends
+            reach = np.maximum.accumulate(stops[low:high])
+            gaps = np.flatnonzero(starts[low + 1:high] > reach[:-1])
+            first = np.maximum(starts[low:high][np.concatenate([[0], gaps + 1])], a)
+            last = np.minimum(reach[np.concatenate([gaps, [high - low - 1]])], b)
+            pieces += [(s, t) for s, t in zip(first.tolist(), last.tolist()) if s < t]
     return chosen, pieces
 
 
@@ -98,6 +98,42 @@ def _tokenizer(path: str):
     return tokenizer
 
 
+@lru_cache(maxsize=2)
+def _ranked(path: str):
+    """The encoder of a rank file, and the length in bytes of each token."""
+    import tiktoken
+
+    with open(path, "rb") as lines:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    sizes = np.zeros(max(ranks.values(), default=0) + 1, np.int64)
+    sizes[list(ranks.values())] = [len(token) for token in ranks]
+    return tiktoken.Encoding("ranked", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={}), sizes
+
+
+def encoded(texts: list[str], vocabulary: str) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Ids and code-point offsets [n, 2] of the tokens of each text.
+
+    With a rank file the offsets are running sums of the tokens' lengths in bytes, turned into
+    code points where the text has others than ASCII; a token that holds part of a code point
+    spans it.  Other files go through their own tokenizer.
+    """
+    if not vocabulary.endswith(".tiktoken"):
+        codes = _tokenizer(vocabulary).encode_batch(texts, add_special_tokens=False)
+        return [(np.array(c.ids, np.int64), np.array(c.offsets, np.int64).reshape(-1, 2)) for c in codes]
+    encoder, sizes = _ranked(vocabulary)
+    out = []
+    for text in texts:
+        ids = encoder.encode_to_numpy(text, disallowed_special=())
+        stops = np.cumsum(sizes[ids])
+        starts = stops - sizes[ids]
+        data = text.encode("utf-8")
+        if len(data) != len(text):
+            point = np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)  # code points up to a byte
+            starts, stops = point[starts] - 1, point[stops - 1]
+        out.append((ids.astype(np.int64), np.stack([starts, stops], axis=1)))
+    return out
+
+
 def format_conversations(rows: DataFrame, vocabulary: str, learned: str = LEARNED_ROLE) -> DataFrame:
     """One row per conv_id: turns (as read), formatted, token_ids, loss_mask, loss_spans.
 
@@ -112,16 +148,15 @@ def format_conversations(rows: DataFrame, vocabulary: str, learned: str = LEARNE
 
     @F.pandas_udf(_SCHEMA)
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        tokenizer = _tokenizer(vocabulary)
         for conversations in batches:
             for at in range(0, len(conversations), 64):  # small pieces, handed on at once
                 out = []
                 made = [render([(t["role"], t["text"]) for t in c], learned)
                         for c in conversations.iloc[at:at + 64]]
-                codes = tokenizer.encode_batch([m[0] for m in made], add_special_tokens=False)
-                for (formatted, spans), code in zip(made, codes):
-                    chosen, pieces = mask(np.array(code.offsets, np.int64).reshape(-1, 2), spans)
-                    out.append((formatted, code.ids, chosen, [{"start": a, "stop": b} for a, b in pieces]))
+                codes = encoded([formatted for formatted, _ in made], vocabulary)
+                for (formatted, spans), (ids, offsets) in zip(made, codes):
+                    chosen, pieces = mask(offsets, spans)
+                    out.append((formatted, ids, chosen, [{"start": a, "stop": b} for a, b in pieces]))
                 yield pd.DataFrame(out, columns=["formatted", "token_ids", "loss_mask", "loss_spans"])
 
     # not deterministic: Spark then runs it once for all its fields
