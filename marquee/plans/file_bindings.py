@@ -6,12 +6,14 @@ that readers, writers and decoding run on data that grows with the tables.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee import schemas as S
-from marquee.functions import json_text
-from marquee.operators import clean, compare
+from marquee.functions import json_text, sentiment
+from marquee.operators import aggregates, clean, compare, quality, ranking
 from marquee.plans import bindings as b
 from marquee.plans import film_queries as film
 from marquee.plans import table_views as views
@@ -121,6 +123,38 @@ def results_round_trip(spark, sf_dir):
         "client_id", "query_id", json_text.canonical_json(F.col("results")).alias("results"))
 
 
+def quarantine_round_trip(spark, sf_dir):
+    """Bodies written to a good and a bad folder by their verdict, and read from both."""
+    events = table(spark, sf_dir, "events")
+    body = F.when(F.col("event_type") == "error", F.substring_index("props", "}", 1)).otherwise(F.col("props"))
+    checked = quality.quarantine(events.select("event_id", body.alias("body")), "body", ["k"], min_bytes=5)
+    good, bad = scratch_path(spark, "good"), scratch_path(spark, "bad")
+    quality.write_split(checked, good, bad)
+    columns = "event_id long, body string"
+    return spark.read.schema(columns).json(good).withColumn("verdict", F.lit("ok")).unionByName(
+        spark.read.schema(f"{columns}, verdict string").json(bad))
+
+
+def _longest_word(texts: list[str]) -> list[str]:
+    """A stand-in for a model: the longest lower-case ASCII word, the first in order of equals."""
+    return [min(re.findall("[a-z]+", text), key=lambda w: (-len(w), w), default="") for text in texts]
+
+
+def model_scores(spark, sf_dir):
+    """Labels of a batch model, loaded once a task, for whole texts."""
+    score = sentiment.model_scorer(lambda: _longest_word)
+    return table(spark, sf_dir, "documents").select("doc_id", score("text").alias("label"))
+
+
+def head_of_files(spark, sf_dir):
+    """The first fifth of the orders and the first half of the parts; suppliers stay whole."""
+    keys = {"orders": "o_orderkey", "part": "p_partkey", "supplier": "s_suppkey"}
+    tables = {name: table(spark, sf_dir, name) for name in keys}
+    heads = ranking.head_percents(tables, {"orders": 20, "part": 50}, keys)
+    rows = [heads[name].select(F.lit(name).alias("name"), F.col(key).alias("key")) for name, key in keys.items()]
+    return aggregates.merge_lists(*rows)
+
+
 def read_documents(spark, sf_dir):
     """Texts full of quotes and braces as pretty-printed JSON documents one after another,
     with an object inside each, read from files that are split anywhere."""
@@ -141,5 +175,8 @@ FILES = {
     "compare_five_answers": compare_five_answers,
     "batches_round_trip": batches_round_trip,
     "results_round_trip": results_round_trip,
+    "quarantine_round_trip": quarantine_round_trip,
+    "model_scores": model_scores,
+    "head_of_files": head_of_files,
     "read_documents": read_documents,
 }

@@ -470,3 +470,20 @@ SELECT coalesce(a.name, b.name) AS name, a."count" AS expected, b."count" AS obt
 FROM ({_BUSIEST.format(test='true')}) a
 FULL JOIN ({_BUSIEST.format(test="client_id IN ('1-URGENT', '3-MEDIUM', '5-LOW')")}) b ON a.name = b.name
 WHERE a."count" IS DISTINCT FROM b."count" """, CREDITS, _RECENT)
+
+SQL["quarantine_round_trip"] = """
+SELECT event_id, CASE WHEN event_type = 'error' THEN substr(props, 1, length(props) - 1) ELSE props END AS body,
+       CASE WHEN event_type = 'error' THEN 'invalid_json' ELSE 'ok' END AS verdict
+FROM events"""
+
+SQL["model_scores"] = """
+SELECT doc_id, coalesce(list_sort(list_transform(list_distinct(regexp_extract_all(coalesce(text, ''), '[a-z]+')),
+         lambda w: {'less': -length(w), 'w': w}))[1].w, '') AS label
+FROM documents"""
+
+SQL["head_of_files"] = """
+SELECT 'orders' AS name, o_orderkey AS key FROM (SELECT *, row_number() OVER (ORDER BY o_orderkey) AS n FROM orders)
+WHERE n <= (SELECT count(*) FROM orders) // 5
+UNION ALL SELECT 'part', p_partkey FROM (SELECT *, row_number() OVER (ORDER BY p_partkey) AS n FROM part)
+WHERE n <= (SELECT count(*) FROM part) // 2
+UNION ALL SELECT 'supplier', s_suppkey FROM supplier"""

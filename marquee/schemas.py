@@ -17,6 +17,7 @@ COMPANY = _struct(name=TEXT, id=LONG)
 COUNTRY = _struct(iso_3166_1=TEXT, name=TEXT)
 LANGUAGE = _struct(iso_639_1=TEXT, name=TEXT)
 
+# The fields of a cast and of a crew entry.
 CAST_MEMBER = _struct(
     cast_id=LONG, character=TEXT, credit_id=TEXT, gender=LONG,
     id=LONG, name=TEXT, order=LONG, profile_path=TEXT,
@@ -44,7 +45,7 @@ RATING = _struct(userId=LONG, movieId=LONG, rating=DOUBLE, timestamp=LONG)
 
 RAW_MOVIE = T.StructType([T.StructField(name, TEXT) for name in MOVIE.names])
 
-# Cleaned records.
+# Fields that a cleaned record must have.
 MOVIE_REQUIRED = (
     "id", "original_title", "release_date", "budget",
     "revenue", "production_countries", "genres", "overview",
