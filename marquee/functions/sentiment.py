@@ -136,7 +136,8 @@ def polarity_with_rules(text: Column, lexicon: Mapping[str, float] = DEFAULT_LEX
                      F.lit(1.0).alias("factor"), F.lit(False).alias("denied"), F.lit(False).alias("early"))
 
     def mean(words: Column) -> Column:
-        folded = F.aggregate(F.transform(words, classified), start, step, lambda state: F.struct(state["sum"], state["hits"]))
+        folded = F.aggregate(F.transform(words, classified), start, step,
+                             lambda state: F.struct(state["sum"], state["hits"]))
         return F.transform(F.array(folded), lambda f: F.when(
             f["hits"] > 0, f["sum"] / (f["hits"] * _MICRO)).otherwise(F.lit(0.0)))[0]
 

@@ -413,7 +413,8 @@ FROM lineitem LEFT JOIN (SELECT * FROM found WHERE r = 1) ON k = l_orderkey"""
 SQL["all_five_from_files"] = f"""
 SELECT 'Q1' AS query_id, title AS item, genres AS value FROM ({SQL['q1_coproduction_genres']})
 UNION ALL SELECT 'Q2', country, CAST(total AS VARCHAR) FROM ({SQL['q2_top_solo']})
-UNION ALL SELECT 'Q3', kind, title || '|' || CAST(CAST(rating AS DECIMAL(20,6)) AS VARCHAR) FROM ({SQL['q3_rating_extremes']})
+UNION ALL SELECT 'Q3', kind, title || '|' || CAST(CAST(rating AS DECIMAL(20,6)) AS VARCHAR)
+FROM ({SQL['q3_rating_extremes']})
 UNION ALL SELECT 'Q4', name, CAST("count" AS VARCHAR) FROM ({SQL['q4_top_actors']})
 UNION ALL SELECT 'Q5', 'average_positive_rate', CAST(CAST(average_positive_rate AS DECIMAL(20,6)) AS VARCHAR)
 FROM ({SQL['q5_sentiment_rates']})

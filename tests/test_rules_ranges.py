@@ -41,7 +41,8 @@ def test_rules_are_parameters(spark):
 
 def test_rules_need_no_shuffle_and_one_split(spark):
     docs = spark.createDataFrame([("very good",)], "t string")
-    plan = docs.select(sentiment.polarity_with_rules(F.col("t"), LEXICON).alias("p"))._jdf.queryExecution().optimizedPlan().toString()
+    scored = docs.select(sentiment.polarity_with_rules(F.col("t"), LEXICON).alias("p"))
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_extract_all(") == 1
 
 

@@ -112,7 +112,8 @@ def test_probe_rows_wait_for_the_build_side(spark):
     first = [("a", 1, ["x", None]), ("a", 1, ["x", None])]
     assert run([("b", 1, ["w"])], [("a", 1, "t"), ("a", 1, "u")], [("a", "n2"), ("e", "n1"), ("e", "n2")]) == first
     # behind the barrier rows pass or go at once; tenant b still waits for its end
-    assert run([("a", 1, ["late"]), ("a", 3, ["no"])], [], [("b", "n1"), ("b", "n1")]) == sorted([*first, ("a", 1, ["late"])])
+    late = sorted([*first, ("a", 1, ["late"])])
+    assert run([("a", 1, ["late"]), ("a", 3, ["no"])], [], [("b", "n1"), ("b", "n1")]) == late
     assert ("b", 1, ["w"]) in run([], [], [("b", "n2")])
 
 
