@@ -5,6 +5,8 @@ stock words nor one-off strings.  It is dealt at random into ``SUBSETS`` sub-lex
 For each of these, a document's distinct terms in it are sorted and hashed; the
 fingerprint is the list of these 16-bit hashes, 0 where a document has no term.  Two
 fingerprints are alike to the degree in which the sub-lexicons that either uses agree.
+A document without any term in the band, of whatever length, goes by those of its terms
+with the least hashes, which an edited text largely shares.
 
 A term within the band occurs in at least one of ``1 / RAREST`` documents, so the
 lexicon has at most ``1 / RAREST`` times the mean number of distinct terms per
@@ -28,8 +30,8 @@ SUBSETS = 128
 #: The band: terms in this share of all documents (idf from ln 50 to ln 500).
 RAREST, COMMONEST = 1 / 500, 1 / 50
 BROADCAST_TERMS = 1_000_000
-#: Texts with at most so many terms use all of them if none is in the band.
-FEW_TERMS = 32
+#: A text without a term in the band uses so many of its terms, those with the least hashes.
+SPARE_TERMS = 32
 _LOW = (1 << 48) - 1
 
 
@@ -133,8 +135,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     one id go by a hash of their texts; rows with equal id and text are one document
     and get equal rows; an empty table gives none; further columns are not read.
     """
-    pairs, count = edited_pairs(docs, id_col, text_col)
-    words = lexicon(docs, count, text_col)
+    pairs, _ = edited_pairs(docs, id_col, text_col)
+    words = lexicon(docs, docs.count(), text_col)
     mark = F.lit(-1).cast("long")  # so that documents without a term in the band stay
     listed = words.withColumn("kept", F.lit(True))
     if words.count() <= BROADCAST_TERMS:
@@ -145,9 +147,12 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                                     F.struct(F.lit(1).alias("which"), F.col("edited").alias("of")))).alias("body"))
     # Each step is a projection of its own: what stands beside an explode is made for every row it gives.
     bodies = bodies.select(*carried, "body.which", terms(F.col("body.of")).alias("terms"))
-    bodies = bodies.select(*carried, "which", F.xxhash64(F.sort_array("terms")).alias("whole"),
-                           (F.size("terms") <= FEW_TERMS).alias("few"), F.concat(F.array(mark), "terms").alias("terms"))
-    rows = bodies.select(*carried, "which", "whole", "few", F.explode("terms").alias("term"))
+    bodies = bodies.select(*carried, "which", F.sort_array("terms").alias("terms"))
+    bodies = bodies.select(*carried, "which", F.xxhash64("terms").alias("whole"),
+                           F.get("terms", F.least(F.size("terms"), F.lit(SPARE_TERMS)) - 1).alias("limit"),
+                           F.concat(F.array(mark), "terms").alias("terms"))
+    rows = bodies.select(*carried, "which", "whole", "limit", F.explode("terms").alias("term"))
+    rows = rows.select(*carried, "which", "whole", (F.col("term") <= F.col("limit")).alias("few"), "term")
     found = rows.join(listed, "term", "left").where(
         F.col("kept") | F.col("few") | (F.col("term") == mark))
     code = F.shiftleft(subset_of(F.col("term")), 48).bitwiseOR(F.col("term").bitwiseAND(F.lit(_LOW)))
