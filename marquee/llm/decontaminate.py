@@ -13,9 +13,11 @@ any shingle of any item of their size have similarity 0 and aren't fingerprinted
 every other window is.
 
 Words are runs of letters and digits in lower case.  All work on a text is numpy over
-its bytes, one batch of texts at a time; nothing is shuffled.  The benchmark is read
-in blocks of at most ``ITEMS_PER_BLOCK`` items, each scored in a pass of its own, so
-what a task holds doesn't grow with the benchmark.
+its bytes, one batch of texts at a time; no text is shuffled for it.  Tasks hold the items
+they look for.  A benchmark of more than ``ITEMS_PER_BLOCK`` items or ``BYTES_PER_BLOCK``
+bytes is dealt to blocks by hash, of about that size each; every block is a pass of its own
+over the texts, whose finds are written before the next one starts, so neither the driver nor
+a task holds more than one block.
 """
 
 from __future__ import annotations
@@ -27,15 +29,16 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from marquee.llm.common import as_row
+from marquee.llm.common import as_row, marked, whole_text
 from marquee.llm.simhash import ball
+from marquee.session import discard, materialize
 
 SHINGLE = 5
 SIMILARITY = 0.8
 #: Similarity 0.8 is about 10 differing bits in the mean, with a deviation of 3.
 RADIUS = 19
 BLOCKS = 4
-ITEMS_PER_BLOCK = 2000
+ITEMS_PER_BLOCK, BYTES_PER_BLOCK = 2000, 4 << 20
 _CHUNK = 1 << 21
 _HIT = "array<struct<item_id:bigint,start_word:int,n_words:int,distance:int,similarity:double>>"
 
@@ -221,7 +224,7 @@ class Items:
                     found[i] = (int(starts[w] - bound[t]), int(counts[w] + width - 1), int(apart[k]), alike)
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=1)
 def _tables(rows: tuple) -> Items:
     return Items(list(rows))
 
@@ -247,15 +250,29 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") ->
     an item the window is the whole text.  Equal rows get equal hits; a column named
     ``hits`` is replaced.
     """
-    items = benchmark.where("text is not null").select(F.col("item_id").cast("long"), "text")
-    blocks = -(-items.count() // ITEMS_PER_BLOCK)
-    text, columns = F.coalesce(F.col(text_col).cast("string"), F.lit("")), []
-    for block in range(blocks):
-        mine = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block
-        rows = items.where(mine).distinct().collect()  # one block of the benchmark
-        columns.append(_scan_column(text, tuple(sorted(((r[0], r[1]) for r in rows), key=str))))
-    empty = F.array().cast(_HIT)
-    return docs.withColumn("hits", reduce(lambda a, b: F.concat(a, b), columns) if columns else empty)
+    items = benchmark.where("text is not null").select(F.col("item_id").cast("long"), "text").distinct()
+    total = items.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    blocks = max(-(-total["n"] // ITEMS_PER_BLOCK), -(-(total["bytes"] or 0) // BYTES_PER_BLOCK))
+    text = whole_text(text_col)
+
+    def block(number: int) -> tuple:
+        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == number).collect()
+        return tuple(sorted(((r[0], r[1]) for r in rows), key=str))
+
+    if blocks <= 1:
+        return docs.withColumn("hits", _scan_column(text, block(0)) if blocks else F.array().cast(_HIT))
+    keys = {"h1": F.xxhash64(text), "h2": F.xxhash64(F.lit("text"), text)}
+    parts = [materialize(docs.select(*[c.alias(k) for k, c in keys.items()], _scan_column(text, block(k)).alias("hits"))
+                         .where(F.size("hits") > 0).dropDuplicates(["h1", "h2"]), "hits") for k in range(blocks)]
+    found = materialize(reduce(DataFrame.unionByName, parts).groupBy("h1", "h2").agg(
+        F.sort_array(F.flatten(F.collect_list("hits"))).alias("hits")), "all-hits")
+    discard(*parts)
+    rows = marked(as_row(docs, **keys), "maybe", F.col("h1"), found, F.col("h1"))
+    some = rows.where("maybe").join(found, ["h1", "h2"], "left")
+    none = F.array().cast(_HIT)
+    both = some.select("row", F.coalesce("hits", none).alias("hits")).unionByName(
+        rows.where("NOT maybe").select("row", none.alias("hits")))
+    return both.select(*[F.col("row").getField(c).alias(c) for c in docs.columns if c != "hits"], "hits")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
