@@ -3,7 +3,8 @@
 A fingerprint has 64 bits.  It is cut into segments; two fingerprints that differ
 in at most ``bits`` bits are within ``bits // segments`` bits in some segment, so it
 is enough to look up, for each segment, the small Hamming ball around its value in
-a table of segment values, and to verify the whole distance of what is found.
+a table of segment values, and to verify the whole distance of what is found.  The
+more fingerprints there are, the fewer and wider the segments.
 
 Only distinct fingerprints are compared, so a group of exact copies is one row.
 Buckets of more than ``fan_out`` fingerprints (large groups of near copies) are not
@@ -82,6 +83,15 @@ def distance(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
 
+def segments_for(count: int, bits: int = 4, fan_out: int = 64) -> int:
+    """The most segments at which so many fingerprints, if spread evenly, fill a bucket at most
+    half; narrow segments have small balls, wide ones small buckets."""
+    for segments in range(bits - 1, 1, -1):
+        if count <= (fan_out // 2) << (64 // segments):
+            return segments
+    return 1 if bits < 2 else 2
+
+
 def link(prints: DataFrame, bits: int = 4, segments: int = 3, fan_out: int = 64) -> DataFrame:
     """Links (a, b), a > b, between the distinct fingerprints in column ``fp``.
 
@@ -149,18 +159,20 @@ def components(edges: DataFrame) -> DataFrame:
             .unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "small-star")
 
 
-def near_groups(docs: DataFrame, shingle: int = 4, bits: int = 4, segments: int = 3,
+def near_groups(docs: DataFrame, shingle: int = 4, bits: int = 4, segments: int | None = None,
                 fan_out: int = 64, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, ``fp`` (long), ``root`` (the smallest
     fingerprint of its group) and ``component_id`` (the smallest id of its group).
 
     Null and empty texts have fingerprint 0 and are linked like any other; null ids
     don't count as the smallest unless a group has no other; repeated rows each get
-    a row; an empty table gives no rows; other columns are not read.
+    a row; an empty table gives no rows; other columns are not read.  Without ``segments``
+    their number follows from that of the fingerprints; the result is the same for any.
     """
     prints = materialize(docs.select(
         F.col(id_col), fingerprint_column(whole_text(text_col), shingle).alias("fp")), "prints")
     by_print = materialize(prints.groupBy("fp").agg(F.min(id_col).alias("first")), "by-print")
+    segments = segments or segments_for(by_print.count(), bits, fan_out)
     roots = components(link(by_print.select("fp"), bits, segments, fan_out))
     grouped = materialize(by_print.join(roots, by_print["fp"] == roots["node"], "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")), "roots")
