@@ -7,10 +7,11 @@ least rank, the leftmost of equals, is merged again and again.
 The pairs wait in a rank queue: a bucket of places for each rank, and above the buckets
 a hierarchy of bitmaps, each word of which tells which words (or buckets) below it hold
 anything.  Find-first-set from the top leads to the least rank in two steps, whatever
-the length of the piece.  Places are nodes of a linked list; a merge changes
-the pairs on both sides, whose old entries stay in their buckets and are skipped when
-they come up; the queue is done when no pair is left that could merge.  A piece of n bytes thus takes time in proportion to n, but for the order
-of places within one bucket, so very long pieces (a text without a space) are no trouble.
+the length of the piece.  Places are nodes of a linked list; a merge changes the pairs on
+both sides, whose old entries stay in their buckets and are skipped when they come up; the
+queue is done when no pair is left that could merge.  A piece of n bytes thus takes time in
+proportion to n, but for the order of places within one bucket, so very long pieces (a text
+without a space) are no trouble.
 
 Ids are kept packed, as unsigned 32-bit integers, least byte first.  Nothing is
 shuffled; a task holds one Arrow batch and a bounded memory of short pieces.

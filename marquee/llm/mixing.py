@@ -15,12 +15,16 @@ any other.  The variates come from a hash of id and text: reruns agree.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from marquee.llm.common import as_row, whole_text, word_count
 from marquee.session import materialize
 
 BINS = 4_096
+#: Weights by whose keys the bins are spread.
+SPREAD = tuple(2.0 ** -k for k in range(7))
 SHARES = (5, 2, 1)
 
 
@@ -98,7 +102,10 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     seed = F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(":"), text)
     key = exponential_key(seed, quality_weight(text) if weight is None else weight)
     rows = as_row(docs, source=F.col(source_col), size=word_count(text), key=key)
-    return rows.withColumn("bin", F.floor((1 - F.exp(-F.col("key"))) * BINS).cast("int"))
+    # Keys of weight w lie evenly under 1 - exp(-w * key); the mean over such curves, which rises
+    # with the key, leaves no bin more than a few even shares, whatever the weights are.
+    share = reduce(lambda a, b: a + b, [1 - F.exp(F.col("key") * -w) for w in SPREAD]) / len(SPREAD)
+    return rows.withColumn("bin", F.floor(share * BINS).cast("int"))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",

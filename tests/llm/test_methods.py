@@ -11,12 +11,15 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import regex
 import xxhash
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from marquee.llm import (
-    bindings, chat, decontaminate, html_text, imatch, langid, linededup, registry, secret_scan, simhash, toxicity)
+    bindings, chat, decontaminate, html_text, imatch, langid, linededup, mixing, registry, secret_scan,
+    simhash, toxicity)
 from oracle_check import connect, differences
 
 
@@ -49,6 +52,27 @@ def test_chat_mask(turns):
     assert said == "".join(text for role, text in turns if role == "assistant")
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(_TEXT | st.text() | st.text("aé😀 \n"), max_size=4))
+def test_offsets_of_either_vocabulary_file(texts):
+    """Running sums of token lengths give the offsets that the tokenizer itself gives."""
+    fast = chat.encoded(texts, "/opt/tokenizers/byte_bpe_50k.tiktoken")
+    slow = chat.encoded(texts, "/opt/tokenizers/byte_bpe_50k.json")
+    for text, (ids, offsets), (slow_ids, slow_offsets) in zip(texts, fast, slow):
+        if ids.tolist() == slow_ids.tolist():  # the two libraries' letters differ in Unicode version
+            assert offsets.tolist() == slow_offsets.tolist()
+        assert all(a < b for a, b in offsets.tolist())
+        assert {i for a, b in offsets.tolist() for i in range(a, b)} == set(range(len(text)))
+
+
+def test_mask_parts():
+    """Overlapping tokens, gaps between tokens, and spans without any."""
+    offsets = np.array([[0, 2], [2, 3], [2, 3], [3, 5], [6, 8], [8, 9]])
+    chosen, pieces = chat.mask(offsets, [(1, 4), (4, 7), (7, 7), (8, 20)])
+    assert pieces == [(1, 4), (4, 5), (6, 7), (8, 9)] and chosen.tolist() == [True] * 6
+    assert chat.mask(offsets[:0], [(0, 3)])[1] == [] and chat.mask(offsets, [(5, 6)])[1] == []
+
+
 def test_chat_query(spark, tiny):
     rows = defaultdict(list)
     for r in spark.read.parquet(f"{tiny}/conversations.parquet").collect():
@@ -267,7 +291,8 @@ def test_simhash_print(text):
     assert simhash.fingerprint(text) % (1 << 64) == _print(text)
 
 
-@pytest.mark.parametrize("bits,segments,fan_out", [(4, 3, 64), (4, 3, 1), (3, 2, 1), (4, 5, 2)])
+@pytest.mark.parametrize("bits,segments,fan_out", [
+    (4, 3, 64), (4, 3, 1), (3, 2, 1), (4, 5, 2), (4, 2, 64), (4, 2, 1)])
 def test_links_by_brute_force(spark, bits, segments, fan_out):
     rng = random.Random(bits + segments)
     seeds = [rng.getrandbits(64) for _ in range(12)]
@@ -461,8 +486,8 @@ def test_language_by_a_plain_network():
     """The batched tables give what filters slid over one-hot bytes give."""
     rng = np.random.default_rng(3)
     size = langid.FILTERS * len(langid.WIDTHS)
-    model = langid.Model(["a", "b", "c"], {w: rng.normal(0, 1, (w, 256, langid.FILTERS)).astype(np.float32) for w in langid.WIDTHS},
-                         rng.normal(0, 1, size).astype(np.float32), rng.normal(0, 1, (size, 3)).astype(np.float32),
+    filters = {w: rng.normal(0, 1, (w, 256, langid.FILTERS)).astype(np.float32) for w in langid.WIDTHS}
+    model = langid.Model(["a", "b", "c"], filters, rng.normal(0, 1, size).astype(np.float32), rng.normal(0, 1, (size, 3)).astype(np.float32),
                          rng.normal(0, 1, 3).astype(np.float32))
     texts = ["", "é", "word " * 3, "ein langer Text " * 60, "x" * langid.WINDOW, "y" * (langid.WINDOW + 1), "12 34", None]
     names, values = langid.scorer(model)(texts)
@@ -476,7 +501,8 @@ def test_language_by_a_plain_network():
             best = [max(sum(float(model.filters[w][j][window[i + j]][f]) for j in range(w))
                         for i in range(langid.WINDOW - w + 1)) for w in langid.WIDTHS for f in range(langid.FILTERS)]
             hidden = [max(0.0, b + float(c)) for b, c in zip(best, model.bias)]
-            scores = [sum(h * float(model.weights[k][c]) for k, h in enumerate(hidden)) + float(model.offset[c]) for c in range(3)]
+            scores = [sum(h * float(model.weights[k][c]) for k, h in enumerate(hidden)) + float(model.offset[c])
+                      for c in range(3)]
             top = max(scores)
             logs.append([s - top - math.log(sum(math.exp(x - top) for x in scores)) for s in scores])
         mean = [sum(column) / len(logs) for column in zip(*logs)]
@@ -498,3 +524,134 @@ def test_severity_by_the_plain_formula(spark):
         assert r["grade"] == chances.index(max(chances)) and r["toxic"] == (above[0] >= 0.5)
     tie = toxicity.rate(df.limit(1), toxicity.Model({}, [0.0, 50.0])).first()
     assert (tie["grade"], tie["toxic"]) == (0, True)  # of equal chances the lower grade
+
+
+# --- fingerprints the plain way -----------------------------------------------------------
+
+def _signed(n: int) -> int:
+    return n - (1 << 64) if n >> 63 else n
+
+
+def _long_hash(value: int, seed: int) -> int:
+    return xxhash.xxh64_intdigest((value % (1 << 64)).to_bytes(8, "little"), seed)
+
+
+def _term_hashes(text: str) -> list[int]:
+    words = {w for w in regex.split(r"[^\p{L}\p{N}]+", text.lower()) if w}
+    return sorted(_signed(xxhash.xxh64_intdigest(w.encode(), 42)) for w in words)
+
+
+def _plain_fingerprint(hashes: list[int], band: set[int]) -> bytes:
+    used = [h for h in hashes if h in band] or hashes[:imatch.SPARE_TERMS]
+    if not used:
+        return (42).to_bytes(8, "big").ljust(2 * imatch.SUBSETS, b"\0")  # no term leaves the seed
+    seed, parts = xxhash.xxh64_intdigest(b"lexicon", 42), defaultdict(list)
+    for h in used:
+        subset = _signed(_long_hash(h, seed)) % imatch.SUBSETS
+        parts[subset].append((subset << 48) | (h & ((1 << 48) - 1)))
+    out = b""
+    for subset in range(imatch.SUBSETS):
+        value = 42
+        for code in sorted(parts[subset]):
+            value = _long_hash(code, value)
+        out += (_signed(value) % 65_535 + 1 if parts[subset] else 0).to_bytes(2, "big")
+    return out
+
+
+def _plain_likeness(a: bytes, b: bytes) -> float:
+    pairs = [(a[i:i + 2], b[i:i + 2]) for i in range(0, len(a), 2)]
+    used = sum(x != b"\0\0" or y != b"\0\0" for x, y in pairs)
+    same = sum(x == y != b"\0\0" for x, y in pairs)
+    return 1.0 if a == b else same / used if used else 0.0
+
+
+def _plain_fingerprints(docs: list[tuple[int, str]]) -> dict[int, tuple]:
+    docs = sorted(docs, reverse=True)
+    seen = Counter(h for _, text in docs for h in _term_hashes(text))
+    band = {h for h, n in seen.items() if len(docs) * imatch.RAREST <= n <= len(docs) * imatch.COMMONEST}
+    out = {}
+    for i, (doc_id, text) in enumerate(docs):
+        after = docs[(i + 1) % len(docs)][1]
+        third = len(text) // 3
+        edited = text[:len(text) - third] + after[:third]
+        own, edit, follow = (_plain_fingerprint(_term_hashes(t), band) for t in (text, edited, after))
+        out[doc_id] = (len(text), own.hex(), edit.hex(), _plain_likeness(own, edit), _plain_likeness(own, follow))
+    return out
+
+
+def _fingerprint_rows(df):
+    return {r["doc_id"]: (r["n_chars"], r["fingerprint"], r["edited_fingerprint"], r["near_edited"], r["near_next"])
+            for r in df.collect()}
+
+
+def test_fingerprints_the_plain_way(spark, tiny, small):
+    for folder in (tiny, small):
+        docs = [(r["doc_id"], r["text"] or "") for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+        assert _fingerprint_rows(bindings.op3_fingerprints(spark, folder)) == _plain_fingerprints(docs)
+
+
+def test_fingerprints_without_terms_in_the_band(spark):
+    """However many terms such a text has, it goes by the same rule, and edits change it little."""
+    docs = [(k, " ".join(f"w{k}x{i}" for i in range(n))) for k, n in enumerate((0, 1, 31, 32, 33, 34, 64, 400, 3000))]
+    got = _fingerprint_rows(imatch.fingerprints(spark.createDataFrame(docs, "doc_id long, text string")))
+    assert got == _plain_fingerprints(docs)
+    assert all(got[k][3] > 0.2 for k in (3, 4, 5, 6, 7, 8))
+
+
+# --- benchmark passages: blocks, and similarity at the edge ---------------------------------
+
+@pytest.mark.parametrize("limits", [{"ITEMS_PER_BLOCK": 3}, {"BYTES_PER_BLOCK": 2000}])
+def test_blocks_of_the_benchmark_change_nothing(spark, tiny, monkeypatch, limits):
+    docs = spark.read.parquet(f"{tiny}/documents.parquet").select("doc_id", "text", F.lit(1).alias("hits"))
+    docs = docs.unionByName(docs.limit(3)).unionByName(spark.createDataFrame([(None, None, 1), (7, "", 1)], docs.schema))
+    items = spark.read.parquet(f"{tiny}/benchmark.parquet")
+
+    def found():
+        rows = decontaminate.with_hits(docs, items)
+        assert rows.columns == ["doc_id", "text", "hits"]
+        return sorted((r["doc_id"] or 0, r["text"] or "", sorted(map(str, r["hits"]))) for r in rows.collect())
+
+    whole = found()
+    assert any(hits for _, _, hits in whole)
+    for name, value in limits.items():
+        monkeypatch.setattr(decontaminate, name, value)
+    assert found() == whole
+    kept = decontaminate.drop_contaminated(docs, items)
+    assert kept.columns == docs.columns and kept.count() == sum(not hits for _, _, hits in whole)
+
+
+@pytest.mark.parametrize("size", [60, 120, 300])
+def test_passages_at_the_edge_of_similarity(size):
+    """Passages altered to a similarity of 0.8 to 0.85 are found within the search radius."""
+    rng = random.Random(size)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    texts = [[word() for _ in range(size)] for _ in range(150)]
+    items = decontaminate.Items([(k, " ".join(t)) for k, t in enumerate(texts)])
+    planted, found = 0, 0
+    for k, original in enumerate(texts):
+        changed, last = list(original), 1.0
+        bag = lambda words: Counter(tuple(words[i:i + 5]) for i in range(len(words) - 4))
+        while True:
+            new = list(changed)
+            new[rng.randrange(size)] = word()
+            a, b = bag(original), bag(new)
+            alike = sum((a & b).values()) / sum((a | b).values())
+            if alike < 0.8:
+                break
+            changed, last = new, alike
+        if last > 0.85:
+            continue
+        planted += 1
+        text = " ".join([word() for _ in range(50)] + changed + [word() for _ in range(50)])
+        found += any(hit[0] == k for hit in next(iter(items.scan([text]))))
+    assert planted >= 20 and found >= 0.95 * planted, (found, planted)
+
+
+@pytest.mark.parametrize("weight", [0.05, 0.2, 1.0])
+def test_no_bin_holds_much_of_a_source(spark, weight):
+    """Whatever the documents' weight, the bin that is sorted is a small part of a source."""
+    docs = spark.range(200_000).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"), F.lit("hot").alias("source"))
+    bins = mixing.measure(docs, weight=F.lit(weight)).groupBy("bin").count()
+    assert bins.agg(F.max("count")).first()[0] <= 12 * 200_000 / mixing.BINS
+    order = mixing.measure(docs.limit(5000), weight=F.lit(weight)).orderBy("key").collect()
+    assert [r["bin"] for r in order] == sorted(r["bin"] for r in order)
