@@ -149,6 +149,8 @@ def polarity_with_rules(text: Column, lexicon: Mapping[str, float] = DEFAULT_LEX
 def polarity_by_table(texts: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame:
     """``(key, polarity)`` for a lexicon of any size, given as ``(word, polarity)``.
 
+    One row per key: texts that share a key, a null one too, are scored as one text.
+
     The lexicon is written first, so its size is known: Spark sends it to the texts
     where it is small, and only the hits, summed per task, are shuffled.  The texts
     are read once; an entry that no lexicon has keeps each text in the result.
