@@ -38,15 +38,15 @@ def _credit_lines(spark, sf_dir) -> DataFrame:
 
 
 def _raw_files(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    """The three raw files, as folders of part files."""
+    """The three raw files, as folders of packed part files."""
     paths = {name: scratch_path(spark, f"{name}-csv") for name in ("movies", "credits", "ratings")}
     # the bindings' raw films reject a genre; here all are to be kept
     movies = b.raw_movies(spark, sf_dir).withColumn("popularity", F.lit("1.5"))
-    films.write_csv(movies, paths["movies"], quote_all=True)
-    _credit_lines(spark, sf_dir).write.text(paths["credits"])
+    films.write_csv(movies, paths["movies"], quote_all=True, **films.PACKED)
+    _credit_lines(spark, sf_dir).write.options(**films.PACKED).text(paths["credits"])
     ratings = views.ratings(spark, sf_dir).select(
         "userId", "movieId", "rating", F.lit(1425941529).alias("timestamp"))
-    films.write_csv(ratings, paths["ratings"])
+    films.write_csv(ratings, paths["ratings"], **films.PACKED)
     return paths
 
 

@@ -181,9 +181,14 @@ def read_ratings(spark: SparkSession, path: str, keep_rejects: bool = False,
     return _finish(decoded, keep_rejects, parsed=False)
 
 
-def write_csv(df: DataFrame, path: str, quote_all: bool = False) -> None:
+#: Files for later steps of a job: packed, as texts repeat, and so short that each is read by
+#: one task, as packed files can't be split.
+PACKED = {"compression": "gzip", "maxRecordsPerFile": 500_000}
+
+
+def write_csv(df: DataFrame, path: str, quote_all: bool = False, **options) -> None:
     """Flat rows as CSV with a header and doubled quotes; ``quote_all`` keeps outer blanks."""
-    writer = df.write.option("header", True).option("escape", '"').option("emptyValue", "")
+    writer = df.write.option("header", True).option("escape", '"').option("emptyValue", "").options(**options)
     if quote_all:
         writer = writer.options(quoteAll=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     writer.csv(path)

@@ -73,7 +73,8 @@ def quoted_records(spark: SparkSession, path: str, quote: str = '"', header: boo
     if header:
         counted = counted.where((F.col("_block") > 0) | (F.col("_at.line") > 0))
     before = F.col("_earlier") + F.col("_at.odd")
-    counted = counted.join(splits, list(_PLACE)).select(
+    # One row a split: sent to the lines, as the lines would otherwise be shuffled to it.
+    counted = counted.join(F.broadcast(splits), list(_PLACE)).select(
         "value", *_PLACE, "_odd", before.alias("_before"), F.col("_at.line").alias("_line"))
     alone = (F.col("_before") % 2 == 0) & ~F.col("_odd")
     place = F.struct("_block", "_line", "value")
