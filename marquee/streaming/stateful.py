@@ -10,12 +10,14 @@ client's state, so a client with a third of all rows is spread over ``shards`` k
 
 from __future__ import annotations
 
+import json
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from itertools import islice
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
@@ -39,38 +41,70 @@ def rocksdb(spark: SparkSession) -> Iterator[None]:
 
 # --- duplicates -------------------------------------------------------------------------
 
+#: Rows that are held at a time, so that a key with many rows needs no more memory.
+_ROWS = 10_000
+
+
+def _pieces(rows: Iterator[Row]) -> Iterator[list[Row]]:
+    while piece := list(islice(rows, _ROWS)):
+        yield piece
+
+
 class _FirstDelivery(StatefulProcessor):
-    """Lets the first row of a key through and remembers the key for a time span."""
+    """Lets the first row of a key through and remembers the key for a time span.
+
+    The keys of a bucket are one entry of the state, with the time of their last delivery.
+    """
 
-    def __init__(self, span_ms: int):
-        self.span_ms = span_ms
+    def __init__(self, span_ms: int, columns: Sequence[str]):
+        self.span_ms, self.columns = span_ms, list(columns)
 
     def init(self, handle) -> None:
-        self.seen = handle.getValueState("seen", "seen boolean", self.span_ms)
-
-    def handleInputRows(self, key, rows, timer_values) -> Iterator[pd.DataFrame]:
-        first = None
-        for chunk in rows:
-            if first is None and len(chunk):
-                first = chunk.head(1)
-        if first is not None and not self.seen.exists():
-            yield first
-        self.seen.update((True,))  # a delivery of any kind starts the span anew
+        self.seen = handle.getMapState("seen", "bucket int", "keys string", self.span_ms)
+
+    def handleInputRows(self, key, rows, timer_values) -> Iterator[Row]:
+        now, whole = timer_values.getCurrentProcessingTimeInMs(), Row(*self.columns)
+        for piece in _pieces(rows):
+            buckets: dict[int, dict[str, Row]] = defaultdict(dict)
+            for row in piece:
+                buckets[row["_bucket"]].setdefault(row["_key"], row)
+            for bucket, firsts in buckets.items():
+                held = self.seen.getValue((bucket,))
+                times = json.loads(held[0]) if held else {}
+                times = {name: time for name, time in times.items() if time + self.span_ms > now}
+                for name, row in firsts.items():
+                    if name not in times:
+                        yield whole(*row[:len(self.columns)])
+                    times[name] = now  # a delivery of any kind starts the span anew
+                self.seen.updateValue((bucket,), (json.dumps(times),))
 
     def close(self) -> None:
         pass
 
 
-def dedup_within(messages: DataFrame, span_ms: int, keys: Sequence[str] = MESSAGE_KEYS) -> DataFrame:
+def dedup_within(messages: DataFrame, span_ms: int, keys: Sequence[str] = MESSAGE_KEYS,
+                 shards: int = 4096, buckets: int = 64) -> DataFrame:
     """One row per message; a key is forgotten ``span_ms`` after its last delivery.
 
     No event time is involved: a first delivery comes through however late it is, and a
     repeat is told from it as long as it follows within the span.  A message that comes
     again after that is taken for a new one.  Give the stream a processing-time trigger (or
     ``run_once``): it has no end, as forgetting needs batches without input.
+
+    A call of Python for every key, and a question to the state for each, would take
+    milliseconds a key.  Keys are dealt to ``shards`` calls, and each to ``buckets`` entries of the
+    state, which are read and written whole: a batch touches no more of them than it has keys,
+    and they hold a few hundred keys at a hundred million in all.
     """
-    return messages.groupBy(*keys).transformWithStateInPandas(
-        _FirstDelivery(span_ms), messages.schema, "append", "processingTime")
+    hashed = F.xxhash64(*keys)
+    named = F.to_json(F.struct(*keys), {  # null fields too, and times to the microsecond
+        "ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+        "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"})
+    dealt = messages.select(
+        *messages.columns, named.alias("_key"), F.pmod(hashed, F.lit(shards)).alias("_shard"),
+        F.pmod(F.shiftright(hashed, 32), F.lit(buckets)).cast("int").alias("_bucket"))
+    return dealt.groupBy("_shard").transformWithState(
+        _FirstDelivery(span_ms, messages.columns), messages.schema, "append", "processingTime")
 
 
 # --- a question per client, answered when it is complete --------------------------------

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import os
 from contextlib import contextmanager
+from datetime import datetime, timedelta
 
 import pytest
 
 from marquee.plans import file_bindings
+from marquee.session import scratch_path
 from marquee.sources import records
+from marquee.streaming import jobs, stateful
 
 
 @contextmanager
@@ -66,3 +69,27 @@ def test_lines_are_not_shuffled_to_find_records(spark, tmp_path):
         found = records.quoted_records(spark, str(tmp_path))
         assert "SortMergeJoin" not in found._jdf.queryExecution().sparkPlan().toString()
         assert sorted(row.value for row in found.collect()) == ['"one\n\ntwo"', "three"]
+
+
+# --- streams ------------------------------------------------------------------------------
+
+def _deliver(spark, path: str, rows, schema: str):
+    frame = spark.createDataFrame(rows, schema)
+    frame.write.mode("append").parquet(path)
+    return jobs.open_stream(spark, path, frame.schema)
+
+
+def test_keys_share_entries_of_the_state(spark):
+    schema = "client_id string, queue string, message_id long, at timestamp, value long"
+    big, base = 2**53, datetime(2024, 1, 1)
+    keys = [(f"c{k % 7}", None if k % 5 == 0 else "q", None if k == 3 else big + k) for k in range(900)]
+    rows = [(*key, base + timedelta(microseconds=k), None if k % 2 else big + 1) for k, key in enumerate(keys)]
+    rows.append(("c", '","', None, base, 1))  # no other than itself, whatever its texts hold
+    inbox, sink, state = (scratch_path(spark, n) for n in ("inbox", "sink", "state"))
+    with stateful.rocksdb(spark), _set(spark, spark_sql_shuffle_partitions="2"):
+        for part in (rows[:500], rows):
+            stream = _deliver(spark, inbox, part + part, schema)
+            query = jobs.run_once(stateful.dedup_within(stream, 3_600_000, shards=2, buckets=4), sink, state)
+    assert query.lastProgress.stateOperators[0].numRowsTotal == 8
+    got = [tuple(row) for row in spark.read.parquet(sink).collect()]
+    assert sorted(got, key=str) == sorted(rows, key=str)
