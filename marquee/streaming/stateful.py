@@ -43,6 +43,7 @@ def rocksdb(spark: SparkSession) -> Iterator[None]:
 
 #: Rows that are held at a time, so that a key with many rows needs no more memory.
 _ROWS = 10_000
+_CHARS = 4_000_000
 
 
 def _pieces(rows: Iterator[Row]) -> Iterator[list[Row]]:
@@ -206,7 +207,11 @@ def _every(shards: int) -> Column:
 # --- a join that waits for its build side -----------------------------------------------
 
 class _Barrier(StatefulProcessor):
-    """Probe rows wait until the build side has ended, then those with a partner come out."""
+    """Probe rows wait until the build side has ended, then those with a partner come out.
+
+    Rows wait as pieces of bounded length, one entry of the state each, and so do those of a
+    batch that are too many to be held until the batch's last end marker and partner are known.
+    """
 
     def __init__(self, nodes: int):
         self.nodes = nodes
@@ -214,31 +219,43 @@ class _Barrier(StatefulProcessor):
     def init(self, handle) -> None:
         self.build = handle.getMapState("build", "key string", "seen boolean")
         self.ended = handle.getMapState("ended", "node string", "seen boolean")
-        self.waiting = handle.getListState("waiting", "key string, body string")
+        self.waiting = handle.getMapState("waiting", "piece long", "probes string")
+        self.pieces = handle.getValueState("pieces", "n long")
 
     def handleInputRows(self, key, rows, timer_values) -> Iterator[pd.DataFrame]:
+        found = self.pieces.get()
+        before = pieces = found[0] if found else 0
         probes: list[tuple[str, str]] = []
+        size = 0
         for chunk in rows:
             for node in chunk["node"].dropna().unique():
                 self.ended.updateValue((node,), (True,))
             probe = chunk["body"].notna()
             for partner in chunk.loc[~probe, "key"].dropna().unique():
                 self.build.updateValue((partner,), (True,))
-            probes += zip(chunk.loc[probe, "key"], chunk.loc[probe, "body"])
+            for pair in zip(chunk.loc[probe, "key"], chunk.loc[probe, "body"]):
+                probes.append(pair)
+                size += len(pair[0]) + len(pair[1])
+                if len(probes) >= _ROWS or size >= _CHARS:
+                    self.waiting.updateValue((pieces,), (json.dumps(probes),))
+                    probes, size, pieces = [], 0, pieces + 1
         if sum(1 for _ in self.ended.keys()) < self.nodes:
             if probes:
-                self.waiting.appendList(probes)
+                self.waiting.updateValue((pieces,), (json.dumps(probes),))
+                pieces += 1
+            if pieces > before:
+                self.pieces.update((pieces,))
             return
-        if self.waiting.exists():
-            probes += list(self.waiting.get())
-            self.waiting.clear()
-        met: dict[str, bool] = {}
-        out = []
-        for partner, body in probes:
-            if partner not in met:
-                met[partner] = self.build.containsKey((partner,))
-            if met[partner]:
-                out.append(body)
+        yield from self._met(probes)
+        for piece in range(pieces):
+            yield from self._met(json.loads(self.waiting.getValue((piece,))[0]))
+            self.waiting.removeKey((piece,))
+        if before:
+            self.pieces.clear()
+
+    def _met(self, probes: Sequence[Sequence[str]]) -> Iterator[pd.DataFrame]:
+        met = {partner: self.build.containsKey((partner,)) for partner in {partner for partner, _ in probes}}
+        out = [body for partner, body in probes if met[partner]]
         if out:
             yield pd.DataFrame({"body": out})
 
@@ -247,7 +264,7 @@ class _Barrier(StatefulProcessor):
 
 
 def join_behind_barrier(probe: DataFrame, build: DataFrame, ends: DataFrame, nodes: int,
-                        key: str = "id", by: Sequence[str] = (), shards: int = 16) -> DataFrame:
+                        key: str = "id", by: Sequence[str] = (), shards: int = 64) -> DataFrame:
     """Rows of the stream ``probe`` whose ``key`` the stream ``build`` has, columns unchanged.
 
     Rows may come in any order: probe rows wait until ``ends`` (the columns ``by`` and

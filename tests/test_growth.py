@@ -6,9 +6,12 @@ import os
 from contextlib import contextmanager
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
-from marquee.plans import file_bindings
+from marquee.functions import literals, sentiment
+from marquee.plans import bindings, file_bindings
 from marquee.session import scratch_path
 from marquee.sources import records
 from marquee.streaming import jobs, stateful
@@ -93,3 +96,90 @@ def test_keys_share_entries_of_the_state(spark):
     assert query.lastProgress.stateOperators[0].numRowsTotal == 8
     got = [tuple(row) for row in spark.read.parquet(sink).collect()]
     assert sorted(got, key=str) == sorted(rows, key=str)
+
+
+class _Entries(dict):
+    """A map or value state without Spark."""
+
+    def updateValue(self, key, value):
+        self[key] = value
+
+    def getValue(self, key):
+        return dict.get(self, key)
+
+    def containsKey(self, key):
+        return key in self
+
+    def removeKey(self, key):
+        del self[key]
+
+    def update(self, value):
+        self[()] = value
+
+    def get(self):
+        return dict.get(self, ())
+
+
+class _Handle:
+    def __init__(self):
+        self.states = {}
+
+    def getMapState(self, name, *_):
+        return self.states.setdefault(name, _Entries())
+
+    getValueState = getListState = getMapState
+
+
+def test_waiting_rows_are_held_in_pieces():
+    handle, most, chunks = _Handle(), 10_000, 12
+    barrier = stateful._Barrier(nodes=1)
+    barrier.init(handle)
+
+    def chunk(keys, bodies, nodes):
+        return pd.DataFrame({"key": keys, "body": bodies, "node": nodes}, dtype=object)
+
+    def probes():  # one at a time, as a worker gets them
+        for n in range(chunks):
+            keys = [str(k) for k in range(n * 5000, n * 5000 + 5000)]
+            yield chunk(keys, [f"row {k}" for k in keys], None)
+
+    assert list(barrier.handleInputRows(("0",), probes(), None)) == []
+    entries = list(handle.states["waiting"].values())
+    assert len(entries) == chunks * 5000 / most and max(len(entry[0]) for entry in entries) < 30 * most
+    # the build side and its end come behind as many rows of their own batch
+    build = chunk([str(k) for k in range(0, chunks * 5000, 2)], None, None)
+    batch = [*probes(), build, chunk([None], [None], ["n"])]
+    out = list(barrier.handleInputRows(("0",), iter(batch), None))
+    assert max(map(len, out)) <= most and not handle.states["waiting"] and not handle.states["pieces"]
+    want = [f"row {k}" for k in range(0, chunks * 5000, 2)]
+    assert sorted(body for frame in out for body in frame["body"]) == sorted(want * 2)
+
+
+# --- decoding and words -------------------------------------------------------------------
+
+def test_rows_read_in_the_jvm_go_to_python_as_empty_lists(spark):
+    rows = [("[]",), ("[{'a': 1}]",), ("[{'a': (1, 2)}]",), ("no list",), (None,)]
+    read = literals.with_literals(spark.createDataFrame(rows, "x string"), lists=["x"])
+    found = {row.x: row._x for row in read.collect()}
+    assert found == {"[]": [], "[{'a': 1}]": [{"a": "1"}], "[{'a': (1, 2)}]": [{"a": "[1, 2]"}], "no list": None, None: []}
+    sent = read.filter("x = '[]'")._jdf.queryExecution().analyzed().toString()
+    assert "THEN cast(array() as array<array<string>>)" in sent
+
+
+def test_credits_are_decoded_by_many_tasks(spark, tables):
+    with _set(spark, spark_sql_shuffle_partitions="3"):
+        plan = bindings.decode_credits_(spark, tables)._jdf.queryExecution().sparkPlan().toString()
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    assert f"RoundRobinPartitioning({tasks})" in plan
+
+
+def test_frequent_words_are_counted_before_the_join(spark):
+    texts = spark.createDataFrame(
+        [(1, "the cat " * 3000 + "the end"), (2, ""), (3, None), (1, "cat"), (4, "it's"), (None, "the")], "k long, t string")
+    own = F.array_append(sentiment.tokens(F.col("t")), F.lit("\0"))
+    counted = [sorted(tuple(word) for word in row[0]) for row in texts.select(sentiment._counted(own)).collect()]
+    assert counted == [[("\0", 1), ("cat", 3000), ("end", 1), ("the", 3001)], [("\0", 1)], [("\0", 1)],
+                       [("\0", 1), ("cat", 1)], [("\0", 1), ("it's", 1)], [("\0", 1), ("the", 1)]]
+    lexicon = spark.createDataFrame([("the", 1.0), ("cat", -0.5), ("end", 0.25)], "word string, polarity double")
+    got = {row.k: row.polarity for row in sentiment.polarity_by_table(texts, "k", "t", lexicon).collect()}
+    assert got == {1: (3001 - 0.5 * 3001 + 0.25) / 6003, 2: 0.0, 3: 0.0, 4: 0.0, None: 1.0}
