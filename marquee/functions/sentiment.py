@@ -146,6 +146,19 @@ def polarity_with_rules(text: Column, lexicon: Mapping[str, float] = DEFAULT_LEX
     return F.transform(F.array(tokens(text)), lambda words: F.when(felt(words), mean(words)).otherwise(F.lit(0.0)))[0]
 
 
+def _counted(words: Column) -> Column:
+    """Each distinct word with its number in an array of one word or more: runs of the sorted words."""
+    def runs(ordered: Column) -> Column:
+        begins = F.filter(F.sequence(F.lit(0), F.size(ordered) - 1),
+                          lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)))
+        return F.transform(F.array(begins), lambda at: F.transform(at, lambda i, k: F.struct(
+            F.get(ordered, i).alias("word"),
+            (F.coalesce(F.get(at, k + 1), F.size(ordered)) - i).alias("n"))))[0]
+
+    # As the one item of an array the words are sorted, and the runs found, once.
+    return F.transform(F.array(F.sort_array(words)), runs)[0]
+
+
 def polarity_by_table(texts: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame:
     """``(key, polarity)`` for a lexicon of any size, given as ``(word, polarity)``.
 
@@ -153,17 +166,19 @@ def polarity_by_table(texts: DataFrame, key: str, text: str, lexicon: DataFrame)
 
     The lexicon is written first, so its size is known: Spark sends it to the texts
     where it is small, and only the hits, summed per task, are shuffled.  The texts
-    are read once; an entry that no lexicon has keeps each text in the result.
+    are read once; an entry that no lexicon has keeps each text in the result.  Words
+    are counted per text first, so that a frequent one comes once a text to the join.
     """
     own = F.concat(F.lit("\0"), F.xxhash64(key).cast("string"))
     words = F.array_append(tokens(F.col(text)), own)
-    spread = texts.select(key, F.explode(words).alias("word"))
+    spread = texts.select(key, F.inline(_counted(words)))
     known = materialize(lexicon.select("word", "polarity").dropDuplicates(["word"]), "lexicon")
     # Hits and each text's own entry are all that goes on; other words end here.
     hits = spread.join(known, "word", "left").filter(
         F.col("polarity").isNotNull() | F.col("word").startswith("\0"))
+    number = F.sum(F.when(F.col("polarity").isNotNull(), F.col("n")))
     return hits.groupBy(key).agg(
-        F.coalesce(F.sum("polarity") / F.count("polarity"), F.lit(0.0)).alias("polarity"))
+        F.coalesce(F.sum(F.col("polarity") * F.col("n")) / number, F.lit(0.0)).alias("polarity"))
 
 
 def sentiment_class(score: Column) -> Column:
