@@ -107,7 +107,7 @@ def _evaluator(names: list[str], objects) -> Callable[[Column], Column]:
 
     @F.arrow_udf("array<string>")
     def evaluate(rows: pa.Array) -> pa.Array:
-        return pa.array([None if row is None else [one(*x) for x in zip(row, lenient)]
+        return pa.array([[one(*x) for x in zip(row, lenient)] if row else None
                          for row in rows.to_pylist()], pa.list_(pa.string()))
 
     return evaluate
@@ -121,8 +121,8 @@ def with_literals(df: DataFrame, lists=(), dicts=(), objects=()) -> DataFrame:
     ``objects`` every ``{...}`` piece is parsed on its own and bad pieces are left out.
 
     The steps are separate projections so that Spark computes each text once; what the
-    grammar doesn't cover goes to Python in one step for all columns, as null for a row that
-    has nothing of the kind.
+    grammar doesn't cover goes to Python in one step for all columns, as an empty list for a row
+    that has nothing of the kind.
     """
     names = [*lists, *dicts, *objects]
     whole = {c: F.coalesce(F.col(c), F.lit("")) for c in names}
@@ -141,7 +141,8 @@ def with_literals(df: DataFrame, lists=(), dicts=(), objects=()) -> DataFrame:
         f"_p_{c}", lambda p: F.concat(F.lit("["), p, F.lit("]"))) if c in objects else F.col(f"_p_{c}"))
         for c in names])
     flat = reduce(lambda a, b: a & b, [F.col(f"_f_{c}") for c in names])
-    df = df.withColumn("_e", _evaluator(names, objects)(F.when(~flat, pieces)))
+    # Nothing is an empty list: with null ones Spark goes over all earlier rows of a batch to size it.
+    df = df.withColumn("_e", _evaluator(names, objects)(F.when(flat, F.array()).otherwise(pieces)))
     df = df.withColumns({
         f"_j_{c}": F.when(F.col(f"_f_{c}"), _as_json(F.col(f"_n_{c}"))).otherwise(F.col("_e")[k])
         for k, c in enumerate(names)})

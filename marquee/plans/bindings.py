@@ -19,7 +19,7 @@ from marquee.operators import (
 from marquee.plans import film_queries as film
 from marquee.plans import table_views as views
 from marquee.plans.table_views import PRIORITIES, table
-from marquee.session import scratch_path
+from marquee.session import many_tasks, scratch_path
 from marquee.sources.films import decode_credits, decode_movies, read_movies, read_ratings, write_csv
 
 HOME, PARTNER = "NATION_18", "NATION_3"
@@ -129,8 +129,9 @@ def decode_credits_(spark, sf_dir):
         '"[' + member + ", {'name': 'no one'}, " + member + ']",[],%s',
         "l_linenumber", F.concat(F.lit("'"), F.col("p_name"), F.lit("'")),
         "l_linenumber", F.concat(F.lit('""'), F.col("p_brand"), F.lit('""')), "l_orderkey")
-    raw = lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(cast.alias("value"))
-    return decode_credits(raw).select(
+    # Dealt out while rows are short: decoding is the work, and joined rows fill only a few tasks.
+    joined = lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).repartition(many_tasks(spark))
+    return decode_credits(joined.select(cast.alias("value"))).select(
         "id", piped(text.names_of(F.col("cast"))).alias("cast_names"),
         F.get("cast", F.lit(0))["cast_id"].alias("cast_id"),
         F.get("cast", F.lit(0))["character"].alias("role"),

@@ -53,6 +53,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def many_tasks(spark: SparkSession) -> int:
+    """Partitions for rows that take much work each: enough to keep all cores busy to the end."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+
+
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
