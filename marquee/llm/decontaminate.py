@@ -39,7 +39,8 @@ SIMILARITY = 0.8
 RADIUS = 19
 BLOCKS = 4
 ITEMS_PER_BLOCK, BYTES_PER_BLOCK = 2000, 4 << 20
-_CHUNK = 1 << 21
+#: Bytes of texts scanned at once: arrays of eight bytes for each are held, beside one another.
+_CHUNK = 1 << 18
 _HIT = "array<struct<item_id:bigint,start_word:int,n_words:int,distance:int,similarity:double>>"
 
 _rng = np.random.default_rng(20)

@@ -34,6 +34,8 @@ DOCS_PER_LANGUAGE = 600
 WINDOWS_PER_DOC = 3
 _LETTER = regex.compile(r"\p{L}")
 _BATCH = 512
+#: Windows of which all places are held at a time.
+_AT_ONCE = 64
 
 
 @dataclass
@@ -55,6 +57,10 @@ class Model:
 
     def pooled(self, windows: np.ndarray) -> np.ndarray:
         """Windows of bytes [n, WINDOW + a margin of zeros] -> best value of each filter."""
+        parts = [self._best(windows[at:at + _AT_ONCE]) for at in range(0, max(1, len(windows)), _AT_ONCE)]
+        return np.maximum(np.concatenate(parts) + self.bias, 0)
+
+    def _best(self, windows: np.ndarray) -> np.ndarray:
         pair = windows[:, :-1].astype(np.int32) * 256 + windows[:, 1:]
         out = []
         for w, tables in self.tables().items():
@@ -64,7 +70,7 @@ class Model:
                 source = pair if 2 * k + 1 < w else windows
                 total = total + table[source[:, 2 * k:2 * k + last]]
             out.append(total.max(axis=1))
-        return np.maximum(np.concatenate(out, axis=1) + self.bias, 0)
+        return np.concatenate(out, axis=1)
 
     def log_probabilities(self, windows: np.ndarray) -> np.ndarray:
         scores = self.pooled(windows) @ self.weights + self.offset
