@@ -41,9 +41,11 @@ _ENTRIES = T.ArrayType(T.MapType(T.StringType(), T.StringType()))
 
 
 def _with_nulls(text: Column) -> Column:
+    out = text
     for quote in "'\"":
-        text = F.replace(text, F.lit(f"{quote}: None"), F.lit(f"{quote}: null"))
-    return text
+        out = F.replace(out, F.lit(f"{quote}: None"), F.lit(f"{quote}: null"))
+    # Replacing tries every place of a text; most texts have nothing to replace.
+    return F.when(text.contains(": None"), out).otherwise(text)
 
 
 def _is_flat(text: Column, replaced: Column) -> Column:

@@ -28,7 +28,8 @@ _PLACE = ("_file", "_block")
 def _lines(spark: SparkSession, path: str, quote: str) -> DataFrame:
     """Lines with the file and split they are in, and whether their quotes are odd in number."""
     text = spark.read.text(path)
-    quotes = F.char_length("value") - F.char_length(F.replace("value", F.lit(quote), F.lit("")))
+    # Lengths in bytes are known; characters would be counted, twice a line and pass.
+    quotes = (F.octet_length("value") - F.octet_length(F.replace("value", F.lit(quote), F.lit("")))) / len(quote.encode())
     return text.select(
         "value", F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),

@@ -74,6 +74,28 @@ def test_lines_are_not_shuffled_to_find_records(spark, tmp_path):
         assert sorted(row.value for row in found.collect()) == ['"one\n\ntwo"', "three"]
 
 
+def test_reading_lines_counts_no_characters(spark, tmp_path):
+    """Quotes are told by lengths in bytes, which need no pass over the text."""
+    (tmp_path / "a.csv").write_text('h\n"é\n\n""ü""\n"\n"one"\n', encoding="utf-8")
+    found = records.quoted_records(spark, str(tmp_path))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "octet_length" in plan and "char_length" not in plan and " length(" not in plan
+    assert sorted(row.value for row in found.collect()) == ['"one"', '"é\n\n""ü""\n"']
+    (tmp_path / "b.csv").write_text('h\n»a\nb»\n»c»\n', encoding="utf-8")
+    rows = records.quoted_records(spark, str(tmp_path / "b.csv"), quote="»").collect()
+    assert sorted(row.value for row in rows) == ["»a\nb»", "»c»"]
+
+
+def test_only_texts_with_none_are_replaced(spark):
+    rows = [(None,), ("",), ("[{'id': 1, 'name': 'a'}]",), ("[{'id': None, 'name': \"None\"}]",),
+            ("[{\"id\": None, 'name': ': None'}]",), ("[{'id': 2, 'name': 'x\\': None'}]",)]
+    df = spark.createDataFrame(rows, "g string")
+    assert df.select(literals._with_nulls(F.col("g")))._jdf.queryExecution().toString().count("CASE WHEN") > 0
+    got = [row["_g"] for row in literals.with_literals(df, lists=["g"]).collect()]
+    assert got == [[], [], [{"id": "1", "name": "a"}], [{"id": None, "name": "None"}],
+                   [{"id": None, "name": ": None"}], [{"id": "2", "name": "x': None"}]]
+
+
 # --- streams ------------------------------------------------------------------------------
 
 def _deliver(spark, path: str, rows, schema: str):
