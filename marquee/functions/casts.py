@@ -17,7 +17,12 @@ def to_long(text: Column) -> Column:
 
 def to_double(text: Column) -> Column:
     """Number parse without the JVM's trailing type letters (``1.0d``)."""
-    return F.when(~text.rlike(r"[0-9.][dDfF]\s*$"), text.try_cast("double"))
+    # Empty text would cost an exception, and the pattern is tried only where it may fit.
+    lettered = F.lit(False)
+    for letter in "dDfF":
+        lettered = lettered | text.contains(letter)
+    typed = lettered & text.rlike(r"[0-9.][dDfF]\s*$")
+    return F.when((text != "") & ~typed, text.try_cast("double"))
 
 
 def to_flag(text: Column) -> Column:

@@ -23,14 +23,24 @@ from pyspark.sql import types as T
 # have been changed by that does not match.  All quantifiers are possessive: no
 # backtracking and no recursion on long text.
 _ESCAPE = r"""\\(?:[\\nrtbf]|['"](?!: null)|x[0-9a-fA-F]{2}|u[0-9a-fA-F]{4})"""
-_STRING = (
-    rf"""(?:'(?!: null)[^"'\\]*+(?:(?:{_ESCAPE}|"(?!: null))[^"'\\]*+)*+'"""
-    rf"""|"(?!: null)[^"'\\]*+(?:(?:{_ESCAPE}|'(?!: null))[^"'\\]*+)*+")"""
-)
-_VALUE = rf"(?:{_STRING}|null|-?(?:0|[1-9][0-9]{{0,17}}))"
-_PAIR = rf"{_STRING}: {_VALUE}"
-_DICT = rf"\{{(?:{_PAIR}(?:, {_PAIR})*+)?+\}}"
-_FLAT_LIST = rf"^\[(?:{_DICT}(?:, {_DICT})*+)?+\]$"
+
+
+def _flat_list(other: str = "") -> str:
+    """The grammar of a list; its strings hold none of the ``other`` characters."""
+    plain = rf"""[^"'\\{other}]*+"""
+    string = (
+        rf"""(?:'(?!: null){plain}(?:(?:{_ESCAPE}|"(?!: null)){plain})*+'"""
+        rf"""|"(?!: null){plain}(?:(?:{_ESCAPE}|'(?!: null)){plain})*+")"""
+    )
+    value = rf"(?:{string}|null|-?(?:0|[1-9][0-9]{{0,17}}))"
+    pair = rf"{string}: {value}"
+    entry = rf"\{{(?:{pair}(?:, {pair})*+)?+\}}"
+    return rf"^\[(?:{entry}(?:, {entry})*+)?+\]$"
+
+
+_FLAT_LIST = _flat_list()
+# A piece ends at its first closing brace and holds no line break of any kind.
+_PLAIN_LIST = _flat_list(r"}\x{85}\x{2028}\x{2029}")
 _HEX_ESCAPE = r"(?<!\\)((?:\\\\)*+)\\x([0-9a-fA-F]{2})"
 
 _JSON_OPTIONS = {
@@ -48,12 +58,12 @@ def _with_nulls(text: Column) -> Column:
     return F.when(text.contains(": None"), out).otherwise(text)
 
 
-def _is_flat(text: Column, replaced: Column) -> Column:
+def _is_flat(text: Column, replaced: Column, grammar: str = _FLAT_LIST) -> Column:
     """``text`` is the original, ``replaced`` the one with nulls."""
     odd = F.lit(False)
     for piece in ("': null", '": null', "\n", "\r", "\x00"):
         odd = odd | text.contains(piece)
-    return ~odd & replaced.rlike(_FLAT_LIST)
+    return ~odd & replaced.rlike(grammar)
 
 
 def _as_json(replaced: Column) -> Column:
@@ -120,7 +130,8 @@ def with_literals(df: DataFrame, lists=(), dicts=(), objects=()) -> DataFrame:
 
     ``lists`` hold a list of dicts: empty text gives an empty array, unparsable
     text null.  ``dicts`` hold one dict and are read as a list of one.  Of
-    ``objects`` every ``{...}`` piece is parsed on its own and bad pieces are left out.
+    ``objects`` every ``{...}`` piece is parsed on its own and bad pieces are left out; a text
+    that is a list of such pieces and has no braces in its strings needn't be taken apart for that.
 
     The steps are separate projections so that Spark computes each text once; what the
     grammar doesn't cover goes to Python in one step for all columns, as an empty list for a row
@@ -128,17 +139,29 @@ def with_literals(df: DataFrame, lists=(), dicts=(), objects=()) -> DataFrame:
     """
     names = [*lists, *dicts, *objects]
     whole = {c: F.coalesce(F.col(c), F.lit("")) for c in names}
+    if objects:
+        df = df.withColumns({f"_w_{c}": whole[c] for c in objects})
+        df = df.withColumns({f"_m_{c}": _with_nulls(F.col(f"_w_{c}")) for c in objects})
+        df = df.withColumns({
+            f"_g_{c}": _is_flat(F.col(f"_w_{c}"), F.col(f"_m_{c}"), _PLAIN_LIST) for c in objects})
     texts = {  # what is read one by one
         **{c: F.array(F.when(whole[c] == "", "[]").otherwise(whole[c])) for c in lists},
         **{c: F.array(F.concat(F.lit("["), whole[c], F.lit("]"))) for c in dicts},
-        **{c: F.regexp_extract_all(whole[c], F.lit(r"(\{.*?\})"), F.lit(1)) for c in objects},
+        **{c: F.when(F.col(f"_g_{c}"), F.array().cast("array<string>")).otherwise(
+            F.regexp_extract_all(F.col(f"_w_{c}"), F.lit(r"(\{[^}\n\r\x{85}\x{2028}\x{2029}]*+\})"), F.lit(1)))
+           for c in objects},
     }
     df = df.withColumns({f"_p_{c}": texts[c] for c in names})
     df = df.withColumns({
-        f"_t_{c}": F.concat(F.lit("["), F.array_join(f"_p_{c}", ", "), F.lit("]")) if c in objects
+        f"_t_{c}": F.when(F.col(f"_g_{c}"), F.lit("")).otherwise(
+            F.concat(F.lit("["), F.array_join(f"_p_{c}", ", "), F.lit("]"))) if c in objects
         else F.col(f"_p_{c}")[0] for c in names})
-    df = df.withColumns({f"_n_{c}": _with_nulls(F.col(f"_t_{c}")) for c in names})
-    df = df.withColumns({f"_f_{c}": _is_flat(F.col(f"_t_{c}"), F.col(f"_n_{c}")) for c in names})
+    df = df.withColumns({
+        f"_n_{c}": F.when(F.col(f"_g_{c}"), F.col(f"_m_{c}")).otherwise(_with_nulls(F.col(f"_t_{c}"))) if c in objects
+        else _with_nulls(F.col(f"_t_{c}")) for c in names})
+    df = df.withColumns({
+        f"_f_{c}": F.col(f"_g_{c}") | _is_flat(F.col(f"_t_{c}"), F.col(f"_n_{c}")) if c in objects
+        else _is_flat(F.col(f"_t_{c}"), F.col(f"_n_{c}")) for c in names})
     pieces = F.array(*[F.when(~F.col(f"_f_{c}"), F.transform(
         f"_p_{c}", lambda p: F.concat(F.lit("["), p, F.lit("]"))) if c in objects else F.col(f"_p_{c}"))
         for c in names])
@@ -149,7 +172,7 @@ def with_literals(df: DataFrame, lists=(), dicts=(), objects=()) -> DataFrame:
         f"_j_{c}": F.when(F.col(f"_f_{c}"), _as_json(F.col(f"_n_{c}"))).otherwise(F.col("_e")[k])
         for k, c in enumerate(names)})
     df = df.withColumns({f"_{c}": F.from_json(f"_j_{c}", _ENTRIES, _JSON_OPTIONS) for c in names})
-    return df.drop("_e", *[f"_{k}_{c}" for k in "tpnfj" for c in names])
+    return df.drop("_e", *[f"_{k}_{c}" for k in "wmgtpnfj" for c in names])
 
 
 def entry_struct(entry: Column, schema: T.StructType) -> Column:

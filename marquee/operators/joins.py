@@ -53,6 +53,34 @@ def join_credits_inner(credits: DataFrame, movies: DataFrame, by: Sequence[str]
     return credits.join(titles, keys, "inner").select(*keys, "original_title", "cast")
 
 
+#: Bits of a filter over keys, which is broadcast as rows of 64 bits each: a million at most.
+_FILTER_BITS = 1 << 26
+
+
+def without_most_others(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """``rows`` with all whose (whole-number) key is among the one column of ``keys``, and few others.
+
+    For work on rows that is to be done before they are joined.  A Bloom filter of one hash:
+    each key sets one bit.  It has a fixed size, whatever the number of keys, so it is sent to
+    the rows; with very many keys it lets more others pass.  Rows with a null key go.
+    """
+    def hashed(column: Column) -> Column:
+        return F.xxhash64(column.cast("bigint"))
+
+    def word(h: Column) -> Column:
+        return F.shiftrightunsigned(h, 6).bitwiseAND(_FILTER_BITS // 64 - 1)
+
+    def bit(h: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("bigint"), h.bitwiseAND(63).cast("int"))
+
+    wanted = keys.select(F.col(keys.columns[0]).alias("_key")).where("_key IS NOT NULL")
+    filled = wanted.groupBy(word(hashed(F.col("_key"))).alias("_word")).agg(
+        F.bit_or(bit(hashed(F.col("_key")))).alias("_bits"))
+    at = hashed(F.col(key))
+    return rows.where(F.col(key).isNotNull()).join(
+        F.broadcast(filled), (word(at) == F.col("_word")) & (F.col("_bits").bitwiseAND(bit(at)) != 0), "left_semi")
+
+
 def range_bucket(key: Column, ranges: Sequence[tuple[int, int, int]], buckets: int) -> Column:
     """Bucket of the first ``(low, high, bucket)`` range that holds the key, else
     ``key % buckets + 1``.  The range list is part of the plan: no join at all."""

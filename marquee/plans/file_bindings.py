@@ -28,10 +28,9 @@ def _credit_lines(spark, sf_dir) -> DataFrame:
     """Line items as lines of the credits file: three members each, the last one nameless
     for large parts; quotes are doubled as CSV has it."""
     credits = views.credits(spark, sf_dir).select("id", "cast")
-    fields = ("'cast_id': 1, 'character': \"O'Brien\", 'credit_id': 'c', 'gender': None, 'id': 9, "
-              "'name': '%s', 'order': 0, 'profile_path': None")
+    before = "{'cast_id': 1, 'character': \"O'Brien\", 'credit_id': 'c', 'gender': None, 'id': 9, 'name': '"
     member = F.transform("cast", lambda m: F.concat(
-        F.lit("{"), F.format_string(fields, m["name"]), F.lit("}")))
+        F.lit(before), F.coalesce(m["name"], F.lit("null")), F.lit("', 'order': 0, 'profile_path': None}")))
     listed = F.concat(F.lit("["), F.array_join(member, ", "), F.lit("]"))
     quoted = F.concat(F.lit('"'), F.replace(listed, F.lit('"'), F.lit('""')), F.lit('"'))
     return credits.select(F.concat(quoted, F.lit(",[],"), F.col("id").cast("string")).alias("value"))
@@ -55,7 +54,7 @@ def _five(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return film.all_queries(
         clean.clean_movies(films.read_movies(spark, paths["movies"])),
         clean.clean_ratings(films.read_ratings(spark, paths["ratings"])),
-        clean.clean_credits(films.read_credits(spark, paths["credits"])), b.RULES)
+        lambda recent: clean.clean_credits(films.read_credits(spark, paths["credits"], of=recent)), b.RULES)
 
 
 def all_five_from_files(spark, sf_dir):

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from marquee import schemas as S
 from marquee.functions import casts, literals
+from marquee.operators import joins
 from marquee.sources import records
 
 _CORRUPT = "_corrupt_record"
@@ -124,13 +125,17 @@ def _credit_fields(line: Column) -> Column:
         **_CSV, "ignoreTrailingWhiteSpace": "true"})
 
 
-def read_credits(spark: SparkSession, path: str, keep_rejects: bool = False) -> DataFrame:
+def read_credits(spark: SparkSession, path: str, keep_rejects: bool = False,
+                 of: DataFrame | None = None) -> DataFrame:
     """Decoded credits.  Records are lines, so files split freely; the header and
     every line of another form are left out."""
-    return decode_credits(spark.read.text(path), keep_rejects)
+    return decode_credits(spark.read.text(path), keep_rejects, of)
 
 
-def decode_credits(lines: DataFrame, keep_rejects: bool = False) -> DataFrame:
+def decode_credits(lines: DataFrame, keep_rejects: bool = False, of: DataFrame | None = None) -> DataFrame:
+    """``of`` holds the ids of the films whose credits are wanted: most lines of other films are
+    then left out once their id is read, before their lists are; a join with those films
+    is still to be made.  It has no effect on ``keep_rejects``."""
     line = F.trim(F.col("value"), F.lit(" \t\r\n\f\v"))
     fields = lines.filter(line != "").select(F.explode(F.array(_credit_fields(line))).alias("fields"))
     text = {name: F.col("fields").getField(name) for name in ("cast", "crew", "id", "more")}
@@ -140,9 +145,16 @@ def decode_credits(lines: DataFrame, keep_rejects: bool = False) -> DataFrame:
 
     fits = F.coalesce(listed(text["cast"]) & listed(text["crew"]) & text["id"].rlike("^[0-9]+$")
                       & text["more"].isNull(), F.lit(False))
-    split = fields.select(
-        F.when(fits, casts.to_long(text["id"])).alias("id"),
-        *[F.when(fits, text[name]).alias(name) for name in ("cast", "crew")])
+    if keep_rejects:
+        split = fields.select(
+            F.when(fits, casts.to_long(text["id"])).alias("id"),
+            *[F.when(fits, text[name]).alias(name) for name in ("cast", "crew")])
+    else:  # a line without a fitting id is a reject whatever its lists hold
+        split = fields.where(fits).select(
+            casts.to_long(text["id"]).alias("id"), text["cast"].alias("cast"), text["crew"].alias("crew"))
+        split = split.where("id IS NOT NULL")
+        if of is not None:
+            split = joins.without_most_others(split, "id", of)
     split = literals.with_literals(split, objects=["cast", "crew"])
 
     def members(name: str, schema: T.StructType) -> Column:
@@ -183,7 +195,7 @@ def read_ratings(spark: SparkSession, path: str, keep_rejects: bool = False,
 
 #: Files for later steps of a job: packed, as texts repeat, and so short that each is read by
 #: one task, as packed files can't be split.
-PACKED = {"compression": "gzip", "maxRecordsPerFile": 500_000}
+PACKED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": 500_000}
 
 
 def write_csv(df: DataFrame, path: str, quote_all: bool = False, **options) -> None:

@@ -37,21 +37,23 @@ def _lines(spark: SparkSession, path: str, quote: str) -> DataFrame:
 
 
 def _running(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-    """Odd lines and lines before each line of its split.  The rows of a split come in order."""
+    """Odd lines and lines before each line of its split.  The rows of a split come in order;
+    a file goes by a hash of its path, as only the next split has to be told apart."""
     place, odd_before, lines_before = None, 0, 0
     for files, blocks, odd in batches:
-        files, blocks = files.to_pylist(), blocks.to_pylist()
+        places = np.column_stack([files.to_numpy(), blocks.to_numpy()])
         flags = np.asarray(odd.to_numpy(zero_copy_only=False), np.int64)
-        new = np.array([(f, b) != p for f, b, p in zip(files, blocks, [place, *zip(files, blocks)])], bool)
         if not len(flags):
             yield pa.array([], pa.struct([("odd", pa.int64()), ("line", pa.int64())]))
             continue
+        first_new = place is None or bool((places[0] != place).any())
+        new = np.concatenate([[first_new], (places[1:] != places[:-1]).any(axis=1)])
         at = np.arange(len(flags))
         first = np.maximum.accumulate(np.where(new, at, -1))  # of the line's split; -1: carried on
         before = np.concatenate([[0], np.cumsum(flags)])
         odds = np.where(first < 0, odd_before + before[:-1], before[:-1] - before[first])
         lines = np.where(first < 0, lines_before + at, at - first)
-        place = files[-1], blocks[-1]
+        place = places[-1]
         odd_before, lines_before = int(odds[-1] + flags[-1]), int(lines[-1] + 1)
         yield pa.StructArray.from_arrays([pa.array(odds), pa.array(lines)], ["odd", "line"])
 
@@ -70,7 +72,7 @@ def quoted_records(spark: SparkSession, path: str, quote: str = '"', header: boo
     splits = splits.select(*_PLACE, F.coalesce(F.sum("_odds").over(earlier), F.lit(0)).alias("_earlier"))
     # Not to be moved: the count goes through the rows of a split as they are read.
     running = F.arrow_udf(_running, "struct<odd:long,line:long>").asNondeterministic()
-    counted = lines.withColumn("_at", running(*_PLACE, "_odd"))
+    counted = lines.withColumn("_at", running(F.xxhash64("_file"), "_block", "_odd"))
     if header:
         counted = counted.where((F.col("_block") > 0) | (F.col("_at.line") > 0))
     before = F.col("_earlier") + F.col("_at.odd")

@@ -7,13 +7,14 @@ from contextlib import contextmanager
 from datetime import datetime, timedelta
 
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from marquee.functions import literals, sentiment
+from marquee.functions import casts, literals, sentiment
 from marquee.plans import bindings, file_bindings
 from marquee.session import scratch_path
-from marquee.sources import records
+from marquee.sources import films, records
 from marquee.streaming import jobs, stateful
 
 
@@ -96,6 +97,60 @@ def test_only_texts_with_none_are_replaced(spark):
                    [{"id": None, "name": ": None"}], [{"id": "2", "name": "x': None"}]]
 
 
+def _credit(name: str, key) -> str:
+    return (f"""\"[{{'cast_id': 1, 'character': \"\"x {{y\"\", 'credit_id': 'c', 'gender': None, 'id': 9, """
+            f"""'name': '{name}', 'order': 0, 'profile_path': None}}]\",[],{key}""")
+
+
+def test_credits_of_other_films_are_not_decoded(spark):
+    """They go by a filter over the wanted ids before Python and JSON see their lists; none that is wanted goes."""
+    lines = spark.createDataFrame([(_credit(f"n{k}", k),) for k in range(3000)] + [("[],[],",), ("x",)], "value string")
+    wanted = spark.range(0, 3000, 100)
+    found = films.decode_credits(lines, of=wanted.unionByName(spark.sql("SELECT CAST(NULL AS BIGINT) AS id")))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("ArrowEvalPython") < plan.index("Join LeftSemi")
+    rows = {row.id: [member.name for member in row.cast] for row in found.collect()}
+    assert len(rows) < 100 and {k: rows[k] for k in range(0, 3000, 100)} == {k: [f"n{k}"] for k in range(0, 3000, 100)}
+    assert films.decode_credits(lines, of=wanted.limit(0)).count() == 0
+    assert films.decode_credits(lines, keep_rejects=True, of=wanted).count() == 3002
+
+
+def test_five_answers_decode_credits_of_their_films_only(spark, tables, monkeypatch):
+    asked = []
+    read = films.read_credits
+    monkeypatch.setattr(file_bindings.films, "read_credits", lambda *a, **k: asked.append(k.get("of")) or read(*a, **k))
+    file_bindings._five(spark, tables)
+    assert [of.columns for of in asked] == [["id"]]
+
+
+def test_plain_lists_are_not_taken_apart(spark):
+    """Pieces are looked for only where closing braces or line breaks stand in strings
+    or anything else is odd; what is read is the same."""
+    texts = ["[{'a': 'x', 'b': None}, {'a': \"o'b\"}]", "[{'a': 'x {y'}, {'a': 'z'}]", "[{'a': 'x }'}, {'a': 'z'}]",
+             "[{'a': 1},{'a': 2}]", "[{'a': 'p\u2028q'}, {'a': '1'}]", "[{'a': 'p\u0085'}, {'a': '1'}]", "[{'a': '\r'}, {'a': '2'}]", "x{'a': 3}y", "[]", ""]
+    read = literals.with_literals(spark.createDataFrame([(t,) for t in texts], "x string"), objects=["x"])
+    assert "_g_x" in read._jdf.queryExecution().optimizedPlan().toString()
+    got = {row.x: row._x for row in read.collect()}
+    one = lambda *values: [{"a": v} for v in values]
+    assert got == dict(zip(texts, [
+        [{"a": "x", "b": None}, {"a": "o'b"}], one("x {y", "z"), one("z"), one("1", "2"), one("1"), one("1"), one("2"), one("3"), [], []]))
+
+
+def test_numbers_with_type_letters_and_empty_texts(spark):
+    texts = [None, "", " ", "1.5", "1.5d", "2F ", "1e3", "NaN", "Infinity", "d", "1d\n", " 7 "]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [row.v for row in df.select(casts.to_double(F.col("t")).alias("v")).collect()]
+    assert [str(v) for v in got] == ["None", "None", "None", "1.5", "None", "None", "1000.0", "nan", "inf", "None", "None", "7.0"]
+
+
+def test_splits_of_files_are_told_apart():
+    """Counts go on through batches of one split, and begin again with another split or file."""
+    batch = lambda *rows: tuple(pa.array(column) for column in zip(*rows))
+    batches = [batch((5, 0, True), (5, 0, False)), batch((5, 0, True), (5, 9, True)), batch((6, 9, False), (6, 9, True))]
+    got = [row for part in records._running(iter(batches)) for row in part.to_pylist()]
+    assert [(row["odd"], row["line"]) for row in got] == [(0, 0), (1, 1), (1, 2), (0, 0), (0, 0), (0, 1)]
+
+
 # --- streams ------------------------------------------------------------------------------
 
 def _deliver(spark, path: str, rows, schema: str):
