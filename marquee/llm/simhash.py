@@ -109,7 +109,8 @@ def link(prints: DataFrame, bits: int = 4, segments: int = 3, fan_out: int = 64)
                 _segment(fp, start, stop - start).bitwiseXOR(F.col("mask")).alias("key"))
             for seg, (start, stop) in enumerate(zip(edges, edges[1:]))])
 
-    index, probes = keyed(0), keyed(radius)
+    # Spark takes an exploded table to be as small as before: merged, it can't be broadcast.
+    index, probes = keyed(0).hint("merge"), keyed(radius).hint("merge")
     sizes = index.groupBy("seg", "key").agg(F.count(F.lit(1)).alias("n"))
     filled = (index.join(sizes.where(F.col("n") <= fan_out), ["seg", "key"])
               .select("seg", "key", fp.alias("other"))

@@ -310,6 +310,19 @@ def test_links_by_brute_force(spark, bits, segments, fan_out):
     assert {v: got.get(v, v) for v in values} == group
 
 
+def test_exploded_prints_are_not_broadcast(spark, monkeypatch):
+    plans, write = [], simhash.materialize
+
+    def planned(df, label):
+        plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        return write(df, label)
+
+    prints = write(spark.createDataFrame([(v << 40 | v,) for v in range(300)], "fp long"), "prints")
+    monkeypatch.setattr(simhash, "materialize", planned)
+    simhash.link(prints)
+    assert "SortMergeJoin" in plans[0] and "BroadcastHashJoin" not in plans[0]
+
+
 def test_simhash_query(spark, tiny):
     docs = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{tiny}/documents.parquet").collect()}
     rows = bindings.op9_simhash_dedup(spark, tiny).collect()
