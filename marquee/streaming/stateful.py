@@ -12,13 +12,18 @@ from __future__ import annotations
 
 import json
 from collections import defaultdict
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
 from itertools import islice
+from zlib import crc32
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
 
 from marquee.operators import ranking
@@ -206,18 +211,31 @@ def _every(shards: int) -> Column:
 
 # --- a join that waits for its build side -----------------------------------------------
 
+#: Keys of a build side that are held at a time, and entries of the state that a shard's are dealt to.
+_HELD = 250_000
+_BUCKETS = 16
+#: Bytes of keys and bodies in a packed row: ten thousand of them go to a worker in one batch.
+_PACK = 4_000
+
+
+def _bucket(key: str) -> int:
+    return crc32(key.encode("utf-8", "surrogatepass")) % _BUCKETS
+
+
 class _Barrier(StatefulProcessor):
     """Probe rows wait until the build side has ended, then those with a partner come out.
 
     Rows wait as pieces of bounded length, one entry of the state each, and so do those of a
     batch that are too many to be held until the batch's last end marker and partner are known.
+    Keys of the build side share few entries as well, as a question to the state for every key
+    would take most of the time.
     """
 
     def __init__(self, nodes: int):
         self.nodes = nodes
 
     def init(self, handle) -> None:
-        self.build = handle.getMapState("build", "key string", "seen boolean")
+        self.build = handle.getMapState("build", "bucket int", "keys string")
         self.ended = handle.getMapState("ended", "node string", "seen boolean")
         self.waiting = handle.getMapState("waiting", "piece long", "probes string")
         self.pieces = handle.getValueState("pieces", "n long")
@@ -225,20 +243,27 @@ class _Barrier(StatefulProcessor):
     def handleInputRows(self, key, rows, timer_values) -> Iterator[pd.DataFrame]:
         found = self.pieces.get()
         before = pieces = found[0] if found else 0
+        partners: set[str] = set()
         probes: list[tuple[str, str]] = []
-        size = 0
+        size = chars = 0
         for chunk in rows:
             for node in chunk["node"].dropna().unique():
                 self.ended.updateValue((node,), (True,))
-            probe = chunk["body"].notna()
-            for partner in chunk.loc[~probe, "key"].dropna().unique():
-                self.build.updateValue((partner,), (True,))
-            for pair in zip(chunk.loc[probe, "key"], chunk.loc[probe, "body"]):
-                probes.append(pair)
-                size += len(pair[0]) + len(pair[1])
-                if len(probes) >= _ROWS or size >= _CHARS:
-                    self.waiting.updateValue((pieces,), (json.dumps(probes),))
-                    probes, size, pieces = [], 0, pieces + 1
+            for keys, bodies in self._unpacked(chunk):
+                if bodies is None:
+                    partners.update(keys)
+                    chars += sum(map(len, keys))
+                    if len(partners) >= _HELD or chars >= _CHARS:
+                        self._add(partners)
+                        partners, chars = set(), 0
+                    continue
+                for pair in zip(keys, bodies):
+                    probes.append(pair)
+                    size += len(pair[0]) + len(pair[1])
+                    if len(probes) >= _ROWS or size >= _CHARS:
+                        self.waiting.updateValue((pieces,), (json.dumps(probes),))
+                        probes, size, pieces = [], 0, pieces + 1
+        self._add(partners)
         if sum(1 for _ in self.ended.keys()) < self.nodes:
             if probes:
                 self.waiting.updateValue((pieces,), (json.dumps(probes),))
@@ -246,16 +271,49 @@ class _Barrier(StatefulProcessor):
             if pieces > before:
                 self.pieces.update((pieces,))
             return
-        yield from self._met(probes)
+        for held in self._partners(range(_BUCKETS) if pieces else {_bucket(partner) for partner, _ in probes}):
+            yield from self._met(probes, held)
+            for piece in range(pieces):
+                yield from self._met(json.loads(self.waiting.getValue((piece,))[0]), held)
         for piece in range(pieces):
-            yield from self._met(json.loads(self.waiting.getValue((piece,))[0]))
             self.waiting.removeKey((piece,))
         if before:
             self.pieces.clear()
 
-    def _met(self, probes: Sequence[Sequence[str]]) -> Iterator[pd.DataFrame]:
-        met = {partner: self.build.containsKey((partner,)) for partner in {partner for partner, _ in probes}}
-        out = [body for partner, body in probes if met[partner]]
+    def _unpacked(self, chunk: pd.DataFrame) -> Iterator[tuple[Sequence[str], Sequence[str] | None]]:
+        """Keys of the build side, beside None, and keys and bodies of probe rows."""
+        probe = chunk["body"].notna()
+        yield chunk.loc[~probe, "key"].dropna(), None
+        yield chunk.loc[probe, "key"], chunk.loc[probe, "body"]
+
+    def _add(self, partners: set[str]) -> None:
+        buckets: dict[int, set[str]] = defaultdict(set)
+        for partner in partners:
+            buckets[_bucket(partner)].add(partner)
+        for bucket, new in buckets.items():
+            held = self.build.getValue((bucket,))
+            old = json.loads(held[0]) if held else []
+            new.difference_update(old)
+            if new:
+                self.build.updateValue((bucket,), (json.dumps([*old, *new]),))
+
+    def _partners(self, buckets: Iterable[int]) -> Iterator[set[str]]:
+        """The build side's keys in these buckets, no key twice, so many at a time as may be held."""
+        held: set[str] = set()
+        chars = 0
+        for bucket in buckets:
+            found = self.build.getValue((bucket,))
+            if found:
+                held.update(json.loads(found[0]))
+                chars += len(found[0])
+            if len(held) >= _HELD or chars >= 4 * _CHARS:
+                yield held
+                held, chars = set(), 0
+        if held:
+            yield held
+
+    def _met(self, probes: Sequence[Sequence[str]], held: set[str]) -> Iterator[pd.DataFrame]:
+        out = [body for partner, body in probes if partner in held]
         if out:
             yield pd.DataFrame({"body": out})
 
@@ -263,6 +321,47 @@ class _Barrier(StatefulProcessor):
         pass
 
 
+class _PackedBarrier(_Barrier):
+    """The same for rows of ``_pack``: lists of keys and bodies."""
+
+    def _unpacked(self, chunk: pd.DataFrame) -> Iterator[tuple[Sequence[str], Sequence[str] | None]]:
+        for keys, bodies, built in zip(chunk["key"], chunk["body"], chunk["built"]):
+            yield keys, None if built else bodies
+
+
+def _pack(batches: Iterator[pa.RecordBatch], by: Sequence[str]) -> Iterator[pa.RecordBatch]:
+    """One row for some of equal ``by``, with their keys and bodies as lists: Spark makes a Python
+    object of every row that it hands to a processor."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+        if sum(b.nbytes for b in held) >= 2 * _CHARS:
+            yield _packed(held, by)
+            held = []
+    if held:
+        yield _packed(held, by)
+
+
+def _packed(batches: list[pa.RecordBatch], by: Sequence[str]) -> pa.RecordBatch:
+    rows = pa.Table.from_batches(batches).combine_chunks()
+    group = np.zeros(len(rows), np.int64)
+    for name in by:  # numbers that are equal where all columns so far are; 0 is null
+        codes = rows[name].chunk(0).dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False) + 1
+        group = np.unique(group * (codes.max() + 1) + codes, return_inverse=True)[1]
+    order = np.argsort(group, kind="stable")
+    rows, group = rows.take(order).combine_chunks(), group[order]
+    size = sum(pc.binary_length(rows[name].chunk(0)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+               for name in ("key", "body"))
+    ahead = np.cumsum(size) - size
+    ahead -= ahead[np.searchsorted(group, group)]  # bytes of the group's earlier rows
+    starts = np.flatnonzero(np.diff(group, prepend=-1) | np.diff(ahead // _PACK, prepend=0))
+    stops = pa.array(np.append(starts, len(order)), pa.int32())
+    lists = {name: pa.ListArray.from_arrays(stops, rows[name].chunk(0)) for name in ("key", "body")}
+    return pa.RecordBatch.from_arrays(
+        [*(rows[name].chunk(0).take(pa.array(starts)) for name in by), *lists.values()], names=[*by, *lists])
+
+
 def join_behind_barrier(probe: DataFrame, build: DataFrame, ends: DataFrame, nodes: int,
                         key: str = "id", by: Sequence[str] = (), shards: int = 64) -> DataFrame:
     """Rows of the stream ``probe`` whose ``key`` the stream ``build`` has, columns unchanged.
@@ -272,18 +371,24 @@ def join_behind_barrier(probe: DataFrame, build: DataFrame, ends: DataFrame, nod
     on they pass or go at once.  An ended build side without rows lets none pass, one that
     has not ended keeps all waiting.  With ``by`` every tenant has a barrier of its own.
     Null keys have no partner.  Keys are dealt to ``shards`` parts, each of which is told of
-    every end marker; waiting rows are kept in RocksDB.
+    every end marker; waiting rows are kept in RocksDB, and are read again for every 250,000
+    keys that a part's build side has.
     """
-    def tagged(rows: DataFrame, shard: Column, key_: Column, body: Column, node: Column) -> DataFrame:
-        return rows.select(*by, shard.alias("shard"), key_.cast("string").alias("key"),
-                           body.cast("string").alias("body"), node.cast("string").alias("node"))
-
-    nothing, shard = F.lit(None), F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(shards))
-    known = F.col(key).isNotNull()
-    rows = (
-        tagged(probe.where(known), shard, F.col(key), F.to_json(F.struct(*probe.columns)), nothing)
-        .unionByName(tagged(build.where(known).select(*by, key), shard, F.col(key), nothing, nothing))
-        .unionByName(tagged(ends, _every(shards), nothing, nothing, F.col("node"))))
+    def tagged(rows: DataFrame, body: Column, built: bool) -> DataFrame:
+        return rows.where(F.col(key).isNotNull()).select(
+            *by, F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(shards)).alias("shard"),
+            F.lit(built).alias("built"), F.col(key).cast("string").alias("key"), body.cast("string").alias("body"))
+
+    rows = (tagged(probe, F.to_json(F.struct(*probe.columns)), False)
+            .unionByName(tagged(build, F.lit(None), True)))
+    same = [*by, "shard", "built"]
+    texts = T.ArrayType(T.StringType())
+    packed = T.StructType([rows.schema[name] for name in same]).add("key", texts).add("body", texts)
+    none = F.array().cast(texts)
+    marks = ends.select(*by, _every(shards).alias("shard"), F.lit(False).alias("built"),
+                        none.alias("key"), none.alias("body"), F.col("node").cast("string").alias("node"))
+    rows = (rows.mapInArrow(lambda batches: _pack(batches, same), packed)
+            .withColumn("node", F.lit(None).cast("string")).unionByName(marks))
     joined = rows.groupBy(*by, "shard").transformWithStateInPandas(
-        _Barrier(nodes), "body string", "append", "none")
+        _PackedBarrier(nodes), "body string", "append", "none")
     return joined.select(F.from_json("body", probe.schema).alias("row")).select("row.*")

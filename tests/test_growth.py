@@ -232,6 +232,49 @@ def test_waiting_rows_are_held_in_pieces():
     assert sorted(body for frame in out for body in frame["body"]) == sorted(want * 2)
 
 
+def test_partners_share_entries_of_the_state(monkeypatch):
+    calls = []
+
+    class Counted(_Entries):
+        def __getattribute__(self, name):
+            if name in ("updateValue", "getValue", "containsKey", "removeKey"):
+                calls.append(name)
+            return super().__getattribute__(name)
+
+    monkeypatch.setattr(_Handle, "getMapState", lambda self, name, *_: self.states.setdefault(name, Counted()))
+    monkeypatch.setattr(stateful, "_HELD", 500, raising=False)  # waiting rows are read for some keys at a time
+    barrier = stateful._Barrier(nodes=1)
+    barrier.init(_Handle())
+
+    def send(*rows):
+        chunk = pd.DataFrame(list(rows), columns=["key", "body", "node"], dtype=object)
+        return sorted(body for out in barrier.handleInputRows(("0",), iter([chunk]), None) for body in out["body"])
+
+    probes = [(str(k % 4000), f"row {k}", None) for k in range(12_000)]
+    assert send(*probes) == []
+    assert send(*[(str(k), None, None) for k in [*range(0, 1000), *range(500, 1500)]]) == []
+    assert send(*[(str(k), None, None) for k in range(1400, 2000)], (None, None, None)) == []
+    assert send(("0", "late", None), ("2000", "none", None), (None, None, "n")) == sorted(
+        ["late", *(body for key, body, _ in probes if int(key) < 2000)])
+    assert send(("1999", "later", None), ("2000", "none", None), ("2001", None, None), ("2001", "both", None)) == [
+        "both", "later"]
+    assert len(calls) < 200
+
+
+def test_rows_are_packed_by_group():
+    schema = pa.schema([("t", pa.string()), ("shard", pa.int64()), ("key", pa.string()), ("body", pa.string())])
+    rows = [("ab"[k % 2] if k % 5 else None, k % 3, f"k{k % 50}", None if k % 7 == 0 else "é" * (k % 900))
+            for k in range(3000)]
+    batches = [pa.RecordBatch.from_arrays(
+        [pa.array(column, kind) for column, kind in zip(zip(*rows[k:k + 700]), schema.types)], schema=schema)
+        for k in range(0, 3000, 700)]
+    packs = [pack for out in stateful._pack(iter([batches[0].slice(0, 0), *batches]), ["t", "shard"]) for pack in out.to_pylist()]
+    got = [(p["t"], p["shard"], *pair) for p in packs for pair in zip(p["key"], p["body"], strict=True)]
+    assert sorted(got, key=str) == sorted(rows, key=str) and len(packs) < len(rows) / 3
+    # a packed row is full at 4000 bytes
+    assert max(len("".join(map(str, p["body"][:-1])).encode()) for p in packs) < 4100
+
+
 # --- decoding and words -------------------------------------------------------------------
 
 def test_rows_read_in_the_jvm_go_to_python_as_empty_lists(spark):
